@@ -8,14 +8,29 @@ from pyspark.sql import functions as F
 BYTE_UNITS = ("B", "KB", "MB", "GB", "TB", "PB")
 
 
+def _hundredths(size: Column, unit: int) -> Column:
+    """size / unit in hundredths, an exact tie going to the even one, in whole numbers."""
+    whole = ((size - F.pmod(size, F.lit(unit))) / F.lit(unit)).cast("bigint")
+    rest = (size - whole * F.lit(unit)) * F.lit(100)
+    over = F.pmod(rest, F.lit(unit))
+    part = ((rest - over) / F.lit(unit)).cast("bigint")
+    up = (over * 2 > unit) | ((over * 2 == unit) & (part % 2 == 1))
+    return whole * 100 + part + F.when(up, 1).otherwise(0)
+
+
 def human_bytes(size: Column) -> Column:
-    """Size with two decimals in the largest unit below 1024, at most PB."""
-    value = size.cast("double")
-    last = len(BYTE_UNITS) - 1
-    text = F.format_string(f"%.2f {BYTE_UNITS[last]}", value / F.lit(1024.0**last))
-    for power in range(last - 1, -1, -1):
-        scaled = value / F.lit(1024.0**power)
-        text = F.when(scaled < 1024.0, F.format_string(f"%.2f {BYTE_UNITS[power]}", scaled)).otherwise(text)
+    """Size with two decimals in the largest unit below 1024, at most PB.
+
+    Formatting a double would round some ties up, so the digits are computed.
+    """
+    value = size.cast("bigint")
+    text = F.lit(None).cast("string")
+    for power in range(len(BYTE_UNITS) - 1, -1, -1):
+        hundredths = _hundredths(value, 1024**power)
+        digits = F.format_string(
+            f"%d.%02d {BYTE_UNITS[power]}", ((hundredths - hundredths % 100) / 100).cast("bigint"), F.abs(hundredths % 100)
+        )
+        text = digits if power == len(BYTE_UNITS) - 1 else F.when(value < 1024 ** (power + 1), digits).otherwise(text)
     return F.when(size.isNotNull(), text)
 
 

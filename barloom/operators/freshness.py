@@ -232,18 +232,15 @@ def rows_to_fetch(landed: DataFrame, resume: DataFrame) -> DataFrame:
     return joined.where((ts >= F.col("resume_from")) & (ts < F.col("_stop"))).drop("resume_from", "_stop")
 
 
-def fetch_report(
-    resume: DataFrame, fetched: DataFrame, stored: DataFrame, merged: DataFrame | None = None
-) -> DataFrame:
-    """Per series the result of a load: success, no_new_data or up_to_date, with counts."""
+def fetch_report(resume: DataFrame, fetched: DataFrame, stored: DataFrame) -> DataFrame:
+    """Per series the result of a load: success, no_new_data or up_to_date.
+
+    `stored` is the store as the counts shall describe it, usually after the merge.
+    """
     keys = list(SERIES_KEY)
     new = fetched.groupBy(*keys).agg(F.count(F.lit(1)).alias("new_records"))
-    old = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("stored_records"))
-    out = resume.select(*keys, "action").join(new, keys, "left").join(old, keys, "left")
-    if merged is not None:
-        out = out.join(merged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total")), keys, "left")
-    else:
-        out = out.withColumn("_total", F.lit(None).cast("bigint"))
+    total = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_records"))
+    out = resume.select(*keys, "action").join(new, keys, "left").join(total, keys, "left")
     status = (
         F.when(F.col("action") == "up_to_date", "up_to_date")
         .when(F.coalesce("new_records", F.lit(0)) == 0, "no_new_data")
@@ -253,7 +250,7 @@ def fetch_report(
         *keys,
         status.alias("status"),
         F.coalesce("new_records", F.lit(0)).alias("new_records"),
-        F.coalesce("_total", "stored_records", F.lit(0)).alias("total_records"),
+        F.coalesce("total_records", F.lit(0)).alias("total_records"),
     )
 
 
