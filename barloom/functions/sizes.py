@@ -8,29 +8,27 @@ from pyspark.sql import functions as F
 BYTE_UNITS = ("B", "KB", "MB", "GB", "TB", "PB")
 
 
-def _hundredths(size: Column, unit: int) -> Column:
-    """size / unit in hundredths, an exact tie going to the even one, in whole numbers."""
-    whole = ((size - F.pmod(size, F.lit(unit))) / F.lit(unit)).cast("bigint")
-    rest = (size - whole * F.lit(unit)) * F.lit(100)
-    over = F.pmod(rest, F.lit(unit))
-    part = ((rest - over) / F.lit(unit)).cast("bigint")
-    up = (over * 2 > unit) | ((over * 2 == unit) & (part % 2 == 1))
-    return whole * 100 + part + F.when(up, 1).otherwise(0)
+def _div(a: Column, b: Column | int) -> Column:
+    return F.call_function("div", a, F.lit(b))
 
 
 def human_bytes(size: Column) -> Column:
     """Size with two decimals in the largest unit below 1024, at most PB.
 
-    Formatting a double would round some ties up, so the digits are computed.
+    Formatting a double would round some ties up, so the hundredths are computed
+    in whole numbers, an exact tie going to the even one.
     """
     value = size.cast("bigint")
-    text = F.lit(None).cast("string")
-    for power in range(len(BYTE_UNITS) - 1, -1, -1):
-        hundredths = _hundredths(value, 1024**power)
-        digits = F.format_string(
-            f"%d.%02d {BYTE_UNITS[power]}", ((hundredths - hundredths % 100) / 100).cast("bigint"), F.abs(hundredths % 100)
-        )
-        text = digits if power == len(BYTE_UNITS) - 1 else F.when(value < 1024 ** (power + 1), digits).otherwise(text)
+    unit, name = F.lit(1024**5), F.lit(BYTE_UNITS[-1])
+    for power in range(len(BYTE_UNITS) - 2, -1, -1):
+        below = value < 1024 ** (power + 1)
+        unit = F.when(below, F.lit(1024**power).cast("bigint")).otherwise(unit)
+        name = F.when(below, F.lit(BYTE_UNITS[power])).otherwise(name)
+    rest = (value % unit) * 100
+    part = _div(rest, unit)
+    round_up = F.when((rest % unit) * 2 + part % 2 > unit, 1).otherwise(0)
+    hundredths = _div(value, unit) * 100 + part + round_up
+    text = F.format_string("%d.%02d %s", _div(hundredths, 100), hundredths % 100, name)
     return F.when(size.isNotNull(), text)
 
 
