@@ -173,6 +173,8 @@ def read_bar_files(spark: SparkSession, root: str, skip_unreadable: bool = True)
 
     Identity comes from the path, columns a file lacks are null, nanosecond
     times are cut to micros. Unreadable files are passed over on request.
+    Hadoop paths cannot hold a colon, so a file named after an `X:` ticker has
+    to be renamed before it can be read.
     """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     files = (
