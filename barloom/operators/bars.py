@@ -12,7 +12,6 @@ from barloom.functions.intervals import (
     DAY_FILE_LABELS,
     INTRADAY_LABELS,
     LABELS,
-    UNIT_SECONDS,
     Interval,
     bin_start,
     can_roll_up,
@@ -141,15 +140,15 @@ def bars_for_intervals(
        That shuffle is keyed by (ticker, bin), so a hot ticker spreads over its bins.
     2. Those bars move once by (ticker, day). A group holds at most one day of
        base bins whatever the number of ticks, and every interval up to a day is
-       an aggregate within that partitioning: no further shuffle.
-    3. Week and longer bars roll up from the daily ones.
+       an aggregate within that partitioning: no further shuffle, all branches
+       read the same exchange.
+    3. Where seconds are asked for beside wider intervals, the wider ones read a
+       second, up to sixty times smaller exchange of minute-sized bars.
+    4. Week and longer bars roll up from the daily ones.
     """
     wanted = [interval_of(label) for label in dict.fromkeys(labels)]
-    base_width = common_width(wanted)
-    fixed = [i for i in wanted if i.seconds is not None]
-    calendar = [i for i in wanted if i.seconds is None]
-
-    base = ticks.withColumn("_bin", width_bin("timestamp", base_width))
+    width = common_width(wanted)
+    base = ticks.withColumn("_bin", width_bin("timestamp", width))
     base = base.groupBy("ticker", F.col("_bin").alias("timestamp")).agg(
         *tick_aggregates("size" in ticks.columns, tie_break, extended)
     )
@@ -157,19 +156,31 @@ def bars_for_intervals(
     base = drop_incomplete(base).where(F.col("timestamp").isNotNull())
     by_day = base.withColumn("day", F.col("timestamp").cast("date")).repartition("ticker", "day")
 
-    branches = [_bars_within_days(by_day, i, base_width) for i in fixed]
+    seconds = [i for i in wanted if i.unit == "second"]
+    wider = [i for i in wanted if i.unit != "second"]
+    branches = [_bars_within_days(by_day, i, width) for i in seconds]
+    if seconds and wider:
+        finer, width = width, common_width(wider)
+        by_day = _within_days(by_day, width, finer).repartition("ticker", "day")
+    branches += [_bars_within_days(by_day, i, width) for i in wider if i.seconds is not None]
+    calendar = [i for i in wider if i.seconds is None]
     if calendar:
-        daily = _bars_within_days(by_day, interval_of("1d"), base_width)
+        daily = _bars_within_days(by_day, interval_of("1d"), width)
         branches += [roll_up(daily, "1d", i.label) for i in calendar]
     return reduce(DataFrame.unionByName, branches)
 
 
-def _bars_within_days(by_day: DataFrame, interval: Interval, base_width: int) -> DataFrame:
+def _within_days(by_day: DataFrame, width: int, base_width: int) -> DataFrame:
+    """Bars of a wider bin inside the (ticker, day) partitioning, same columns."""
+    if width == base_width:
+        return by_day
     values = [c for c in by_day.columns if c not in ("ticker", "day", "timestamp")]
-    if interval.seconds == base_width:
-        return by_day.select("ticker", F.lit(interval.label).alias("interval"), "timestamp", *values)
-    if interval.seconds > UNIT_SECONDS["day"]:
-        raise ValueError(f"{interval.label} is wider than a day")
-    binned = by_day.withColumn("_bin", width_bin("timestamp", interval.seconds))
+    binned = by_day.withColumn("_bin", width_bin("timestamp", width))
     bars = binned.groupBy("ticker", "day", "_bin").agg(*roll_aggregates(values))
-    return bars.select("ticker", F.lit(interval.label).alias("interval"), F.col("_bin").alias("timestamp"), *values)
+    return bars.select("ticker", F.col("_bin").alias("timestamp"), *values, "day")
+
+
+def _bars_within_days(by_day: DataFrame, interval: Interval, base_width: int) -> DataFrame:
+    values = [c for c in by_day.columns if c not in ("ticker", "day", "timestamp")]
+    bars = _within_days(by_day, interval.seconds, base_width)
+    return bars.select("ticker", F.lit(interval.label).alias("interval"), "timestamp", *values)

@@ -42,7 +42,8 @@ def day_coverage(spine: DataFrame, counts: DataFrame, count: str = "rows") -> Da
 
 
 def missing_days(spine: DataFrame, dates: DataFrame) -> DataFrame:
-    return spine.join(dates.select("date"), "date", "left_anti")
+    """Spine days without data; `dates` may repeat, one date per task goes on."""
+    return spine.join(dates.select("date").distinct(), "date", "left_anti")
 
 
 def rows_per_day(rows: DataFrame, ts: str = "timestamp", count: str = "rows") -> DataFrame:
@@ -58,12 +59,12 @@ def extract_range(
     """Ticks of a symbol set on all days of a range, weekends included.
 
     A short list of symbols becomes a pushed-down IN; a table of symbols a
-    semi-join that spreads hot symbols.
+    semi-join in which AQE may split hot symbols.
     """
     ts = F.col("timestamp")
     out = ticks.where((ts >= start.cast("timestamp_ntz")) & (ts < F.date_add(end, 1).cast("timestamp_ntz")))
     if symbols is None:
         return out
     if isinstance(symbols, DataFrame):
-        return restrict_to(out, symbols, ["ticker"], ts)
+        return restrict_to(out, symbols, ["ticker"])
     return out.where(F.col("ticker").isin(list(symbols)))

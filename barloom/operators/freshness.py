@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.intervals import DEFAULT_LABELS, VOCABULARY, display_rank
+from barloom.functions.intervals import DEFAULT_LABELS, VOCABULARY, display_rank, interval_of
 from barloom.functions.sizes import progress_pct
 from barloom.functions.timing import (
     age_hours,
@@ -18,7 +20,7 @@ from barloom.functions.timing import (
     resume_point,
     whole_days,
 )
-from barloom.operators.spread import spread_join
+from barloom.operators.spread import lookup_join
 from barloom.schemas import SERIES_KEY
 
 FIRST_DAY = "1970-01-01"
@@ -41,14 +43,20 @@ def available_ranges(bars: DataFrame, form: str = "probe", details: DataFrame |
     left out.
     """
     estimate = {"range": range_estimate, "probe": probe_estimate}[form]
-    rows = bars.select(*SERIES_KEY, "timestamp")
-    if details is not None:
+    first, last = F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last")
+    if details is None:
+        ranges = bars.groupBy(*SERIES_KEY).agg(first, last)
+    else:
+        # Listings count by day, so the bars are first reduced to one row per day.
+        days = bars.groupBy(*SERIES_KEY, F.col("timestamp").cast("date").alias("_day")).agg(first, last)
         listed = details.select("ticker", F.col("list_date").cast("date").alias("_listed"))
-        rows = spread_join(rows, listed, ["ticker"], F.col("timestamp"))
-        known = F.coalesce(F.col("_listed"), F.lit(FIRST_DAY).cast("date"))
-        start = F.greatest(known, F.lit(FIRST_DAY).cast("date")).cast("timestamp_ntz")
-        rows = rows.where(F.col("timestamp") >= start)
-    ranges = rows.groupBy(*SERIES_KEY).agg(F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"))
+        kept = F.coalesce(F.col("_day") >= F.greatest(F.col("_listed"), F.lit(FIRST_DAY).cast("date")), F.lit(True))
+        ranges = (
+            lookup_join(days, listed, ["ticker"])
+            .where(kept)
+            .groupBy(*SERIES_KEY)
+            .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+        )
     days = days_between(F.col("_last"), F.col("_first"))
     return ranges.select(
         *SERIES_KEY,
@@ -222,13 +230,16 @@ def resume_points(ranges: DataFrame, marks: DataFrame, force_refresh: bool = Fal
     )
 
 
-def rows_to_fetch(landed: DataFrame, resume: DataFrame) -> DataFrame:
-    """Landed bars at or after the resume point of their series, up to its end day."""
+def rows_to_fetch(landed: DataFrame, resume: DataFrame, resume_rows: int | None = None) -> DataFrame:
+    """Landed bars at or after the resume point of their series, up to its end day.
+
+    `resume_rows`, when the caller has counted them, allows a broadcast.
+    """
     due = resume.where(F.col("action") == "fetch").select(
         *SERIES_KEY, "resume_from", F.date_add("end_date", 1).cast("timestamp_ntz").alias("_stop")
     )
     ts = F.col("timestamp")
-    joined = spread_join(landed, due, SERIES_KEY, ts, "inner")
+    joined = lookup_join(landed, due, SERIES_KEY, "inner", resume_rows)
     return joined.where((ts >= F.col("resume_from")) & (ts < F.col("_stop"))).drop("resume_from", "_stop")
 
 
@@ -287,12 +298,10 @@ def to_process(universe: DataFrame, skipped: DataFrame) -> DataFrame:
     return universe.join(skipped.select("ticker"), "ticker", "left_anti")
 
 
-def work_list(tickers: DataFrame, intervals: DataFrame | None = None) -> DataFrame:
-    """Every ticker with every interval (at most 25, so a generated array, no join)."""
-    if intervals is None:
-        labels = F.array(*[F.lit(label) for label in DEFAULT_LABELS])
-        return tickers.select("ticker", F.explode(labels).alias("interval"))
-    return tickers.select("ticker").crossJoin(F.broadcast(intervals.select("interval").distinct()))
+def work_list(tickers: DataFrame, labels: Iterable[str] = DEFAULT_LABELS) -> DataFrame:
+    """Every ticker with every interval: the labels are generated per row, nothing is joined."""
+    known = [F.lit(interval_of(label).label) for label in dict.fromkeys(labels)]
+    return tickers.select("ticker", F.explode(F.array(*known)).alias("interval"))
 
 
 def progress(universe: DataFrame, bars: DataFrame) -> DataFrame:

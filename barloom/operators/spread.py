@@ -4,40 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.session import ensure_checkpoint_dir
 
-SPREAD = 64
+# Above this a lookup is not broadcast on our word; at some 100 bytes a row, 100 MB.
+BROADCAST_ROWS = 1_000_000
 
 
-def spread_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    spread_by: Column,
-    how: str = "left",
-    spread: int = SPREAD,
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", lookup_rows: int | None = None
 ) -> DataFrame:
-    """Join many rows to one lookup row per key, with each key cut into `spread` parts.
+    """Join many rows to one lookup row per string key, whatever share a single key has.
 
-    A lookup that Spark measures as small is broadcast and nothing moves. A
-    larger one is copied once per part, and a hot key is shuffled to `spread`
-    tasks. The part stays in the partitioning, so an aggregate by key after the
-    join gets its own exchange instead of running in the hot key's task.
+    A lookup known to be small is broadcast. Otherwise Spark decides by measured
+    size, and where both sides are shuffled AQE splits the partition of a hot key
+    into even pieces. It can do so only where both inputs of the join are plain
+    exchanges and nothing above needs the join's partitioning. Hence
+    `forget_partitioning` on all three: an aggregate by key after the join gets
+    its own exchange, behind its partial step, and the hot key is in no single task.
     """
-    salted_rows = rows.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
-    salted_lookup = lookup.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return salted_rows.join(salted_lookup, [*on, "_part"], how).drop("_part")
+    small = lookup_rows is not None and lookup_rows <= BROADCAST_ROWS
+    if small:
+        return rows.join(F.broadcast(lookup), list(on), how)
+    joined = forget_partitioning(rows, on[0]).join(forget_partitioning(lookup, on[0]), list(on), how)
+    return forget_partitioning(joined, on[0])
 
 
-def restrict_to(
-    rows: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Column, spread: int = SPREAD
-) -> DataFrame:
+def forget_partitioning(df: DataFrame, key: str) -> DataFrame:
+    """Same rows; Spark no longer knows that they are partitioned by the string column `key`."""
+    return df.withColumn(key, F.concat(F.col(key), F.lit("")))
+
+
+def restrict_to(rows: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keep the rows whose key is listed."""
-    return spread_join(rows, keys.select(*on).distinct(), on, spread_by, "left_semi", spread)
+    return lookup_join(rows, keys.select(*on).distinct(), on, "left_semi")
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:

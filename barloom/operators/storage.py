@@ -76,9 +76,13 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def column_chunks(files: DataFrame, tasks: int | None = None) -> DataFrame:
-    """One row per column chunk; only footers are read, many files per task."""
-    paths = files.select("path")
-    paths = paths.repartition(tasks, "path") if tasks else paths.repartition("path")
+    """One row per column chunk; only footers are read, many files per task.
+
+    The number of tasks is given outright: by their bytes the paths would all be
+    put into one.
+    """
+    context = files.sparkSession.sparkContext
+    paths = files.select("path").repartition(tasks or 2 * context.defaultParallelism, "path")
     return paths.mapInPandas(_read_footers, CHUNK_SCHEMA)
 
 

@@ -43,8 +43,7 @@ def discover(
     """Active instruments of each category, all categories in one pass.
 
     The category rules are a fixed handful, so they are broadcast. With `limit`
-    the first tickers of each category by symbol are kept; Spark limits every
-    task to as many rows per category before the shuffle.
+    the first tickers of each category by symbol are kept.
     """
     rules = dict(categories or CATEGORIES)
     unknown = set(only or ()) - set(rules)
@@ -67,8 +66,24 @@ def discover(
     )
     if limit is None:
         return found
-    rank = F.row_number().over(W.partitionBy("category").orderBy("ticker"))
-    return found.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
+    return _first_per_category(found, limit)
+
+
+def _first_per_category(found: DataFrame, limit: int) -> DataFrame:
+    """First rows of each category by symbol, also where one category holds most rows.
+
+    Up to its threshold Spark cuts every task to `limit` rows per category before
+    the shuffle. Beyond, rows are numbered in a distributed global order and
+    counted from the first of their category.
+    """
+    threshold = int(found.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if limit <= threshold:
+        rank = F.row_number().over(W.partitionBy("category").orderBy("ticker"))
+        return found.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
+    placed = number_rows(found, ["category", "ticker"], "_place")
+    starts = placed.groupBy("category").agg(F.min("_place").alias("_start"))
+    kept = placed.join(F.broadcast(starts), "category").where(F.col("_place") - F.col("_start") < limit)
+    return kept.drop("_place", "_start")
 
 
 def discovery_report(existing: DataFrame, found: DataFrame) -> DataFrame:

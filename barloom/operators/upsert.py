@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.intervals import interval_of
-from barloom.operators.bars import bars_from_ticks
+from barloom.operators.bars import bars_for_intervals
 from barloom.schemas import BAR_KEY, SERIES_KEY
 
 FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
@@ -135,10 +135,7 @@ def hybrid_series(
     """
     old_ticks = ticks.where(history_part(F.col("timestamp"), start, end, cutoff))
     labels = [interval_of(label).label for label in labels]
-    history = None
-    for label in labels:
-        bars = bars_from_ticks(old_ticks, label, tie_break)
-        history = bars if history is None else history.unionByName(bars)
+    history = bars_for_intervals(old_ticks, labels, tie_break)
     recent = recent_bars.where(
         F.col("interval").isin(*labels) & recent_part(F.col("timestamp"), start, end, cutoff)
     )

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.operators.freshness import fetch_report, high_water_marks, resume_points, rows_to_fetch
 from barloom.schemas import STORED_BARS
 from barloom.session import ensure_checkpoint_dir
-from barloom.sources.store import merge_staged, read_bars, remove_path, stage_bars
+from barloom.sources.folders import remove_path
+from barloom.sources.store import merge_staged, read_bars, stage_bars
 
 
 def rows_due(ranges: DataFrame, landed: DataFrame, stored: DataFrame, force_refresh: bool = False) -> DataFrame:
@@ -25,7 +26,7 @@ def backfill(
     ensure_checkpoint_dir(spark)
     resume = resume_points(ranges, high_water_marks(read_bars(spark, path)), force_refresh).checkpoint()
     seq = "ingest_seq" if "ingest_seq" in landed.columns else None
-    staged = stage_bars(spark, rows_to_fetch(landed, resume), seq)
+    staged = stage_bars(spark, rows_to_fetch(landed, resume, resume.count()), seq)
     merge_staged(spark, staged, path)
     fetched = spark.read.schema(STORED_BARS).parquet(staged)
     report = fetch_report(resume, fetched, read_bars(spark, path)).checkpoint()

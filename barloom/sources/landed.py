@@ -33,9 +33,13 @@ def _number(name: str) -> Column:
 
 
 def parse_json_rows(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
-    """Columns of JSON text lines; a line that is no JSON object gives nulls."""
+    """Columns of JSON text lines; a line that is no JSON object gives nulls.
+
+    `inline` keeps later filters above it, where they would otherwise each parse
+    the text again.
+    """
     parsed = F.from_json(F.col(column), schema, {"mode": "PERMISSIVE"})
-    return lines.select(parsed.alias("_row")).select("_row.*")
+    return lines.select(F.inline(F.array(parsed)))
 
 
 def normalise_bars(raw: DataFrame) -> DataFrame:

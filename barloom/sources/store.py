@@ -12,6 +12,7 @@ from barloom.functions.names import interval_in, symbol_of
 from barloom.operators.upsert import keep_one, upsert_bars
 from barloom.schemas import BAR_KEY, BARS, STORED_BARS, month_of
 from barloom.session import scratch_path
+from barloom.sources.folders import partition_folders, path_exists, remove_path
 
 PARTITIONS = ("interval", "month")
 # Text formats would otherwise cut times to milliseconds.
@@ -52,16 +53,6 @@ def write_bars(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
-
-
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
     """The stored bars; an absent store is an empty table."""
     if not path_exists(spark, path):
@@ -69,11 +60,6 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_BARS).parquet(path)
 
 
-def partition_list(bars: DataFrame) -> list[tuple[str, str]]:
-    """The (interval, month) pairs present: at most 25 per month of history."""
-    return [(r["interval"], r["month"]) for r in bars.select(*PARTITIONS).distinct().collect()]
-
-
 def in_partitions(pairs: Sequence[tuple[str, str]]) -> Column:
     """Predicate on partition columns only, so untouched folders are not listed or read."""
     months: dict[str, list[str]] = {}
@@ -100,9 +86,9 @@ def stage_bars(spark: SparkSession, new: DataFrame, seq: str | None = None) -> s
 
 def merge_staged(spark: SparkSession, staged: str, path: str) -> None:
     """Upsert staged bars into the store, rewriting only the partitions they touch."""
-    fresh = spark.read.schema(STORED_BARS).parquet(staged)
-    touched = partition_list(fresh)
+    touched = partition_folders(spark, staged, PARTITIONS)
     if touched:
+        fresh = spark.read.schema(STORED_BARS).parquet(staged)
         stored = read_bars(spark, path).where(in_partitions(touched)).drop("month")
         write_bars(upsert_bars(stored, fresh.drop("month")), path)
 
@@ -124,21 +110,17 @@ def delete_series(spark: SparkSession, path: str, ticker: str, interval: str | N
     if interval is not None:
         doomed = doomed & (F.col("interval") == interval_of(interval).label)
     stored = read_bars(spark, path)
-    counts = (
-        stored.groupBy(*PARTITIONS)
-        .agg(F.count_if(doomed).alias("gone"), F.count_if(~doomed).alias("left"))
-        .where(F.col("gone") > 0)
-        .collect()
-    )
-    if not counts:
+    gone = stored.where(doomed).groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("rows")).collect()
+    if not gone:
         raise LookupError(f"no stored bars for {ticker.upper()} {interval or ''}".rstrip())
-    keep = [(r["interval"], r["month"]) for r in counts if r["left"] > 0]
-    if keep:
-        write_bars(stored.where(in_partitions(keep) & ~doomed).drop("month"), path)
-    for r in counts:
-        if r["left"] == 0:
-            remove_path(spark, f"{path}/interval={r['interval']}/month={r['month']}")
-    return sum(r["gone"] for r in counts)
+    touched = [(r["interval"], r["month"]) for r in gone]
+    rest = stored.where(in_partitions(touched) & ~doomed)
+    kept = {(r["interval"], r["month"]) for r in rest.select(*PARTITIONS).distinct().collect()}
+    if kept:
+        write_bars(rest.drop("month"), path)
+    for label, month in set(touched) - kept:
+        remove_path(spark, f"{path}/interval={label}/month={month}")
+    return sum(r["rows"] for r in gone)
 
 
 def delete_universe(spark: SparkSession, path: str, category: str) -> None:

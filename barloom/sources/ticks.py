@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.names import file_name, stem_of, symbol_of
+from barloom.functions.names import file_name, symbol_of
 from barloom.operators.calendar import day_coverage, day_spine
+from barloom.sources.folders import partition_folders
 
 REQUIRED = ("timestamp", "price")
 
@@ -35,7 +36,8 @@ def read_tick_files(
     `columns` maps our names to SQL expressions over the file's columns. A file
     that lacks the time or the price yields null there, and no bar comes of a
     null time or price, which is how such a file is skipped. Nanosecond times,
-    as pandas writes them, are cut to micros.
+    as pandas writes them, are cut to micros; the session flag that lets Spark
+    read them is set.
     """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     paths = [path] if isinstance(path, str) else list(path)
@@ -50,7 +52,7 @@ def read_tick_files(
     casts = {"price": "double", "size": "bigint", "seq": "bigint"}
     rest = [F.expr(mapping[c]).cast(t).alias(c) for c, t in casts.items() if c in mapping]
     return raw.select(
-        stem_of(F.col("_metadata.file_name")).alias("ticker"), ts.cast("timestamp_ntz").alias("timestamp"), *rest
+        F.replace(F.col("_metadata.file_name"), F.lit(".parquet"), F.lit("")).alias("ticker"), ts.cast("timestamp_ntz").alias("timestamp"), *rest
     )
 
 
@@ -104,6 +106,13 @@ def write_tick_lake(ticks: DataFrame, path: str) -> None:
     )
 
 
+def lake_dates(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
+    """Dates of a tick lake from its folder names alone, sorted."""
+    found = [(date.fromisoformat(day),) for (day,) in partition_folders(spark, path, ("date",))]
+    kept = sorted(d for d in found if year is None or d[0].year == year)
+    return spark.createDataFrame(kept, "date date")
+
+
 def read_tick_lake(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType(
         [

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions import sizes, timing
-from barloom.functions.intervals import INTRADAY_LABELS, LABELS, vocabulary_frame
+from barloom.functions.intervals import INTRADAY_LABELS, LABELS
 from barloom.operators import bars, calendar, freshness, profile, query, storage, universe, upsert
 from barloom.plans import backfill, bar_building
 from barloom.schemas import BAR_VALUES
@@ -206,9 +206,9 @@ def resume_points(spark: SparkSession, sf: str) -> DataFrame:
 def resume_all_intervals(spark: SparkSession, sf: str) -> DataFrame:
     """Every label: the marks of the heavy tickers crossed with the vocabulary."""
     marks = inputs.event_ticks(spark, sf).groupBy("ticker").agg(F.max("timestamp").alias("last_timestamp"))
-    labels = vocabulary_frame(spark).select("interval")
+    listed = freshness.work_list(marks, LABELS).join(marks, "ticker")
     point = timing.resume_point(F.col("interval"), F.col("last_timestamp"))
-    return marks.crossJoin(F.broadcast(labels)).select("ticker", "interval", point.alias("resume_from"))
+    return listed.select("ticker", "interval", point.alias("resume_from"))
 
 
 def local_and_landed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -252,7 +252,7 @@ def to_process(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def work_list(spark: SparkSession, sf: str) -> DataFrame:
-    return freshness.work_list(inputs.customers(spark, sf), vocabulary_frame(spark))
+    return freshness.work_list(inputs.customers(spark, sf), LABELS)
 
 
 def progress(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,7 +367,7 @@ def series_header(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def series_summary(spark: SparkSession, sf: str) -> DataFrame:
-    requested = freshness.work_list(inputs.customers(spark, sf), vocabulary_frame(spark).where("interval in ('1m', '5m', '1h', '1d', '1w')"))
+    requested = freshness.work_list(inputs.customers(spark, sf), inputs.EVENT_INTERVALS.values())
     return profile.series_summary(inputs.user_bars(spark, sf), requested)
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators import upsert
-from barloom.operators.spread import number_rows, restrict_to, spread_join
+from barloom.operators.spread import lookup_join, number_rows, restrict_to
 
 BAR = "ticker string, interval string, timestamp timestamp_ntz, close double, vwap double"
 T0, T1, T2 = (datetime(2024, 1, 1, h) for h in (0, 1, 2))
@@ -99,21 +99,50 @@ def test_number_rows_is_a_global_order(spark):
     assert number_rows(df.limit(0), ["ticker"]).count() == 0
 
 
-def test_spread_join_with_a_hot_key(spark):
-    rows = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "HOT").otherwise("B").alias("k"), "id")
-    lookup = spark.createDataFrame([("HOT", 1)], "k string, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = spread_join(rows, lookup, ["k"], F.col("id"))
-        assert joined.count() == 1000 and joined.where("v = 1").count() == 334
-        semi = restrict_to(rows, lookup, ["k"], F.col("id"))
-        assert semi.count() == 334 and semi.columns == ["k", "id"]
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "_part" in plan and "BroadcastHashJoin" not in plan
-        # the part stays in the partitioning, so an aggregate by key shuffles again
-        counted = joined.groupBy("k", "id").count()._jdf.queryExecution().executedPlan().toString()
-        assert counted.count("Exchange hashpartitioning") == 3
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+@pytest.fixture
+def shuffled_joins(spark):
+    """Small data treated as large: no broadcast, skew from a few kilobytes on."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1000",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_lookup_join_splits_a_hot_key(spark, shuffled_joins, final_plan, tmp_path):
+    rows = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("T"), F.col("id") % 500)).alias("ticker"), "id"
+    )
+    rows.repartition(8).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    lookup = rows.select("ticker").distinct().withColumn("v", F.length("ticker"))
+    joined = lookup_join(rows, lookup, ["ticker"])
+    # an aggregate on a superset of the join key does not keep the hot key in one task
+    counted = joined.groupBy("ticker", (F.col("id") % 7).alias("bin")).agg(F.count("*").alias("n"), F.sum("v").alias("s"))
+    assert "skew" in final_plan(counted).lower()
+    assert counted.where("ticker = 'HOT'").agg(F.sum("n"), F.sum("s")).collect()[0] == (20000, 60000)
+    assert joined.count() == 60000
+    semi = restrict_to(rows, spark.createDataFrame([("HOT",), ("HOT",)], "ticker string"), ["ticker"])
+    assert semi.count() == 20000 and semi.columns == ["ticker", "id"]
+
+
+def test_lookup_join_broadcasts_only_a_counted_lookup(spark, shuffled_joins):
+    rows = spark.createDataFrame([("A", 1)], "ticker string, id int")
+    lookup = spark.createDataFrame([("A", 1)], "ticker string, v int")
+
+    def plan(**known):
+        return lookup_join(rows, lookup, ["ticker"], **known)._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(lookup_rows=1)
+    assert "BroadcastHashJoin" not in plan()
+    assert "BroadcastHashJoin" not in plan(lookup_rows=10**9)

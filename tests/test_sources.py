@@ -49,6 +49,8 @@ def test_tick_lake(spark, tmp_path):
     ticks.write_tick_lake(df, path)
     lake = ticks.read_tick_lake(spark, path)
     assert [r["date"].day for r in calendar.available_dates(lake, 2024).collect()] == [1, 2, 6]
+    assert [r["date"].day for r in ticks.lake_dates(spark, path, 2024).collect()] == [1, 2, 6]
+    assert ticks.lake_dates(spark, path).count() == 4
     one_day = lake.where(F.col("date") == date(2024, 1, 2))
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan

@@ -41,6 +41,16 @@ def test_categories(instruments):
         u.discover(instruments, only=["bonds"])
 
 
+def test_limits_beyond_the_window_threshold(spark, instruments):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "0")
+    try:
+        got = rows_of(u.discover(instruments, limit=1), "category", "ticker")
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert got == rows_of(u.discover(instruments, limit=1), "category", "ticker")
+    assert len(got) == 5
+
+
 def test_filter(spark):
     rows = [("A", "my test co", "N"), ("B", "temp", "N"), ("CDEMO", "x", "N"), ("D", "Delta", "N"), ("E", "Echo", "Q"), ("F", None, "N")]
     df = spark.createDataFrame(rows, "ticker string, name string, primary_exchange string")
