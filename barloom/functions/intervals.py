@@ -26,6 +26,7 @@ UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 UNIT_FAMILY = {"second": "seconds", "minute": "intraday", "hour": "hourly"}
 DISPLAY_ORDER = ("1s", "1m", "5m", "15m", "30m", "1h", "1d", "1w", "1M", "3M", "1Q", "1Y")
 UNKNOWN_ORDER = 999
+EPOCH = "1970-01-01 00:00:00"
 
 DAY_FILE_LABELS = ("1m", "5m", "15m", "1h", "1d")
 DEFAULT_LABELS = ("1d", "1h", "15m", "5m", "1m")
@@ -75,9 +76,11 @@ def width_bin(ts: Column | str, seconds: int) -> Column:
 
     `window` reinterprets the timestamp instead of converting it between zones,
     so it is cheaper than arithmetic on epoch micros and zone-free for NTZ. At
-    most one window expression may stand in a projection.
+    most one window expression may stand in a projection. It drops rows without
+    a time, so the default is never used; it tells Spark that bins are not null
+    and spares plans over bins the null filters that would make them differ.
     """
-    return F.window(ts, f"{seconds} seconds")["start"]
+    return F.coalesce(F.window(ts, f"{seconds} seconds")["start"], F.lit(EPOCH).cast("timestamp_ntz"))
 
 
 def calendar_bin(ts: Column, unit: str) -> Column:

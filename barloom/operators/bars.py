@@ -19,6 +19,7 @@ from barloom.functions.intervals import (
     interval_of,
     width_bin,
 )
+from barloom.operators.spread import forget_partitioning
 
 PRICE_COLUMNS = ("open", "high", "low", "close")
 
@@ -152,16 +153,15 @@ def bars_for_intervals(
     base = base.groupBy("ticker", F.col("_bin").alias("timestamp")).agg(
         *tick_aggregates("size" in ticks.columns, tie_break, extended)
     )
-    # The filter every branch would infer; stated here, all branches share one plan.
-    base = drop_incomplete(base).where(F.col("timestamp").isNotNull())
-    by_day = base.withColumn("day", F.col("timestamp").cast("date")).repartition("ticker", "day")
+    by_day = drop_incomplete(base).withColumn("day", F.col("timestamp").cast("date")).repartition("ticker", "day")
 
     seconds = [i for i in wanted if i.unit == "second"]
     wider = [i for i in wanted if i.unit != "second"]
     branches = [_bars_within_days(by_day, i, width) for i in seconds]
     if seconds and wider:
         finer, width = width, common_width(wider)
-        by_day = _within_days(by_day, width, finer).repartition("ticker", "day")
+        minutes = _within_days(by_day, width, finer)
+        by_day = forget_partitioning(minutes, "ticker").repartition("ticker", "day")
     branches += [_bars_within_days(by_day, i, width) for i in wider if i.seconds is not None]
     calendar = [i for i in wider if i.seconds is None]
     if calendar:

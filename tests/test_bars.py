@@ -156,6 +156,9 @@ def test_both_forms_plan_as_hash_aggregates(random_ticks, final_plan):
 def test_many_intervals_read_the_ticks_once(spark, random_ticks, final_plan, tmp_path):
     random_ticks[0].write.parquet(str(tmp_path / "ticks"))
     stored = spark.read.parquet(str(tmp_path / "ticks"))
-    plan = final_plan(bars_for_intervals(stored, ["1m", *INTRADAY_LABELS[8:], "1d", "1w", "1Y"]))
-    assert plan.count("FileScan") == 1
-    assert "seq" not in plan.split("ReadSchema: ")[1].split("\n")[0]
+    for labels in (["1m", *INTRADAY_LABELS[8:], "1d", "1w", "1Y"], LABELS):
+        plan = final_plan(bars_for_intervals(stored, labels))
+        assert plan.count("FileScan") == 1
+        assert plan.count("Exchange hashpartitioning(ticker") - plan.count("REPARTITION_BY_COL") <= 1 + 5
+        assert plan.count("REPARTITION_BY_COL") == (2 if labels is LABELS else 1)
+        assert "seq" not in plan.split("ReadSchema: ")[1].split("\n")[0]
