@@ -31,20 +31,28 @@ def select_series(
     start: date | None = None,
     end: date | None = None,
 ) -> DataFrame:
-    """Bars of a ticker, an interval and a range; months prune stored partitions."""
+    """Bars of a ticker, an interval and a range; periods prune stored partitions."""
     out = bars
     if label is not None:
         out = out.where(F.col("interval") == interval_of(label).label)
     if ticker is not None:
         out = out.where(F.col("ticker") == ticker.upper())
-    if "month" in bars.columns:
-        if start is not None:
-            out = out.where(F.col("month") >= start.strftime("%Y-%m"))
-        if end is not None:
-            out = out.where(F.col("month") <= end.strftime("%Y-%m"))
+    if "period" in bars.columns:
+        out = out.where(_in_periods(start, end))
     return out.where(in_range(F.col("timestamp"), start, end))
 
 
+def _in_periods(start: date | None, end: date | None) -> Column:
+    """Periods, `yyyy-MM` or `yyyy-MM-dd`, that may hold bars of the range; text order is time order."""
+    period = F.col("period")
+    kept = F.lit(True)
+    if start is not None:
+        kept = kept & ((period >= start.isoformat()) | (period == start.strftime("%Y-%m")))
+    if end is not None:
+        kept = kept & (period <= end.isoformat())
+    return kept
+
+
 def first_rows(series: DataFrame, columns: Sequence[str] | None = None, limit: int | None = ROW_LIMIT) -> DataFrame:
     """Rows in time order; the limit keeps a bounded number per task before the last merge."""
     ordered = series.orderBy("timestamp", *[k for k in ("ticker", "interval") if k in series.columns])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barloom.functions.classify import asset_type, market_type
 from barloom.functions.names import holds_keyword
 from barloom.functions.sizes import batch_count
-from barloom.operators.spread import number_rows
+from barloom.operators.spread import lookup_join, number_rows
 from barloom.operators.upsert import append_first
 from barloom.schemas import UNIVERSE_COLUMNS
 
@@ -119,12 +119,12 @@ def filter_universe(
 
 
 def with_asset_type(tickers: DataFrame, details: DataFrame | None = None) -> DataFrame:
-    """Classify tickers; `details` (ticker, type and maybe market) helps where the symbol does not."""
+    """Classify the tickers of any rows; `details` (ticker, type and maybe market) helps where the symbol does not."""
     if details is None:
         return tickers.withColumn("asset_type", asset_type(F.col("ticker")))
     market = F.col("market") if "market" in details.columns else F.lit(None).cast("string")
     known = details.select("ticker", F.col("type").alias("_type"), market.alias("_market"))
-    joined = tickers.join(known, "ticker", "left")
+    joined = lookup_join(tickers, known, ["ticker"])
     return joined.withColumn("asset_type", asset_type(F.col("ticker"), F.col("_type"), F.col("_market"))).drop(
         "_type", "_market"
     )

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.functions.intervals import in_family
+
 BAR_VALUES = ("open", "high", "low", "close", "volume", "vwap", "transactions")
 # A series is kept apart per asset type, as its storage path says.
 BAR_KEY = ("asset_type", "ticker", "interval", "timestamp")
@@ -27,7 +29,7 @@ BARS = T.StructType(
         T.StructField("ingest_seq", T.LongType()),
     ]
 )
-STORED_BARS = T.StructType([*BARS.fields, T.StructField("month", T.StringType())])
+STORED_BARS = T.StructType([*BARS.fields, T.StructField("period", T.StringType())])
 
 TICKS = T.StructType(
     [
@@ -73,6 +75,8 @@ AVAILABILITY = T.StructType(
 )
 
 
-def month_of(ts: Column) -> Column:
-    """Storage month of a bar, `yyyy-MM`."""
-    return F.date_format(ts, "yyyy-MM")
+def period_of(interval: Column, ts: Column) -> Column:
+    """Storage period of a bar: its month, or its day for second bars, of which a month would be
+    too much to rewrite for a few new ones."""
+    month, day = F.date_format(ts, "yyyy-MM"), F.date_format(ts, "yyyy-MM-dd")
+    return F.when(in_family(interval, "second"), day).otherwise(month)

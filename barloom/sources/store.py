@@ -1,4 +1,4 @@
-"""The bar store: one Parquet table partitioned by interval and month."""
+"""The bar store: one Parquet table partitioned by interval and period (month, or day for second bars)."""
 
 from __future__ import annotations
 
@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from barloom.functions.intervals import interval_of
 from barloom.functions.names import interval_in, symbol_of
 from barloom.operators.upsert import keep_one, upsert_bars
-from barloom.schemas import BAR_KEY, BARS, STORED_BARS, month_of
+from barloom.schemas import BAR_KEY, BARS, STORED_BARS, period_of
 from barloom.session import scratch_path
 from barloom.sources.folders import partition_folders, path_exists, remove_path
 
-PARTITIONS = ("interval", "month")
+PARTITIONS = ("interval", "period")
 # Text formats would otherwise cut times to milliseconds.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
@@ -30,9 +30,9 @@ def shape_bars(bars: DataFrame, asset_type: str = "equities", ingest_seq: int =
 
 
 def _laid_out(bars: DataFrame) -> DataFrame:
-    """Even files per partition: AQE splits a large (interval, month) and joins small ones."""
+    """Even files per partition: AQE splits a large (interval, period) and joins small ones."""
     return (
-        bars.withColumn("month", month_of(F.col("timestamp")))
+        bars.withColumn("period", period_of(F.col("interval"), F.col("timestamp")))
         .hint("rebalance", *[F.col(p) for p in PARTITIONS])
         .sortWithinPartitions(*PARTITIONS, "ticker", "timestamp")
     )
@@ -62,12 +62,12 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
 
 def in_partitions(pairs: Sequence[tuple[str, str]]) -> Column:
     """Predicate on partition columns only, so untouched folders are not listed or read."""
-    months: dict[str, list[str]] = {}
-    for interval, month in pairs:
-        months.setdefault(interval, []).append(month)
+    periods: dict[str, list[str]] = {}
+    for interval, period in pairs:
+        periods.setdefault(interval, []).append(period)
     kept = F.lit(False)
-    for interval, found in sorted(months.items()):
-        kept = kept | ((F.col("interval") == interval) & F.col("month").isin(sorted(found)))
+    for interval, found in sorted(periods.items()):
+        kept = kept | ((F.col("interval") == interval) & F.col("period").isin(sorted(found)))
     return kept
 
 
@@ -89,8 +89,8 @@ def merge_staged(spark: SparkSession, staged: str, path: str) -> None:
     touched = partition_folders(spark, staged, PARTITIONS)
     if touched:
         fresh = spark.read.schema(STORED_BARS).parquet(staged)
-        stored = read_bars(spark, path).where(in_partitions(touched)).drop("month")
-        write_bars(upsert_bars(stored, fresh.drop("month")), path)
+        stored = read_bars(spark, path).where(in_partitions(touched)).drop("period")
+        write_bars(upsert_bars(stored, fresh.drop("period")), path)
 
 
 def merge_bars(spark: SparkSession, new: DataFrame, path: str, seq: str | None = None) -> None:
@@ -113,13 +113,13 @@ def delete_series(spark: SparkSession, path: str, ticker: str, interval: str | N
     gone = stored.where(doomed).groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("rows")).collect()
     if not gone:
         raise LookupError(f"no stored bars for {ticker.upper()} {interval or ''}".rstrip())
-    touched = [(r["interval"], r["month"]) for r in gone]
+    touched = [(r["interval"], r["period"]) for r in gone]
     rest = stored.where(in_partitions(touched) & ~doomed)
-    kept = {(r["interval"], r["month"]) for r in rest.select(*PARTITIONS).distinct().collect()}
+    kept = {(r["interval"], r["period"]) for r in rest.select(*PARTITIONS).distinct().collect()}
     if kept:
-        write_bars(rest.drop("month"), path)
-    for label, month in set(touched) - kept:
-        remove_path(spark, f"{path}/interval={label}/month={month}")
+        write_bars(rest.drop("period"), path)
+    for label, period in set(touched) - kept:
+        remove_path(spark, f"{path}/interval={label}/period={period}")
     return sum(r["rows"] for r in gone)
 
 

@@ -69,7 +69,7 @@ def day_file_report(files: DataFrame, symbols: Sequence[str] | None, start: date
     `files` lists day files (path, bytes). A file name without a dot has no
     symbol and passes any symbol filter.
     """
-    day = F.regexp_extract("path", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
+    day = F.regexp_extract("path", r"/(?:date=)?(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
     listed = files.withColumn("date", F.to_date(F.nullif(day, F.lit(""))))
     any_file = listed.groupBy("date").agg(F.count(F.lit(1)).alias("_listed"))
     kept = listed

@@ -458,12 +458,16 @@ def statements() -> dict[str, str]:
         "market_range_totals": f"""WITH {MARKET_REPORT} SELECT count(*) AS trading_days_processed,
             count(*) FILTER (status = 'success') AS days_with_data FROM report""",
         "store_upsert": merged("DESC", "'equities' AS asset_type, ticker, interval, timestamp, open, high, low, close, volume"),
-        "store_delete": f"""WITH {TICKS} SELECT upper(ticker) AS ticker, interval, timestamp, close, strftime(timestamp, '%Y-%m') AS month
+        "store_delete": f"""WITH {TICKS} SELECT upper(ticker) AS ticker, interval, timestamp, close, strftime(timestamp, '%Y-%m') AS period
           FROM ({' UNION ALL '.join(bars(label) for label in ('1h', '1d', '1w'))})
           WHERE ticker <> 'click' AND NOT (ticker = 'view' AND interval = '1d')""",
         "store_csv": f"WITH {USER_BARS} SELECT * FROM user_bars",
         "store_json": f"WITH {USER_BARS} SELECT * FROM user_bars",
         "tick_lake": "SELECT CAST(ts AS DATE) AS date, count(*) AS rows FROM events GROUP BY 1",
+        "day_files": """SELECT d AS date, CASE WHEN isodow(d) <> 3 AND d IN (SELECT CAST(ts AS DATE) FROM events)
+            THEN 'success' ELSE 'no_data' END AS status
+          FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS d)
+          WHERE isodow(d) < 6""",
         "build_and_read": f"WITH {TICKS} SELECT 'equities' AS asset_type, ticker, timestamp, open, close, volume FROM ({bars('12h')})",
         "stream_hourly_bars": f"WITH {TICKS} {bars('1h')}",
         "storage_rows": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS num_rows FROM {t}" for t in TABLES),

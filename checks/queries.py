@@ -500,7 +500,7 @@ def store_delete(spark: SparkSession, sf: str) -> DataFrame:
     store.write_bars(store.shape_bars(built.withColumn("ticker", F.upper("ticker"))), path)
     store.delete_series(spark, path, "click")
     store.delete_series(spark, path, "view", "1d")
-    return store.read_bars(spark, path).select("ticker", "interval", "timestamp", "close", "month")
+    return store.read_bars(spark, path).select("ticker", "interval", "timestamp", "close", "period")
 
 
 def store_csv(spark: SparkSession, sf: str) -> DataFrame:
@@ -521,6 +521,14 @@ def tick_lake(spark: SparkSession, sf: str) -> DataFrame:
     return calendar.rows_per_day(ticks.read_tick_lake(spark, path))
 
 
+def day_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Events stored by day, then which weekdays have files."""
+    path = scratch_path(spark, "ticks")
+    ticks.write_tick_lake(inputs.event_ticks(spark, sf).where("weekday(timestamp) <> 2"), path)
+    report = ticks.day_file_report(storage.list_files(spark, path), None, FIRST, LAST)
+    return report.select("date", "status")
+
+
 def backfill_report(spark: SparkSession, sf: str) -> DataFrame:
     local, landed_rows = local_and_landed(spark, sf)
     path = scratch_path(spark, "bars")
@@ -621,7 +629,7 @@ def registry() -> dict[str, Query]:
         store_stats, first_last_bars,
         weekday_spine, day_coverage, missing_days, available_dates, symbol_extract, symbol_list_extract,
         landed_bars, landed_rejects, reference_rows, market_rows, market_day_report, market_range_totals,
-        store_upsert, store_delete, store_csv, store_json, tick_lake, backfill_report, build_and_read,
+        store_upsert, store_delete, store_csv, store_json, tick_lake, day_files, backfill_report, build_and_read,
         stream_hourly_bars,
         storage_rows, storage_chunks, storage_audit, storage_compare, stored_files, series_file_sizes,
         human_sizes, ratios,

@@ -193,6 +193,12 @@ def test_names(spark):
     assert got[3][2] == "1h"
 
 
+def test_day_names(spark):
+    rows = [(datetime(2024, 1, 2, 3),)]
+    got = values(spark, "t timestamp_ntz", rows, f=names.day_folder(F.col("t")), d=names.day_text(F.col("t")))
+    assert got == [("2024/01/02", "2024-01-02")]
+
+
 def test_keywords(spark):
     rows = [("A", "my test fund"), ("ATEMP", None), ("B", "Demonstration"), ("C", "plain")]
     found = names.holds_keyword(("TEST", "TEMP", "DEMO"), F.col("t"), F.col("n"))

@@ -126,14 +126,14 @@ def test_store_merge_touches_only_its_partitions(spark, bars, tmp_path):
     assert store.read_bars(spark, path).count() == 0
     store.merge_bars(spark, bars, path)
     assert store.read_bars(spark, path).count() == 16
-    before = {f.name for f in (tmp_path / "bars" / "interval=1h" / "month=2024-02").iterdir()}
+    before = {f.name for f in (tmp_path / "bars" / "interval=1h" / "period=2024-02").iterdir()}
     change = spark.createDataFrame([("AAA", "1h", hours(1)[0], 99.0), ("CCC", "1h", hours(5)[0], 5.0)], bars.schema)
     for _ in range(2):
         store.merge_bars(spark, change, path)
     stored = store.read_bars(spark, path)
     assert stored.count() == 17
     assert rows_of(stored.where("ticker = 'AAA' and interval = '1h'"), "close") == [(0.0,), (2.0,), (3.0,), (99.0,)]
-    assert {f.name for f in (tmp_path / "bars" / "interval=1h" / "month=2024-02").iterdir()} == before
+    assert {f.name for f in (tmp_path / "bars" / "interval=1h" / "period=2024-02").iterdir()} == before
     # labels that differ only in case stay apart
     assert stored.where("interval = '1M'").count() == 8 and stored.where("interval = '1m'").count() == 0
 
@@ -143,12 +143,32 @@ def test_store_reads_prune(spark, bars, tmp_path):
     store.write_bars(store.shape_bars(bars), path)
     series = query.select_series(store.read_bars(spark, path), "AAA", "1h", date(2024, 2, 1), date(2024, 2, 28)).select("close")
     plan = series._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(interval" in plan and "month" in plan
+    assert "PartitionFilters: [isnotnull(interval" in plan and "period" in plan
     assert "PushedFilters: [IsNotNull(ticker)" in plan
     assert "vwap" not in plan.split("ReadSchema")[1]
     assert rows_of(series, "close") == [(3.0,)]
 
 
+def test_second_bars_are_stored_by_day(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    rows = [("A", label, datetime(2024, 1, d, 5), float(d)) for label in ("1s", "1m") for d in (1, 15, 31)]
+    df = spark.createDataFrame(rows, "ticker string, interval string, timestamp timestamp_ntz, close double")
+    store.merge_bars(spark, df, path)
+    folders = {p.parent.name + "/" + p.name for p in (tmp_path / "bars").glob("interval=*/period=*")}
+    assert folders == {"interval=1s/period=2024-01-01", "interval=1s/period=2024-01-15", "interval=1s/period=2024-01-31", "interval=1m/period=2024-01"}
+    stored = store.read_bars(spark, path)
+    for label in ("1s", "1m"):
+        def close(start, end):
+            return rows_of(query.select_series(stored, "A", label, start, end), "close")
+
+        assert close(date(2024, 1, 2), date(2024, 1, 31)) == [(15.0,)]
+        assert close(date(2024, 1, 15), date(2024, 2, 1)) == [(15.0,), (31.0,)]
+        assert close(None, date(2024, 1, 16)) == [(1.0,), (15.0,)]
+        assert close(date(2023, 12, 31), None) == [(1.0,), (15.0,), (31.0,)]
+    day = stored.where("interval = '1s'").where(F.col("period") == "2024-01-15")
+    assert day.count() == 1
+
+
 def test_store_delete(spark, bars, tmp_path):
     path = str(tmp_path / "bars")
     store.write_bars(store.shape_bars(bars), path)
