@@ -19,23 +19,16 @@ from barloom.functions.intervals import (
     interval_of,
     width_bin,
 )
-from barloom.operators.spread import forget_partitioning
+from barloom.operators.spread import forget_partitioning, packed_order
 
 PRICE_COLUMNS = ("open", "high", "low", "close")
 
-# Wider than any 63-bit sequence number, so (timestamp, seq) packs into one
-# decimal(38,0) without overlap. A decimal is a mutable aggregation buffer and
-# keeps min_by/max_by a hash aggregate; a struct ordering would sort all ticks.
-SEQ_SPAN = "10000000000000000000"
-
 
 def tick_order(timestamp: Column, seq: Column | None) -> Column:
-    """Scalar that orders ticks by time and, where times tie, by a sequence number >= 0."""
+    """Scalar that orders ticks by time and, where times tie, by a sequence number."""
     if seq is None:
         return timestamp
-    micros = F.unix_micros(timestamp.cast("timestamp")).cast("decimal(19,0)")
-    scaled = (micros * F.lit(SEQ_SPAN).cast("decimal(20,0)")).cast("decimal(38,0)")
-    return (scaled + seq.cast("decimal(19,0)")).cast("decimal(38,0)")
+    return packed_order(F.unix_micros(timestamp.cast("timestamp")), seq)
 
 
 def tick_aggregates(has_size: bool, tie_break: str | None, extended: bool) -> list[Column]:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from barloom.functions.intervals import interval_of
 from barloom.operators.bars import bars_for_intervals
+from barloom.operators.spread import packed_order
 from barloom.schemas import BAR_KEY, SERIES_KEY
 
 FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
@@ -19,20 +20,31 @@ HISTORY_DAYS = 30
 INTRADAY_DAYS = 1
 
 
+def _lowest(kind: T.DataType) -> Column | None:
+    """Least value of an order column, None when its type cannot order a hash aggregate."""
+    if isinstance(kind, T.DecimalType):
+        return F.lit("-" + "9" * (kind.precision - kind.scale)).cast(kind)
+    bits = {T.IntegerType: 31, T.LongType: 63}.get(type(kind))
+    return None if bits is None else F.lit(-(2**bits)).cast(kind)
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], order: str, keep: str = "last") -> DataFrame:
     """One row per key: the one with the highest (`last`) or lowest (`first`) order value.
 
-    `order` must be distinct within a key. When all other columns have a fixed
-    width this is a hash aggregate with a partial step; otherwise a window whose
-    rank-one filter Spark also applies before the shuffle. Either way copies of a
-    key are dropped where they are read.
+    `order` should be distinct within a key; an unknown order comes lowest. When
+    all other columns have a fixed width this is a hash aggregate with a partial
+    step; otherwise a window whose rank-one filter Spark also applies before the
+    shuffle. Either way copies of a key are dropped where they are read.
     """
     if keep not in ("last", "first"):
         raise ValueError(f"keep must be 'last' or 'first', not {keep!r}")
     values = [c for c in df.columns if c not in keys and c != order]
-    if all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in (*values, order)):
-        pick, edge = (F.max_by, F.max) if keep == "last" else (F.min_by, F.min)
-        picked = df.groupBy(*keys).agg(*[pick(c, order).alias(c) for c in values], edge(order).alias(order))
+    lowest = _lowest(df.schema[order].dataType)
+    if lowest is not None and all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in values):
+        # max_by and min_by would pass over rows without an order
+        known = F.coalesce(F.col(order), lowest)
+        pick = F.max_by if keep == "last" else F.min_by
+        picked = df.groupBy(*keys).agg(*[pick(c, known).alias(c) for c in (*values, order)])
         return picked.select(*df.columns)
     direction = F.col(order).desc() if keep == "last" else F.col(order).asc()
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(direction))
@@ -66,14 +78,8 @@ def upsert_bars(
     if seq is None:
         merged = keep_one(both, keys or _keys_in(both), "_side", keep)
         return merged.drop("_side")
-    packed = (F.col("_side").cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(20,0)")).cast(
-        "decimal(38,0)"
-    )
-    ranked = both.withColumn("_rank_in", packed + F.col(seq).cast("decimal(19,0)")).withColumn(
-        "_rank_in", F.col("_rank_in").cast("decimal(38,0)")
-    )
-    merged = keep_one(ranked.drop("_side"), keys or _keys_in(both), "_rank_in", keep)
-    return merged.drop("_rank_in")
+    ranked = both.withColumn("_order", packed_order(F.col("_side"), F.col(seq))).drop("_side")
+    return keep_one(ranked, keys or _keys_in(both), "_order", keep).drop("_order")
 
 
 def append_first(existing: DataFrame, found: DataFrame, key: str = "ticker", order: Sequence[str] = ()) -> DataFrame:

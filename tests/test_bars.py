@@ -53,6 +53,18 @@ def test_tie_at_the_end_of_a_bin(spark):
     assert rows_of(bars_from_ticks(ticks, "5m", "seq"), "open", "close") == [(3.0, 4.0)]
 
 
+def test_negative_and_unknown_sequences(spark):
+    ticks = spark.createDataFrame(
+        [("A", at(1), 5.0, 1, None), ("A", at(1), 4.0, 1, -(2**63)), ("A", at(1), 6.0, 1, 2**63 - 1), ("B", at(1), 7.0, 1, None)],
+        SCHEMA,
+    )
+    assert rows_of(bars_from_ticks(ticks, "5m", "seq"), "ticker", "open", "close") == [("A", 4.0, 6.0), ("B", 7.0, 7.0)]
+    ends = spark.createDataFrame(
+        [("A", datetime(9999, 12, 31, 23, 59), 1.0, 1, 2**63 - 1), ("A", datetime(1, 1, 2), 2.0, 1, -(2**63))], SCHEMA
+    )
+    assert rows_of(bars_from_ticks(ends, "1d", "seq"), "open") == [(1.0,), (2.0,)]
+
+
 def test_null_prices_and_sizes(spark):
     ticks = spark.createDataFrame(
         [

@@ -42,6 +42,19 @@ def test_new_side_wins_over_a_higher_stored_sequence(spark):
     assert rows_of(upsert.upsert_bars(old, new, seq="ingest_seq"), "close", "ingest_seq") == [(2.0, 0)]
 
 
+def test_unknown_orders_come_lowest_and_lose_nothing(spark):
+    df = spark.createDataFrame([("A", 1.0, None), ("A", 2.0, -5), ("B", 3.0, None)], "k string, v double, o bigint")
+    assert rows_of(upsert.keep_one(df, ["k"], "o"), "k", "v") == [("A", 2.0), ("B", 3.0)]
+    assert rows_of(upsert.keep_one(df, ["k"], "o", "first"), "k", "v") == [("A", 1.0), ("B", 3.0)]
+    small = df.withColumn("o", F.col("o").cast("decimal(5,2)"))
+    assert rows_of(upsert.keep_one(small, ["k"], "o"), "k", "v") == [("A", 2.0), ("B", 3.0)]
+    schema = "ticker string, interval string, timestamp timestamp_ntz, close double, ingest_seq bigint"
+    old = spark.createDataFrame([("A", "1h", T0, 1.0, 2**63 - 1), ("B", "1h", T0, 1.0, None)], schema)
+    new = spark.createDataFrame([("A", "1h", T0, 2.0, -(2**63)), ("C", "1h", T0, 3.0, None)], schema)
+    got = rows_of(upsert.upsert_bars(old, new, seq="ingest_seq"), "ticker", "close")
+    assert got == [("A", 2.0), ("B", 1.0), ("C", 3.0)]
+
+
 def test_keep_one_of_strings(spark, final_plan):
     df = spark.createDataFrame([("A", "x", 1), ("A", "y", 2), ("B", "z", 3)], "k string, v string, o int")
     assert rows_of(upsert.keep_one(df, ["k"], "o"), "k", "v") == [("A", "y"), ("B", "z")]
