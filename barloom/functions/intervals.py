@@ -135,7 +135,12 @@ def in_family(interval: Column, *units: str) -> Column:
     return interval.isin(*[i.label for i in VOCABULARY.values() if i.unit in units])
 
 
+def by_label(interval: Column, table: dict[str, int | float]) -> Column:
+    """Value of a label in a small constant table, null when it has none."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), interval)
+
+
 def display_rank(interval: Column) -> Column:
     """Position in the display order, unknown labels last."""
-    table = F.create_map(*[F.lit(x) for pair in zip(DISPLAY_ORDER, range(len(DISPLAY_ORDER))) for x in pair])
-    return F.coalesce(F.try_element_at(table, interval), F.lit(UNKNOWN_ORDER))
+    table = {label: rank for rank, label in enumerate(DISPLAY_ORDER)}
+    return F.coalesce(by_label(interval, table), F.lit(UNKNOWN_ORDER))

@@ -19,11 +19,12 @@ def human_bytes(size: Column) -> Column:
     in whole numbers, an exact tie going to the even one.
     """
     value = size.cast("bigint")
-    unit, name = F.lit(1024**5), F.lit(BYTE_UNITS[-1])
-    for power in range(len(BYTE_UNITS) - 2, -1, -1):
+    unit = F.when(value < 1024, F.lit(1).cast("bigint"))
+    name = F.when(value < 1024, BYTE_UNITS[0])
+    for power in range(1, len(BYTE_UNITS) - 1):
         below = value < 1024 ** (power + 1)
-        unit = F.when(below, F.lit(1024**power).cast("bigint")).otherwise(unit)
-        name = F.when(below, F.lit(BYTE_UNITS[power])).otherwise(name)
+        unit, name = unit.when(below, F.lit(1024**power).cast("bigint")), name.when(below, BYTE_UNITS[power])
+    unit, name = unit.otherwise(F.lit(1024 ** (len(BYTE_UNITS) - 1))), name.otherwise(BYTE_UNITS[-1])
     rest = (value % unit) * 100
     part = _div(rest, unit)
     round_up = F.when((rest % unit) * 2 + part % 2 > unit, 1).otherwise(0)

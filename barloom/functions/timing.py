@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from barloom.functions.intervals import VOCABULARY, in_family
+from barloom.functions.intervals import VOCABULARY, by_label, in_family
 
 # Bars per trading day in the range form of the estimate.
 RANGE_BARS_PER_DAY = {"1d": 1.0, "1h": 6.5, "15m": 26.0, "5m": 78.0, "1m": 390.0}
@@ -79,18 +79,13 @@ def is_past(resume: Column, end_date: Column) -> Column:
 
 def range_estimate(interval: Column, days: Column) -> Column:
     """Bars expected in a range, by trading hours (5 labels, others one a day)."""
-    rate = F.lit(1.0)
-    for label, per_day in RANGE_BARS_PER_DAY.items():
-        rate = F.when(interval == label, F.lit(per_day)).otherwise(rate)
+    rate = F.coalesce(by_label(interval, RANGE_BARS_PER_DAY), F.lit(1.0))
     return (days * rate).cast("bigint")
 
 
 def probe_estimate(interval: Column, days: Column) -> Column:
     """Bars expected by the availability probe: hours ignore the multiplier, minutes divide by it."""
-    minutes = F.lit(None).cast("bigint")
-    for i in VOCABULARY.values():
-        if i.unit == "minute":
-            minutes = F.when(interval == i.label, F.lit(i.n).cast("bigint")).otherwise(minutes)
+    minutes = by_label(interval, {i.label: i.n for i in VOCABULARY.values() if i.unit == "minute"})
     return (
         F.when(in_family(interval, "hour"), (days * F.lit(TRADING_HOURS_PER_DAY)).cast("bigint"))
         .when(in_family(interval, "minute"), F.floor(days * F.lit(TRADING_MINUTES_PER_DAY) / minutes).cast("bigint"))

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.intervals import DEFAULT_LABELS, VOCABULARY, display_rank, interval_of
+from barloom.functions.intervals import DEFAULT_LABELS, VOCABULARY, by_label, display_rank, interval_of
 from barloom.functions.sizes import progress_pct
 from barloom.functions.timing import (
     age_hours,
@@ -129,9 +129,7 @@ def _of_status(status: str) -> Column:
 
 def _labels(status: str, text: Column) -> Column:
     """At most 25 labels of a ticker, in vocabulary order, joined by commas."""
-    position = F.lit(len(VOCABULARY))
-    for i in VOCABULARY.values():
-        position = F.when(F.col("interval") == i.label, F.lit(i.position)).otherwise(position)
+    position = by_label(F.col("interval"), {i.label: i.position for i in VOCABULARY.values()})
     entry = F.when(F.col("status") == status, F.struct(position.alias("p"), text.alias("t")))
     return F.array_join(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["t"]), ",")
 
