@@ -31,13 +31,18 @@ def tick_order(timestamp: Column, seq: Column | None) -> Column:
     return packed_order(F.unix_micros(timestamp.cast("timestamp")), seq)
 
 
+def with_known_price(ticks: DataFrame) -> DataFrame:
+    """NaN prices become null, once per row and not once per aggregate."""
+    return ticks.withColumn("price", F.nanvl(F.col("price"), F.lit(None).cast("double")))
+
+
 def tick_aggregates(has_size: bool, tie_break: str | None, extended: bool) -> list[Column]:
     """First, highest, lowest and last known price of a bin and its volume.
 
-    Null and NaN prices are passed over; sizes count even where the price is
-    unknown, and unknown sizes count as zero.
+    Null prices are passed over; sizes count even where the price is unknown, and
+    unknown sizes count as zero.
     """
-    price = F.nanvl(F.col("price"), F.lit(None).cast("double"))
+    price = F.col("price")
     order = F.when(price.isNotNull(), tick_order(F.col("timestamp"), F.col(tie_break) if tie_break else None))
     out = [
         F.min_by(price, order).alias("open"),
@@ -75,7 +80,7 @@ def bars_from_ticks(
     arrives already reduced to its bins.
     """
     interval = interval_of(label, allowed)
-    binned = ticks.withColumn("_bin", bin_start("timestamp", interval))
+    binned = with_known_price(ticks).withColumn("_bin", bin_start("timestamp", interval))
     bars = binned.groupBy(*keys, F.col("_bin").alias("timestamp")).agg(
         *tick_aggregates("size" in ticks.columns, tie_break, extended)
     )
@@ -142,7 +147,7 @@ def bars_for_intervals(
     """
     wanted = [interval_of(label) for label in dict.fromkeys(labels)]
     width = common_width(wanted)
-    base = ticks.withColumn("_bin", width_bin("timestamp", width))
+    base = with_known_price(ticks).withColumn("_bin", width_bin("timestamp", width))
     base = base.groupBy("ticker", F.col("_bin").alias("timestamp")).agg(
         *tick_aggregates("size" in ticks.columns, tie_break, extended)
     )

@@ -23,6 +23,7 @@ from barloom.functions.timing import (
 from barloom.operators.spread import lookup_join
 from barloom.schemas import SERIES_KEY
 
+# Fixed values of the range and pre-filter rules.
 FIRST_DAY = "1970-01-01"
 MIN_INTERVALS = 3
 FRESH_HOURS = 24

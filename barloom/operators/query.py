@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.functions.classify import normal_ticker
 from barloom.functions.intervals import interval_of
 
+# Fixed value: rows of a series answer.
 ROW_LIMIT = 1000
 
 

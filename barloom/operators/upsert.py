@@ -16,6 +16,7 @@ from barloom.operators.spread import packed_order
 from barloom.schemas import BAR_KEY, SERIES_KEY
 
 FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+# Age in days at which history gives way to recent data.
 HISTORY_DAYS = 30
 INTRADAY_DAYS = 1
 

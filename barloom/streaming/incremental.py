@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.functions.intervals import interval_of
-from barloom.operators.bars import tick_aggregates
+from barloom.operators.bars import tick_aggregates, with_known_price
 from barloom.sources.store import merge_bars
 
 
@@ -23,7 +23,7 @@ def streaming_bars(ticks: DataFrame, label: str, lateness: str, tie_break: str |
     interval = interval_of(label)
     if interval.seconds is None:
         raise ValueError(f"{label} bars roll up from daily ones and are not streamed")
-    timed = ticks.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", lateness)
+    timed = with_known_price(ticks).withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", lateness)
     grouped = timed.groupBy("ticker", F.window("timestamp", f"{interval.seconds} seconds").alias("_window"))
     bars = grouped.agg(*tick_aggregates("size" in ticks.columns, tie_break, False))
     return bars.where(F.col("open").isNotNull()).select(

@@ -471,6 +471,9 @@ def statements() -> dict[str, str]:
         "build_and_read": f"WITH {TICKS} SELECT 'equities' AS asset_type, ticker, timestamp, open, close, volume FROM ({bars('12h')})",
         "stream_hourly_bars": f"WITH {TICKS} {bars('1h')}",
         "storage_rows": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS num_rows FROM {t}" for t in TABLES),
+        "stored_files": " UNION ALL ".join(f"SELECT '{t.upper()}' AS ticker, '{t}' AS interval, count(*) >= 0 AS filled FROM {t}" for t in TABLES),
+        "series_file_sizes": """SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticker, event_type AS interval,
+            CAST(1 AS BIGINT) AS n_files, TRUE AS filled FROM events""",
         "human_sizes": f"""WITH sized AS (SELECT CAST(floor(l_extendedprice * CASE l_linenumber WHEN 1 THEN 1.0::DOUBLE
               WHEN 2 THEN 1e3 WHEN 3 THEN 1e6 WHEN 4 THEN 1e8 WHEN 5 THEN 1e10 WHEN 6 THEN 1e13 WHEN 7 THEN 1e-2
               ELSE 1.0 END) AS BIGINT) AS bytes FROM lineitem)

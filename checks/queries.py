@@ -581,12 +581,13 @@ def storage_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_files(spark: SparkSession, sf: str) -> DataFrame:
-    return storage.ticker_files(storage.list_files(spark, sf)).drop("path")
+    return storage.ticker_files(storage.list_files(spark, sf)).select("ticker", "interval", (F.col("size_mb") > 0).alias("filled"))
 
 
 def series_file_sizes(spark: SparkSession, sf: str) -> DataFrame:
     events = inputs.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("ticker"), F.col("event_type").alias("interval"), "_metadata")
-    return profile.file_sizes(events)
+    sized = profile.file_sizes(events)
+    return sized.select("ticker", "interval", "n_files", (F.col("file_bytes") > 0).alias("filled"))
 
 
 def human_sizes(spark: SparkSession, sf: str) -> DataFrame:
