@@ -41,49 +41,50 @@ def ticker_files(files: DataFrame) -> DataFrame:
     )
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            uri = path if "://" in path else "file://" + path.removeprefix("file:")
-            filesystem, inner = fs.FileSystem.from_uri(uri)
-            with filesystem.open_input_file(inner) as handle:
-                footer = pq.ParquetFile(handle).metadata
-            for g in range(footer.num_row_groups):
-                group = footer.row_group(g)
-                for c in range(group.num_columns):
-                    chunk = group.column(c)
-                    rows.append(
-                        (
-                            path,
-                            g,
-                            chunk.path_in_schema,
-                            chunk.physical_type,
-                            chunk.compression,
-                            ",".join(sorted(chunk.encodings)),
-                            chunk.total_compressed_size,
-                            chunk.total_uncompressed_size,
-                            group.num_rows,
-                            footer.num_row_groups,
-                            footer.num_columns,
-                            footer.created_by,
-                        )
-                    )
-        yield pd.DataFrame(rows, columns=[part.split()[0] for part in CHUNK_SCHEMA.split(", ")])
-
-
 def column_chunks(files: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row per column chunk; only footers are read, many files per task.
 
     The number of tasks is given outright: by their bytes the paths would all be
-    put into one.
+    put into one. The reader is a local function, so it travels by value and
+    tasks do not need this package.
     """
+
+    def read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                uri = path if "://" in path else "file://" + path.removeprefix("file:")
+                filesystem, inner = fs.FileSystem.from_uri(uri)
+                with filesystem.open_input_file(inner) as handle:
+                    footer = pq.ParquetFile(handle).metadata
+                for g in range(footer.num_row_groups):
+                    group = footer.row_group(g)
+                    for c in range(group.num_columns):
+                        chunk = group.column(c)
+                        rows.append(
+                            (
+                                path,
+                                g,
+                                chunk.path_in_schema,
+                                chunk.physical_type,
+                                chunk.compression,
+                                ",".join(sorted(chunk.encodings)),
+                                chunk.total_compressed_size,
+                                chunk.total_uncompressed_size,
+                                group.num_rows,
+                                footer.num_row_groups,
+                                footer.num_columns,
+                                footer.created_by,
+                            )
+                        )
+            yield pd.DataFrame(rows, columns=[part.split()[0] for part in CHUNK_SCHEMA.split(", ")])
+
     context = files.sparkSession.sparkContext
     paths = files.select("path").repartition(tasks or 2 * context.defaultParallelism, "path")
-    return paths.mapInPandas(_read_footers, CHUNK_SCHEMA)
+    return paths.mapInPandas(read_footers, CHUNK_SCHEMA)
 
 
 def chunk_report(chunks: DataFrame) -> DataFrame:
