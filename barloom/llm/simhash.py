@@ -72,6 +72,11 @@ def covering_masks(radius: int, bits: int = BITS) -> list[int]:
     return masks
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of differing bits; of unsigned words, since numpy counts the bits of a signed number's magnitude."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def forest(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join what is connected by steps of at most `radius` bits; no node has more than 9 of them."""
     left = np.arange(len(values))
@@ -83,7 +88,7 @@ def forest(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         while len(front) and len(left):
             near = np.zeros(len(left), bool)
             for k in range(0, len(front), 256):
-                apart = np.bitwise_count(values[left][None, :] ^ values[front[k : k + 256]][:, None])
+                apart = differing(values[left][None, :], values[front[k : k + 256]][:, None])
                 near |= (apart <= radius).any(axis=0)
             front, left = left[near], left[~near]
             order.append(front)
@@ -135,7 +140,7 @@ def near_links(values: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
         starts = np.flatnonzero(first)
         sizes = np.diff(np.append(starts, len(g)))
         two = starts[sizes == 2]
-        close = two[np.bitwise_count(v[two] ^ v[two + 1]) <= radius]
+        close = two[differing(v[two], v[two + 1]) <= radius]
         us, vs = [v[close]], [v[close + 1]]
         for start, size in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
             own = v[start : start + size]
