@@ -113,7 +113,8 @@ def drop_repeated_chunks(
     )
     drop = staged(drop, "drop")
     names = [c for c in docs.columns if c not in ("removed_lines", "removed_chunks")]
-    joined = docs.join(drop, docs[id_col] == drop["_id"], "left").select(*[docs[c] for c in names], drop["_drop"])
+    # A merge join at every size: what is dropped grows with the corpus, so it is no side to broadcast.
+    joined = docs.join(drop.hint("merge"), docs[id_col] == drop["_id"], "left").select(*[docs[c] for c in names], drop["_drop"])
     text_at = names.index(text_col)
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
