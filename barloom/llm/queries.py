@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontam, langid, line_chunks, nnpu, simhash, spiece
+from barloom.llm import cotrain, decontam, langid, line_chunks, nnpu, simhash, spiece
 from barloom.llm.common import read_table
 
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -55,6 +55,13 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return nnpu.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 3
+    model = cotrain.train(docs, read_table(spark, sf, "labels"), ~held_out)
+    return cotrain.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf, "documents"))
 
@@ -66,6 +73,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontamination": op4_decontamination,
         "op5_language": op5_language,
         "op8_toxicity": op8_toxicity,
+        "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
     }
 
