@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import cotrain, decontam, langid, line_chunks, nnpu, simhash, spiece
+from barloom.llm import cotrain, decontam, iblt, langid, line_chunks, nnpu, simhash, spiece
 from barloom.llm.common import read_table
 
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -48,6 +48,10 @@ def op5_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op7_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return iblt.fingerprints(read_table(spark, sf, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -72,6 +76,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_chunks": op3_line_chunks,
         "op4_decontamination": op4_decontamination,
         "op5_language": op5_language,
+        "op7_fingerprints": op7_fingerprints,
         "op8_toxicity": op8_toxicity,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
