@@ -132,7 +132,7 @@ def passages_of(items: Items, part_words: np.ndarray, starts: np.ndarray) -> tup
     new = np.ones(len(at), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (at[1:] - at[:-1] > sizes[item[1:]])
     begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(at)) - 1
+    end = np.append(begin[1:], len(at))[: len(begin)] - 1
     doc, item = doc[begin], item[begin]
     low = np.maximum(at[begin] - sizes[item], starts[doc])
     return doc, item, low, np.minimum(at[end] + GRAM + sizes[item], starts[doc + 1])
