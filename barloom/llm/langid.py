@@ -153,7 +153,11 @@ def train(
     keyed = usable.select(
         F.xxhash64(usable[id_col].cast("string")).alias("key"), usable[lang_col].alias("lang"), usable[text_col].alias("text")
     )
-    ranked = keyed.select("key", "lang").withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("key")))
+    # Of a frequent language only hashes low enough for some three times the wanted number are ranked;
+    # that fewer than wanted are that low is out of the question.
+    numbers = staged(keyed.groupBy("lang").agg((3.0 * per_lang / F.count("*")).alias("enough")), "langid-numbers")
+    low = keyed.select("key", "lang").join(numbers, "lang").where((F.col("key") / float(1 << 64) + 0.5) < F.col("enough"))
+    ranked = low.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("key")))
     chosen = staged(ranked.where(F.col("r") <= per_lang).select("key", "lang").distinct(), "langid-sample")
     rows = example_rows(keyed.join(chosen, ["key", "lang"], "left_semi").select("key", "lang", "text")).collect()
     rows.sort(key=lambda r: (r.key, r.lang, len(r.buckets), r.buckets))

@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import cotrain, decontam, iblt, langid, line_chunks, nnpu, simhash, spiece
+from barloom.llm import cotrain, decontam, iblt, langid, line_chunks, nnpu, simhash, spiece, surrogates
 from barloom.llm.common import read_table
 
+SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "change me")
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
@@ -19,13 +20,20 @@ def op1_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_ids"),
-        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.xxhash64("ids").alias("ids_xxhash64"),
         F.col("n_byte_ids").cast("long").alias("n_byte_ids"),
         "parity",
         "restored",
     )
 
 
+def op2_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    found = surrogates.replace_entities(read_table(spark, sf, "documents"), SURROGATE_KEY)
+    return found.select(
+        "doc_id", F.col("n_entities").cast("long").alias("n_entities"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op3_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
     found = line_chunks.drop_repeated_chunks(read_table(spark, sf, "documents"))
     return found.select(
@@ -73,6 +81,7 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_surrogates": op2_surrogates,
         "op3_line_chunks": op3_line_chunks,
         "op4_decontamination": op4_decontamination,
         "op5_language": op5_language,

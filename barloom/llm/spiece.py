@@ -6,6 +6,7 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -117,7 +118,7 @@ class PieceModel:
                     unk_token=self.pieces[self.unknown][0],
                     fuse_unk=True,
                     byte_fallback=self.byte_fallback,
-                    cache_capacity=200_000,
+                    cache_capacity=0,
                 )
             )
         steps = [normalizers.Precompiled(self.charsmap)] if self.charsmap else []
@@ -166,7 +167,7 @@ class PieceModel:
 class Encoder:
     """Encodes batches inside a task; remembers the ids of the words it has met."""
 
-    def __init__(self, data: bytes, check: bool = False, most: int = 1_000_000) -> None:
+    def __init__(self, data: bytes, check: bool = False, most: int = 300_000) -> None:
         self.model = PieceModel.parse(data)
         self.words = self.model.tokenizer()
         self.whole_words = self.words.pre_tokenizer is not None
@@ -187,18 +188,30 @@ class Encoder:
 
     def learn(self, words: list[str]) -> None:
         """Encode new words, on all threads of the tokenizers library, and compare with the sentencepiece library."""
-        found = [e.ids for e in self.words.encode_batch(words, add_special_tokens=False)]
-        right = np.ones(len(words), bool)
-        if self.judge:
-            lead = 1 if self.model.dummy_prefix else 0
-            expected = self.judge.encode([w[lead:].replace(MARK, " ") for w in words], num_threads=1)
-            right = np.fromiter((a == b for a, b in zip(found, expected, strict=True)), bool, len(words))
+        found = [e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        ends = np.cumsum(sizes)
+        right = self.compared(words, ids, ends - sizes, ends) if self.judge else np.ones(len(words), bool)
+        self.starts = np.concatenate([self.starts, len(self.pool) + ends - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.pool = np.concatenate([self.pool, *[np.array(f, np.int32) for f in found]])
+        self.pool = np.concatenate([self.pool, ids])
         self.agrees = np.concatenate([self.agrees, right])
 
+    def compared(self, words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 128) -> np.ndarray:
+        """Which words have the ids that the sentencepiece library gives, many words to a call, alone where these differ."""
+        lead = 1 if self.model.dummy_prefix else 0
+        if not self.whole_words or not lead:
+            most = 1
+        groups = range(0, len(words), most)
+        texts = ["".join(words[k : k + most])[lead:].replace(MARK, " ") for k in groups]
+        right = np.ones(len(words), bool)
+        for k, expected in zip(groups, self.judge.encode(texts, num_threads=1), strict=True):
+            stop = min(k + most, len(words))
+            if not np.array_equal(ids[starts[k] : ends[stop - 1]], expected):
+                right[k:stop] = False if most == 1 else self.compared(words[k:stop], ids, starts[k:stop], ends[k:stop], 1)
+        return right
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids one after another, offsets by text (n + 1), and whether all words of a text agree with sentencepiece."""
         if len(self.number) > self.most:
