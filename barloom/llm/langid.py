@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +21,21 @@ SAMPLE_PER_LANG = 600
 PIECES = 3
 
 
-@cache
+# Made once in a process. A plain dict, since a cached function would travel by name.
+MADE: dict[str, np.ndarray] = {}
+
+
 def letter_table() -> np.ndarray:
     """Lower-case code point of each letter of the basic plane, 0 for all else."""
+    if "letters" in MADE:
+        return MADE["letters"]
     table = np.zeros(1 << 16, np.uint32)
     for point in range(1 << 16):
         char = chr(point)
         if char.isalpha():
             lower = char.lower()
             table[point] = ord(lower[0])
+    MADE["letters"] = table
     return table
 
 

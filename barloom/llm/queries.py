@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import cotrain, decontam, iblt, langid, line_chunks, nnpu, simhash, spiece, surrogates
+from barloom.llm import cotrain, decontam, iblt, langid, line_chunks, nnpu, simhash, spiece, suffixes, surrogates
 from barloom.llm.common import read_table
 
 SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "change me")
@@ -56,6 +56,11 @@ def op5_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op6_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffixes.drop_repeats(read_table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return iblt.fingerprints(read_table(spark, sf, "documents"))
 
@@ -85,6 +90,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_chunks": op3_line_chunks,
         "op4_decontamination": op4_decontamination,
         "op5_language": op5_language,
+        "op6_repeats": op6_repeats,
         "op7_fingerprints": op7_fingerprints,
         "op8_toxicity": op8_toxicity,
         "op9_quality": op9_quality,
