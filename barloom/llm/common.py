@@ -31,6 +31,11 @@ def two_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
 
 
+def numbered(docs: DataFrame, names: list[str]) -> DataFrame:
+    """These columns of `docs` named __0, __1, ..., so that columns put beside them cannot clash."""
+    return docs.select(*[docs[c].alias(f"__{k}") for k, c in enumerate(names)])
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch, each of some `most` bytes of text or of one document."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

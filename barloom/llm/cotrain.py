@@ -178,8 +178,8 @@ def train(
     taken = ordered.mapInArrow(rows, "key long, label int, content binary, meta binary").collect()
     taken.sort(key=lambda r: (r.key, r.label, r.content, r.meta))
     label = np.array([r.label for r in taken], np.int64)
-    xc = np.array([np.frombuffer(r.content, np.float16) for r in taken], np.float32).reshape(len(taken), -1)
-    xm = np.array([np.unpackbits(np.frombuffer(r.meta, np.uint8)) for r in taken], np.float32).reshape(len(taken), -1)
+    xc = np.array([np.frombuffer(r.content, np.float16) for r in taken], np.float32).reshape(len(taken), CONTENT)
+    xm = np.array([np.unpackbits(np.frombuffer(r.meta, np.uint8)) for r in taken], np.float32).reshape(len(taken), META)
     held = np.array([r.key % 5 == 0 for r in taken], bool) & (label >= 0)
     return fit(xc, xm, label, held, rounds, added, list(meta_cols))
 

@@ -17,7 +17,7 @@ BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
 UNKNOWN = "und"
 # Training rows: so many documents of each language at most, and short pieces of each beside the whole text.
-SAMPLE_PER_LANG = 600
+SAMPLE_PER_LANG = 400
 PIECES = 3
 
 
@@ -101,7 +101,7 @@ class LanguageModel:
 
 
 def example_rows(docs: DataFrame) -> DataFrame:
-    """Sparse subword counts of each text and of a few short pieces of it, picked by the id's hash."""
+    """Buckets (16 bits) and their shares, as bytes, of each text and of a few short pieces of it, picked by the id's hash."""
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,19 +120,19 @@ def example_rows(docs: DataFrame) -> DataFrame:
                         if len(number):
                             keys.append(key)
                             langs.append(lang)
-                            buckets.append(number.astype(np.int32))
-                            counts.append(times.astype(np.float32))
+                            buckets.append(number.astype(np.uint16).tobytes())
+                            counts.append((times / times.sum()).astype(np.float32).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys, pa.int64()),
                         pa.array(langs, pa.string()),
-                        pa.array(buckets, pa.list_(pa.int32())),
-                        pa.array(counts, pa.list_(pa.float32())),
+                        pa.array(buckets, pa.binary()),
+                        pa.array(counts, pa.binary()),
                     ],
-                    ["key", "lang", "buckets", "counts"],
+                    ["key", "lang", "buckets", "shares"],
                 )
 
-    return docs.mapInArrow(examples, "key long, lang string, buckets array<int>, counts array<float>")
+    return docs.mapInArrow(examples, "key long, lang string, buckets binary, shares binary")
 
 
 def train(
@@ -175,7 +175,7 @@ def fit(rows: list, dims: int, epochs: int, rate: float, most_errors: float) ->
     if not languages:
         return LanguageModel([UNKNOWN], np.zeros((1, BUCKETS), np.float32), np.zeros(1), 1.0, 0.0)
     data = [
-        (np.array(r.buckets), np.array(r.counts, np.float32) / sum(r.counts), languages.index(r.lang), r.key % 5 == 0)
+        (np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.shares, np.float32), languages.index(r.lang), r.key % 5 == 0)
         for r in rows
     ]
     learn = [d for d in data if not d[3]] or data

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import staged, two_columns
+from barloom.llm.common import numbered, staged, two_columns
 
 MEAN_LINES = 4
 FACTOR = 31
@@ -114,8 +114,8 @@ def drop_repeated_chunks(
     drop = staged(drop, "drop")
     names = [c for c in docs.columns if c not in ("removed_lines", "removed_chunks")]
     # A merge join at every size: what is dropped grows with the corpus, so it is no side to broadcast.
-    joined = docs.join(drop.hint("merge"), docs[id_col] == drop["_id"], "left").select(*[docs[c] for c in names], drop["_drop"])
-    text_at = names.index(text_col)
+    text_at, own_id = names.index(text_col), f"__{names.index(id_col)}"
+    joined = numbered(docs, names).join(drop.hint("merge"), F.col(own_id) == F.col("_id"), "left").drop("_id")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

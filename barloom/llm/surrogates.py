@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import staged
+from barloom.llm.common import numbered, staged
 
 # Forms of address by gender.
 TITLES_M = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Господин", "Κύριος")
@@ -238,27 +238,28 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     same corpus. Null texts stay null (n_entities null), rows without entities unchanged. A row without id is replaced by
     first attempts. Rows that share an id are each replaced. A column n_entities is replaced. Only DataFrame functions run.
     """
-    names = [c for c in docs.columns if c not in ("n_entities", "_moved")]
+    names = [c for c in docs.columns if c != "n_entities"]
     found = docs.select(docs[id_col].alias("doc_id"), F.explode(F.array_distinct(F.flatten(F.transform(entities(docs[text_col]), parts)))).alias("p")).select("doc_id", "p.kind", "p.token")
     found = staged(found, "entities")
     later = later_attempts(found.select("kind", "token").distinct(), key)
-    rows = docs.select(*[docs[c] for c in names])
+    rows, own_id, own_text = numbered(docs, names), f"__{names.index(id_col)}", f"__{names.index(text_col)}"
     moved = F.lit(None).cast("map<string,int>")
     if later is not None:
         of_doc = found.join(later, ["kind", "token"]).groupBy(F.col("doc_id").alias("_moved_id")).agg(
             F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\0", "kind", "token"), "attempt"))).alias("_moved")
         )
         of_doc = staged(of_doc, "moved")
-        rows = rows.join(of_doc, docs[id_col] == of_doc["_moved_id"], "left").drop("_moved_id")
+        rows = rows.join(of_doc, F.col(own_id) == F.col("_moved_id"), "left").drop("_moved_id")
         moved = F.col("_moved")
 
     def attempt_of(kind: Column, token: Column) -> Column:
         return F.coalesce(moved[F.concat_ws("\0", kind, token)], F.lit(0))
 
-    text = F.col(text_col)
+    text = F.col(own_text)
     hits = rows.withColumn("_hits", entities(text))
     pieces = F.split(text, f"(?:{ENTITY})", -1)
     swapped = F.concat(F.transform("_hits", lambda e: replacement(e, attempt_of, key)), F.array(F.lit("")))
     rebuilt = F.array_join(F.zip_with(pieces, swapped, lambda p, s: F.concat(p, s)), "")
-    out = hits.withColumn(text_col, F.when(F.size("_hits") > 0, rebuilt).otherwise(text))
-    return out.withColumn("n_entities", F.when(text.isNotNull(), F.size("_hits"))).select(*names, "n_entities")
+    new_text = F.when(F.size("_hits") > 0, rebuilt).otherwise(text)
+    columns = [(new_text if c == text_col else F.col(f"__{k}")).alias(c) for k, c in enumerate(names)]
+    return hits.select(*columns, F.when(text.isNotNull(), F.size("_hits")).alias("n_entities"))
