@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from barloom.llm.common import mixed, staged, text_bytes, text_slices
 from barloom.llm.nnpu import bounded_sample
 
-CONTENT, META = 2048, 512
+CONTENT, META = 1024, 512
 # Bounds of the labelled rows and of the unlabelled pool, whatever the table's size.
-LABELLED, POOL = 4000, 8000
-ROUNDS, ADDED = 5, 400
+LABELLED, POOL = 3000, 5000
+ROUNDS, ADDED = 5, 300
 KEEP_FROM = 0.5
 
 
@@ -91,17 +91,17 @@ class View:
         return self.slope * self.raw(x) + self.offset
 
 
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 0.1, decay: float = 1e-4) -> View:
-    """Whole-batch Adam; both classes weigh as many rows as they have."""
-    w, b = np.zeros(x.shape[1]), 0.0
-    first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    for step in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
-        d = (p - y) / len(y)
-        grad = np.append(x.T @ d + decay * w, d.sum())
+def logistic(x: np.ndarray, y: np.ndarray, start: View | None = None, steps: int = 150, rate: float = 0.1, decay: float = 1e-4) -> View:
+    """Whole-batch Adam in single precision, from another view's weights where given."""
+    x, y = x.astype(np.float32, copy=False), y.astype(np.float32)
+    w, b = (start.weights, start.bias) if start else (np.zeros(x.shape[1], np.float32), 0.0)
+    first, second = np.zeros(len(w) + 1, np.float32), np.zeros(len(w) + 1, np.float32)
+    for step in range(1, (steps // 3 if start else steps) + 1):
+        d = (1 / (1 + np.exp(-np.clip(x @ w + np.float32(b), -30, 30))) - y) / np.float32(len(y))
+        grad = np.append(d @ x + np.float32(decay) * w, d.sum())
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
-        change = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-        w, b = w - change[:-1], b - change[-1]
+        change = np.float32(rate / (1 - 0.9**step)) * first / (np.sqrt(second / np.float32(1 - 0.999**step)) + np.float32(1e-8))
+        w, b = w - change[:-1], b - float(change[-1])
     return View(w, float(b))
 
 
@@ -195,7 +195,7 @@ def fit(xc: np.ndarray, xm: np.ndarray, label: np.ndarray, held: np.ndarray, rou
     content = meta = None
     for _ in range(rounds + 1):
         use_c, use_m = (guess_c >= 0) & ~held, (guess_m >= 0) & ~held
-        content, meta = logistic(xc[use_c], guess_c[use_c]), logistic(xm[use_m], guess_m[use_m])
+        content, meta = logistic(xc[use_c], guess_c[use_c], content), logistic(xm[use_m], guess_m[use_m], meta)
         for view, x, other in ((content, xc, guess_m), (meta, xm, guess_c)):
             open_rows = np.flatnonzero(free & (other < 0))
             p = 1 / (1 + np.exp(-np.clip(view.raw(x[open_rows]), -30, 30)))
@@ -208,10 +208,10 @@ def fit(xc: np.ndarray, xm: np.ndarray, label: np.ndarray, held: np.ndarray, rou
     judge = held if len(np.unique(label[held])) == 2 else seen
     y = label[judge].astype(float)
     for view, x in ((content, xc), (meta, xm)):
-        platt = logistic(view.raw(x[judge])[:, None] / 10, y)
+        platt = logistic(view.raw(x[judge])[:, None] / 10, y, steps=400)
         view.slope, view.offset = float(platt.weights[0]) / 10, platt.bias
     both = np.stack([np.clip(content.logit(xc[judge]), -20, 20), np.clip(meta.logit(xm[judge]), -20, 20)], axis=1)
-    joint = logistic(both / 10, y)
+    joint = logistic(both / 10, y, steps=400)
     return QualityModel(content, meta, (float(joint.weights[0]) / 10, float(joint.weights[1]) / 10, joint.bias), meta_cols)
 
 
