@@ -17,7 +17,7 @@ BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
 UNKNOWN = "und"
 # Training rows: so many documents of each language at most, and short pieces of each beside the whole text.
-SAMPLE_PER_LANG = 400
+SAMPLE_PER_LANG = 200
 PIECES = 3
 
 
