@@ -22,6 +22,8 @@ from barloom.functions.intervals import (
 from barloom.operators.spread import forget_partitioning, packed_order
 
 PRICE_COLUMNS = ("open", "high", "low", "close")
+# Size traded at known prices: what a vwap weighs by. Kept only while bars are to be rolled up.
+PRICED = "priced_volume"
 
 
 def tick_order(timestamp: Column, seq: Column | None) -> Column:
@@ -56,13 +58,14 @@ def tick_aggregates(has_size: bool, tie_break: str | None, extended: bool) -> li
         if has_size:
             weight = F.when(price.isNotNull(), F.col("size"))
             out.append((F.sum(price * weight) / F.nullif(F.sum(weight), F.lit(0))).alias("vwap"))
+            out.append(F.coalesce(F.sum(weight), F.lit(0)).cast("bigint").alias(PRICED))
         out.append(F.count(price).alias("transactions"))
     return out
 
 
 def drop_incomplete(bars: DataFrame) -> DataFrame:
-    """Drop bars with an unknown open, high, low, close or volume."""
-    return bars.dropna(subset=[c for c in (*PRICE_COLUMNS, "volume") if c in bars.columns])
+    """Drop bars with an unknown open, high, low, close or volume, and what only a roll-up needs."""
+    return bars.dropna(subset=[c for c in (*PRICE_COLUMNS, "volume") if c in bars.columns]).drop(PRICED)
 
 
 def bars_from_ticks(
@@ -72,9 +75,13 @@ def bars_from_ticks(
     extended: bool = False,
     keys: Sequence[str] = ("ticker",),
     allowed: Iterable[str] = LABELS,
+    complete: bool = True,
 ) -> DataFrame:
     """OHLC(V) bars per key and bin.
 
+    Bars without a known price are dropped. `complete=False` keeps them, with their volume and the size that a vwap
+    weighs by, for a later exact `roll_up`.
+
     Without `tie_break` the timestamps of a key must be distinct. Both forms are
     hash aggregates with a partial step before the one shuffle, so a hot ticker
     arrives already reduced to its bins.
@@ -84,7 +91,7 @@ def bars_from_ticks(
     bars = binned.groupBy(*keys, F.col("_bin").alias("timestamp")).agg(
         *tick_aggregates("size" in ticks.columns, tie_break, extended)
     )
-    bars = drop_incomplete(bars)
+    bars = drop_incomplete(bars) if complete else bars
     return bars.select(*keys, F.lit(label).alias("interval"), *[c for c in bars.columns if c not in keys])
 
 
@@ -101,31 +108,42 @@ def intraday_bars(ticks: DataFrame, label: str, tie_break: str | None = "seq") -
 
 
 def roll_aggregates(columns: Iterable[str]) -> list[Column]:
-    """Combine finer bars: first open, highest high, lowest low, last close, summed counts."""
+    """Combine finer bars: first known open, highest high, lowest low, last known close, summed counts.
+
+    A vwap weighs by the size traded at known prices where the bars carry it, else by the volume.
+    """
     columns = set(columns)
+    at = F.when(F.col("open").isNotNull(), F.col("timestamp"))
     out = [
-        F.min_by("open", "timestamp").alias("open"),
+        F.min_by("open", at).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.max_by("close", "timestamp").alias("close"),
+        F.max_by("close", F.when(F.col("close").isNotNull(), F.col("timestamp"))).alias("close"),
     ]
     if "volume" in columns:
         out.append(F.sum("volume").alias("volume"))
     if {"vwap", "volume"} <= columns:
-        weight = F.when(F.col("vwap").isNotNull(), F.col("volume"))
+        weight = F.when(F.col("vwap").isNotNull(), F.col(PRICED if PRICED in columns else "volume"))
         out.append((F.sum(F.col("vwap") * weight) / F.nullif(F.sum(weight), F.lit(0))).alias("vwap"))
+    if PRICED in columns:
+        out.append(F.sum(PRICED).alias(PRICED))
     if "transactions" in columns:
         out.append(F.sum("transactions").alias("transactions"))
     return out
 
 
 def roll_up(bars: DataFrame, source: str, target: str, keys: Sequence[str] = ("ticker",)) -> DataFrame:
-    """Coarser bars from the bars of one finer interval."""
+    """Coarser bars from the bars of one finer interval.
+
+    From bars kept with `complete=False` the result is that of the ticks. From stored bars, which lack bins without a
+    known price, it lacks their volume too.
+    """
     src, dst = interval_of(source), interval_of(target)
     if not can_roll_up(src, dst):
         raise ValueError(f"{source} bars do not nest in {target} bars")
     fine = bars.where(F.col("interval") == source).withColumn("_bin", bin_start("timestamp", dst))
     coarse = fine.groupBy(*keys, "_bin").agg(*roll_aggregates(bars.columns))
+    coarse = drop_incomplete(coarse) if PRICED in coarse.columns else coarse.dropna(subset=["open"])
     rest = [c for c in coarse.columns if c not in (*keys, "_bin")]
     return coarse.select(*keys, F.lit(target).alias("interval"), F.col("_bin").alias("timestamp"), *rest)
 
@@ -144,6 +162,8 @@ def bars_for_intervals(
     3. Where seconds are asked for beside wider intervals, the wider ones read a
        second, up to sixty times smaller exchange of minute-sized bars.
     4. Week and longer bars roll up from the daily ones.
+
+    Bins without a known price are dropped only from the finished bars: until then their volume counts.
     """
     wanted = [interval_of(label) for label in dict.fromkeys(labels)]
     width = common_width(wanted)
@@ -151,7 +171,7 @@ def bars_for_intervals(
     base = base.groupBy("ticker", F.col("_bin").alias("timestamp")).agg(
         *tick_aggregates("size" in ticks.columns, tie_break, extended)
     )
-    by_day = drop_incomplete(base).withColumn("day", F.col("timestamp").cast("date")).repartition("ticker", "day")
+    by_day = base.withColumn("day", F.col("timestamp").cast("date")).repartition("ticker", "day")
 
     seconds = [i for i in wanted if i.unit == "second"]
     wider = [i for i in wanted if i.unit != "second"]
@@ -163,7 +183,7 @@ def bars_for_intervals(
     branches += [_bars_within_days(by_day, i, width) for i in wider if i.seconds is not None]
     calendar = [i for i in wider if i.seconds is None]
     if calendar:
-        daily = _bars_within_days(by_day, interval_of("1d"), width)
+        daily = _bars_within_days(by_day, interval_of("1d"), width, complete=False)
         branches += [roll_up(daily, "1d", i.label) for i in calendar]
     return reduce(DataFrame.unionByName, branches)
 
@@ -178,7 +198,13 @@ def _within_days(by_day: DataFrame, width: int, base_width: int) -> DataFrame:
     return bars.select("ticker", F.col("_bin").alias("timestamp"), *values, "day")
 
 
-def _bars_within_days(by_day: DataFrame, interval: Interval, base_width: int) -> DataFrame:
-    values = [c for c in by_day.columns if c not in ("ticker", "day", "timestamp")]
+def _bars_within_days(by_day: DataFrame, interval: Interval, base_width: int, complete: bool = True) -> DataFrame:
     bars = _within_days(by_day, interval.seconds, base_width)
+    if complete:
+        if interval.seconds == base_width:
+            # `inline` keeps the null filter above the exchange, which the other branches read too.
+            held = [c for c in bars.columns if c not in ("ticker", "day")]
+            bars = bars.select("ticker", "day", F.inline(F.array(F.struct(*held))))
+        bars = drop_incomplete(bars)
+    values = [c for c in bars.columns if c not in ("ticker", "day", "timestamp")]
     return bars.select("ticker", F.lit(interval.label).alias("interval"), "timestamp", *values)

@@ -13,6 +13,7 @@ import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.functions.intervals import LABELS
 from barloom.session import local_session
@@ -33,7 +34,7 @@ HEADLINE = (
 
 def one_scan_per_interval(spark: SparkSession, sf: str) -> list[DataFrame]:
     """The plain way to the result of all_interval_counts: 25 scans of the ticks."""
-    return [queries.ohlcv(label, spark, sf).groupBy("interval").count() for label in LABELS]
+    return [queries.ohlcv(label, spark, sf).groupBy("interval").agg(F.count("*"), *queries.spread()) for label in LABELS]
 
 
 def drain(result: DataFrame | list[DataFrame]) -> None:

@@ -152,6 +152,16 @@ def bars(label: str, source: str = "ticks", extra: str = "", where: str = "TRUE"
       FROM {source} WHERE {where} GROUP BY 1, 3 HAVING max(price) IS NOT NULL"""
 
 
+def holey_bars(label: str, vwap: str = "round({} / 3, 6)") -> str:
+    """Bars of ticks of which some have no price: all sizes are volume, a vwap weighs the priced ones."""
+    known = "FILTER (price IS NOT NULL)"
+    return f"""SELECT ticker, '{label}' AS interval, {bins(label)} AS timestamp,
+      arg_min(price, timestamp) {known} AS open, max(price) AS high, min(price) AS low, arg_max(price, timestamp) {known} AS close,
+      CAST(coalesce(sum(size), 0) AS BIGINT) AS volume,
+      {vwap.format(f"sum(price * size) / nullif(sum(size) {known}, 0)")} AS vwap, count(price) AS transactions
+      FROM holey GROUP BY 1, 3 HAVING max(price) IS NOT NULL"""
+
+
 def order_bars(label: str, ticker: str = "o_orderpriority") -> str:
     """OHLC of orders, ties on a day decided by the order key."""
     return f"""SELECT {ticker} AS ticker, '{label}' AS interval, {bins(label).replace('timestamp)', 'o_orderdate)', 1)} AS timestamp,
@@ -280,6 +290,7 @@ def statements() -> dict[str, str]:
     vwap = ", round(sum(price * size) / sum(size), 4) AS vwap, count(price) AS transactions"
     all_bars = " UNION ALL ".join(bars(label) for label in (*WIDTHS, *CALENDAR))
     many = " UNION ALL ".join(bars(label) for label in MANY)
+    holey = "holey AS (SELECT * REPLACE (CASE WHEN size >= 20 THEN price END AS price) FROM ticks)"
     out |= {
         "day_file_bars": f"WITH {TICKS} {bars('5m')}",
         "intraday_bars": f"""WITH {TICKS}, holey AS (SELECT * REPLACE (CASE WHEN size >= 20 THEN price END AS price) FROM ticks)
@@ -291,10 +302,13 @@ def statements() -> dict[str, str]:
           {bars('1h')}""",
         "vwap_1d": f"WITH {TICKS} {bars('1d', extra=vwap)}",
         "rollup_vwap": f"WITH {TICKS} {bars('1d', extra=vwap)}",
+        "rollup_vwap_holey": f"WITH {TICKS}, {holey} {holey_bars('1d', 'round({}, 4)')}",
+        "multi_interval_holey": f"WITH {TICKS}, {holey} " + " UNION ALL ".join(holey_bars(label) for label in (*WIDTHS, *CALENDAR)),
         "rollup_1m_to_1h": f"WITH {TICKS} {bars('1h')}",
         "rollup_1d_to_1q": order_bars("1Q"),
         "multi_interval_bars": f"WITH {TICKS} {many}",
-        "all_interval_counts": f"""WITH {TICKS} SELECT interval, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume
+        "all_interval_counts": f"""WITH {TICKS} SELECT interval, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume,
+            max(open) AS open, max(high) AS high, min(low) AS low, max(close) AS close
           FROM ({all_bars}) GROUP BY interval""",
         "building_report": f"""WITH {TICKS} SELECT interval, count(*) AS symbols_processed,
             string_agg(ticker, ',' ORDER BY ticker) FILTER (r <= 10) AS symbols

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions import sizes, timing
@@ -34,6 +34,11 @@ def as_of():
     return F.lit(inputs.AS_OF).cast("timestamp_ntz")
 
 
+def spread() -> list[Column]:
+    """Aggregates that need all price columns and do not depend on the order of rows."""
+    return [f(c).alias(c) for f, c in ((F.max, "open"), (F.max, "high"), (F.min, "low"), (F.max, "close"))]
+
+
 # Bars
 
 
@@ -78,13 +83,29 @@ def rollup_vwap(spark: SparkSession, sf: str) -> DataFrame:
     return bars.roll_up(fine, "15m", "1d").withColumn("vwap", F.round("vwap", 4))
 
 
+def holey_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks of which the small ones have no price, and so whole fine bins have none."""
+    return inputs.event_ticks(spark, sf).withColumn("price", F.when(F.col("size") >= 20, F.col("price")))
+
+
+def rollup_vwap_holey(spark: SparkSession, sf: str) -> DataFrame:
+    fine = bars.bars_from_ticks(holey_ticks(spark, sf), "1m", extended=True, complete=False)
+    return bars.roll_up(fine, "1m", "1d").withColumn("vwap", F.round("vwap", 4))
+
+
+def multi_interval_holey(spark: SparkSession, sf: str) -> DataFrame:
+    out = bars.bars_for_intervals(holey_ticks(spark, sf), LABELS, extended=True)
+    # A third has no exact ties to round.
+    return out.withColumn("vwap", F.round(F.col("vwap") / 3, 6))
+
+
 def multi_interval_bars(spark: SparkSession, sf: str) -> DataFrame:
     return bars.bars_for_intervals(inputs.event_ticks(spark, sf), MANY_LABELS)
 
 
 def all_interval_counts(spark: SparkSession, sf: str) -> DataFrame:
     out = bars.bars_for_intervals(inputs.event_ticks(spark, sf), LABELS)
-    return out.groupBy("interval").agg(F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume"))
+    return out.groupBy("interval").agg(F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume"), *spread())
 
 
 def building_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -617,8 +638,8 @@ def registry() -> dict[str, Query]:
     out: dict[str, Query] = {f"ohlcv_{label}": partial(ohlcv, label) for label in FIXED_LABELS}
     out |= {f"ohlcv_{name}": partial(ohlc_orders, label) for label, name in CALENDAR_LABELS.items()}
     named = (
-        day_file_bars, intraday_bars, user_hourly_bars, vwap_1d, rollup_1m_to_1h, rollup_1d_to_1q, rollup_vwap,
-        multi_interval_bars, all_interval_counts, building_report, file_symbol_bars,
+        day_file_bars, intraday_bars, user_hourly_bars, vwap_1d, rollup_1m_to_1h, rollup_1d_to_1q, rollup_vwap, rollup_vwap_holey,
+        multi_interval_holey, multi_interval_bars, all_interval_counts, building_report, file_symbol_bars,
         upsert_keep_last, upsert_keep_first, duplicates_keep_last, append_keep_first, universe_append_count,
         hybrid_series, series_head_tail,
         high_water_mark, date_range_estimate, listed_ranges, timeframe_availability, timeframe_flags, timeframe_map,

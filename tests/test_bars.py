@@ -126,6 +126,24 @@ def test_many_intervals_equal_one_at_a_time(random_ticks):
     assert many == sorted(single)
 
 
+def test_many_intervals_equal_one_at_a_time_where_prices_are_unknown(random_ticks):
+    ticks, _ = random_ticks
+    ticks = ticks.withColumn("price", F.when(F.col("size") % 3 == 0, F.col("price")))
+    columns = ("ticker", "interval", "timestamp", "open", "high", "low", "close", "volume", "transactions", "vwap")
+    many = bars_for_intervals(ticks, LABELS, extended=True).withColumn("vwap", F.round("vwap", 6))
+    single = []
+    for label in LABELS:
+        single += rows_of(bars_from_ticks(ticks, label, extended=True).withColumn("vwap", F.round("vwap", 6)), *columns)
+    assert rows_of(many, *columns) == sorted(single)
+
+
+def test_volume_does_not_depend_on_the_other_labels(spark):
+    ticks = spark.createDataFrame([("A", at(0), 1.0, 1, 1), ("A", at(1), None, 4, 2), ("A", at(2), 3.0, 2, 3)], SCHEMA)
+    for labels in (["5m"], ["1m", "5m"], ["1s", "1m", "5m"]):
+        five = bars_for_intervals(ticks, labels).where("interval = '5m'")
+        assert rows_of(five, "volume") == [(7,)]
+
+
 @pytest.mark.parametrize(("source", "target"), [("1m", "1h"), ("1h", "1d"), ("1d", "1w"), ("1d", "3M"), ("1M", "1Y")])
 def test_roll_up_equals_direct(random_ticks, source, target):
     ticks, _ = random_ticks
