@@ -13,8 +13,8 @@ from barloom.llm.common import staged
 PARAGRAPH_END = r"(?<=[.!?|])\s+|\n+"
 TABLES = 3
 BASE_WIDTH = 4
-LEAST_WIDTH = 8
-CELLS_PER_DIGEST = 1.6
+LEAST_WIDTH = 12
+CELLS_PER_DIGEST = 1.8
 PEEL_STEPS = 15
 LEAST_KEY = -(1 << 63)
 
@@ -61,7 +61,7 @@ def range_number(key: Column, bounds: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
-    """Add block, place, next_text and next_digests: of the next row by (key, text); after the last comes the first.
+    """Add block, place, digests, next_text and next_digests: of the next row by (key, text); after the last comes the first.
 
     Rows are dealt to blocks by ranges of the key, with bounds from approximate quantiles; a block's first row visits
     the block before it too. So the texts are shuffled once, and no task holds more than a block. The driver gets the
@@ -89,8 +89,12 @@ def with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     )
     dealt = dealt.drop("block", "visited").select("*", "stay.block", "stay.guest").drop("stay")
     order = W.partitionBy("block").orderBy("guest", "key", "text")
+    # Digests are made behind the exchange, where they need not travel; small partitions, since sketches outgrow the texts.
+    parts = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
-        dealt.withColumn("place", F.row_number().over(order))
+        dealt.repartition(parts, "block")
+        .withColumn("digests", paragraph_digests(F.col("text")))
+        .withColumn("place", F.row_number().over(order))
         .withColumn("next_text", F.lead("text").over(order))
         .withColumn("next_digests", F.lead("digests").over(order))
         .where("guest = 0")
@@ -167,7 +171,7 @@ def edited_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.coalesce(docs[id_col].cast("long"), F.lit(LEAST_KEY)).alias("key"),
         F.coalesce(docs[text_col], F.lit("")).alias("text"),
     )
-    rows = with_next(own.withColumn("digests", paragraph_digests(F.col("text"))))
+    rows = with_next(own)
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
@@ -213,15 +217,17 @@ def likeness(rows: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("which"), F.col("digests").alias("a"), F.col("next_digests").alias("b")),
     )
     pairs = rows.select("block", "place", F.inline(compared))
-    done, left, attempt = None, None, 0
+    done, attempt = None, 0
     while True:
-        tried = pairs if left is None else pairs.join(left, ["block", "place", "which"], "left_semi")
-        got = staged(difference_sizes(tried, attempt), "peeled")
+        got = staged(difference_sizes(pairs, attempt), "peeled")
         good = got.where("stuck = 0")
         done = good if done is None else done.union(good)
-        left = got.where("stuck > 0").select("block", "place", "which")
+        left = got.where("stuck > 0").groupBy("block").agg(F.collect_list(F.struct("place", "which")).alias("again"))
         if not left.take(1):
             break
+        # By block alone, as the digests are dealt already: only the list of what is left travels.
+        again = F.filter(compared, lambda x: F.array_contains("again", F.struct(F.col("place"), x["which"])))
+        pairs = rows.join(staged(left, "left").hint("shuffle_hash"), "block").select("block", "place", F.inline(again))
         attempt += 1
     near = F.when(F.col("total") == 0, 1.0).otherwise(1 - F.col("found") / F.col("total"))
     return done.groupBy("block", "place").agg(
