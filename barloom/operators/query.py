@@ -54,8 +54,8 @@ def _in_periods(start: date | None, end: date | None) -> Column:
     return kept
 
 
-def first_rows(series: DataFrame, columns: Sequence[str] | None = None, limit: int | None = ROW_LIMIT) -> DataFrame:
-    """Rows in time order; the limit keeps a bounded number per task before the last merge."""
+def first_rows(series: DataFrame, columns: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
+    """Rows in time order, all of them unless a limit such as ROW_LIMIT is given; ties go by ticker and interval."""
     ordered = series.orderBy("timestamp", *[k for k in ("ticker", "interval") if k in series.columns])
     if limit is not None:
         ordered = ordered.limit(limit)

@@ -36,15 +36,23 @@ def lookup_join(
     A lookup known to be small is broadcast. Otherwise Spark decides by measured
     size, and where both sides are shuffled AQE splits the partition of a hot key
     into even pieces. It can do so only where both inputs of the join are plain
-    exchanges and nothing above needs the join's partitioning. Hence
-    `forget_partitioning` on all three: an aggregate by key after the join gets
-    its own exchange, behind its partial step, and the hot key is in no single task.
+    exchanges and nothing above needs the join's partitioning. Hence the join is on
+    a hidden copy of the key: an aggregate by key after the join gets its own
+    exchange, behind its partial step, and the hot key is in no single task.
     """
     small = lookup_rows is not None and lookup_rows <= BROADCAST_ROWS
     if small:
         return rows.join(F.broadcast(lookup), list(on), how)
-    joined = forget_partitioning(rows, on[0]).join(forget_partitioning(lookup, on[0]), list(on), how)
-    return forget_partitioning(joined, on[0])
+    # The rows keep their key as it is, so that filters on it still reach the scan; a hidden copy is joined on.
+    hidden = F.concat(F.col(on[0]), F.lit("")).alias("_hidden")
+    left = rows.select("*", hidden)
+    right = lookup.select(hidden, *[F.col(c).alias(f"_on_{c}") for c in on[1:]], *[c for c in lookup.columns if c not in on])
+    same = left["_hidden"] == right["_hidden"]
+    for c in on[1:]:
+        same = same & (left[c] == right[f"_on_{c}"])
+    joined = left.join(right, same, how).drop("_hidden", *[f"_on_{c}" for c in on[1:]])
+    first = [*on, *[c for c in rows.columns if c not in on]]
+    return joined.select(*first, *[c for c in joined.columns if c not in first])
 
 
 def forget_partitioning(df: DataFrame, key: str) -> DataFrame:

@@ -70,17 +70,12 @@ def discover(
 
 
 def _first_per_category(found: DataFrame, limit: int) -> DataFrame:
-    """First rows of each category by symbol, also where one category holds most rows.
+    """First rows of each category by symbol, then by all other columns, also where one category holds most rows.
 
-    Up to its threshold Spark cuts every task to `limit` rows per category before
-    the shuffle. Beyond, rows are numbered in a distributed global order and
-    counted from the first of their category.
+    Rows are numbered in a distributed global order and counted from the first of their category.
     """
-    threshold = int(found.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if limit <= threshold:
-        rank = F.row_number().over(W.partitionBy("category").orderBy("ticker"))
-        return found.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
-    placed = number_rows(found, ["category", "ticker"], "_place")
+    rest = [c for c in found.columns if c not in ("category", "ticker")]
+    placed = number_rows(found, ["category", "ticker", *rest], "_place")
     starts = placed.groupBy("category").agg(F.min("_place").alias("_start"))
     kept = placed.join(F.broadcast(starts), "category").where(F.col("_place") - F.col("_start") < limit)
     return kept.drop("_place", "_start")
@@ -119,11 +114,16 @@ def filter_universe(
 
 
 def with_asset_type(tickers: DataFrame, details: DataFrame | None = None) -> DataFrame:
-    """Classify the tickers of any rows; `details` (ticker, type and maybe market) helps where the symbol does not."""
+    """Classify the tickers of any rows; `details` (ticker, type and maybe market) helps where the symbol does not.
+
+    Of several details of a ticker the last by (type, market) counts.
+    """
     if details is None:
         return tickers.withColumn("asset_type", asset_type(F.col("ticker")))
     market = F.col("market") if "market" in details.columns else F.lit(None).cast("string")
-    known = details.select("ticker", F.col("type").alias("_type"), market.alias("_market"))
+    # One row for each ticker, the one with the last type and market by name.
+    known = details.groupBy("ticker").agg(F.max(F.struct(F.col("type").alias("_type"), market.alias("_market"))).alias("_best"))
+    known = known.select("ticker", "_best._type", "_best._market")
     joined = lookup_join(tickers, known, ["ticker"])
     return joined.withColumn("asset_type", asset_type(F.col("ticker"), F.col("_type"), F.col("_market"))).drop(
         "_type", "_market"
@@ -132,7 +132,7 @@ def with_asset_type(tickers: DataFrame, details: DataFrame | None = None) -> Dat
 
 def with_market_type(flags: DataFrame, details: DataFrame) -> DataFrame:
     """Market type from the symbol, the available intervals and the reference type."""
-    known = details.select("ticker", F.col("type").alias("_type"))
+    known = details.groupBy("ticker").agg(F.max("type").alias("_type"))
     joined = flags.join(known, "ticker", "left")
     rule = market_type(F.col("ticker"), F.col("has_short_minutes"), F.col("_type"))
     return joined.withColumn("market_type", rule).drop("_type")

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.functions import classify
+from barloom.functions.classify import normal_ticker
 from barloom.functions.intervals import interval_of
 from barloom.functions.names import interval_in, symbol_of
 from barloom.operators.upsert import keep_one, upsert_bars
 from barloom.schemas import BAR_KEY, BARS, STORED_BARS, period_of
-from barloom.session import scratch_path
+from barloom.session import ensure_checkpoint_dir, scratch_path
 from barloom.sources.folders import partition_folders, path_exists, remove_path
 
 PARTITIONS = ("interval", "period")
@@ -19,9 +21,18 @@ PARTITIONS = ("interval", "period")
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
-def shape_bars(bars: DataFrame, asset_type: str = "equities", ingest_seq: int = 0) -> DataFrame:
-    """All columns of the store in order; columns a bar lacks are filled in."""
-    defaults = {"asset_type": F.lit(asset_type), "ingest_seq": F.lit(ingest_seq)}
+def shape_bars(bars: DataFrame, asset_type: str | None = None, ingest_seq: int = 0) -> DataFrame:
+    """All columns of the store in order; columns a bar lacks are filled in.
+
+    The one place where all writers get their identity: tickers are upper-cased, and bars without an asset type are
+    classified by their symbol.
+    """
+    bars = bars.withColumn("ticker", normal_ticker(F.col("ticker")))
+    by_symbol = classify.asset_type(F.col("ticker"))
+    kind = F.lit(asset_type) if asset_type else by_symbol
+    if "asset_type" in bars.columns:
+        bars = bars.withColumn("asset_type", F.coalesce("asset_type", kind))
+    defaults = {"asset_type": kind, "ingest_seq": F.lit(ingest_seq)}
     columns = [
         (F.col(f.name) if f.name in bars.columns else defaults.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name)
         for f in BARS.fields
@@ -132,8 +143,14 @@ def delete_universe(spark: SparkSession, path: str, category: str) -> None:
 
 
 def write_bar_csv(bars: DataFrame, path: str, single: bool = False) -> None:
-    """CSV with header; `single` makes one file of a bounded export."""
-    out = bars.coalesce(1) if single else bars
+    """CSV with header. `single` makes one file of an export of bounded size, in time order.
+
+    The rows are fixed first, so that only the writing of the file, and not the plan above it, is one task.
+    """
+    out = bars
+    if single:
+        ensure_checkpoint_dir(bars.sparkSession)
+        out = bars.checkpoint().coalesce(1).sortWithinPartitions("ticker", "interval", "timestamp")
     out.write.mode("overwrite").option("header", "true").option("timestampNTZFormat", TIME_FORMAT).csv(path)
 
 

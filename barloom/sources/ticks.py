@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from barloom.functions.names import file_name, symbol_of
 from barloom.operators.calendar import day_coverage, day_spine
-from barloom.sources.folders import partition_folders
+from barloom.schemas import TICKS
+from barloom.sources.folders import partition_folders, path_exists
 
 REQUIRED = ("timestamp", "price")
 
@@ -33,7 +34,8 @@ def read_tick_files(
 ) -> DataFrame:
     """Ticks from files named after their symbol: ticker, timestamp, price and, if known, size and seq.
 
-    `columns` maps our names to SQL expressions over the file's columns. A file
+    `columns` maps our names to SQL expressions over the files' columns, which are
+    those of all files together. No path gives an empty table. A file
     that lacks the time or the price yields null there, and no bar comes of a
     null time or price, which is how such a file is skipped. Nanosecond times,
     as pandas writes them, are cut to micros; the session flag that lets Spark
@@ -41,11 +43,11 @@ def read_tick_files(
     """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.parquet(*paths)
+    if not paths:
+        return spark.createDataFrame([], TICKS)
+    raw = spark.read.option("mergeSchema", "true").parquet(*paths)
     mapping = columns or {c: c for c in (*REQUIRED, "size", "seq") if c in raw.columns}
-    missing = [c for c in REQUIRED if c not in mapping]
-    if missing:
-        raise ValueError(f"tick files lack {', '.join(missing)}")
+    mapping = {c: "CAST(NULL AS STRING)" for c in REQUIRED} | mapping
     ts = F.expr(mapping["timestamp"])
     if isinstance(raw.select(ts).schema[0].dataType, T.LongType):
         ts = F.expr(f"timestamp_micros({mapping['timestamp']} div 1000)")
@@ -59,8 +61,9 @@ def read_tick_files(
 def read_tick_days(
     spark: SparkSession, root: str, start: date, end: date, data_type: str = "trades", weekdays: bool = True
 ) -> DataFrame:
-    """Ticks of the day folders of a range, weekdays only unless told otherwise."""
-    return read_tick_files(spark, days_glob(root, data_type, date_range(start, end, weekdays)))
+    """Ticks of the day folders of a range, weekdays only unless told otherwise; days without a folder have none."""
+    folders = [f"{root}/{data_type}/{d.isoformat()}" for d in date_range(start, end, weekdays)]
+    return read_tick_files(spark, [f for f in folders if path_exists(spark, f)])
 
 
 def day_file_report(files: DataFrame, symbols: Sequence[str] | None, start: date, end: date) -> DataFrame:
@@ -114,14 +117,5 @@ def lake_dates(spark: SparkSession, path: str, year: int | None = None) -> DataF
 
 
 def read_tick_lake(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType(
-        [
-            T.StructField("ticker", T.StringType()),
-            T.StructField("timestamp", T.TimestampNTZType()),
-            T.StructField("price", T.DoubleType()),
-            T.StructField("size", T.LongType()),
-            T.StructField("seq", T.LongType()),
-            T.StructField("date", T.DateType()),
-        ]
-    )
+    schema = T.StructType([*TICKS.fields, T.StructField("date", T.DateType())])
     return spark.read.schema(schema).parquet(path)

@@ -60,15 +60,22 @@ def documents(
 ) -> DataFrame:
     """Documents as rows: category, created_at, count, new_tickers_added, tickers.
 
-    `totals` holds count and new_tickers_added per category, one row for each of
-    the few categories, and is broadcast. A category larger than `per_document`
-    is cut into parts by a hash of the entry, so no array grows with the
-    category; identical entries are written once.
+    `totals` holds count and new_tickers_added per category. A category that it
+    lacks is written too, with its own count and, as nothing is known of earlier
+    ones, all entries as new. A category larger than `per_document` is cut into
+    parts by a hash of the entry, so no array grows with the category; identical
+    entries are written once.
     """
     parts = F.greatest(F.ceil(F.col("count") / F.lit(per_document)), F.lit(1)).cast("int")
     columns = [c for c in UNIVERSE_COLUMNS if c in universe.columns]
     listed = universe.select("category", *columns).distinct()
-    placed = listed.join(F.broadcast(totals), "category").withColumn("_part", F.pmod(F.xxhash64(*columns), parts))
+    own = listed.groupBy("category").agg(F.count("*").alias("_own"))
+    known = own.join(totals, "category", "left").select(
+        "category",
+        F.coalesce("count", "_own").alias("count"),
+        F.coalesce("new_tickers_added", "_own").alias("new_tickers_added"),
+    )
+    placed = listed.join(known, "category").withColumn("_part", F.pmod(F.xxhash64(*columns), parts))
     grouped = placed.groupBy("category", "_part").agg(
         F.first("count").alias("count"),
         F.first("new_tickers_added").alias("new_tickers_added"),

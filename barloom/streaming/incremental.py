@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from barloom.functions.intervals import interval_of
 from barloom.operators.bars import tick_aggregates, with_known_price
 from barloom.sources.store import merge_bars
 
+LATE_ROWS = "query string, batch long, rows_dropped long"
+
 
 def streaming_bars(ticks: DataFrame, label: str, lateness: str, tie_break: str | None = None) -> DataFrame:
     """Bars of a tick stream in update mode: each change emits the whole bar again.
@@ -62,6 +64,42 @@ def stream_to_store(
     )
 
 
+class LateRows(StreamingQueryListener):
+    """Counts, over all batches of all queries while it is attached, what is dropped behind the watermark.
+
+    Attach it with `spark.streams.addListener` before a query starts. `save` appends the counts of each batch to a table,
+    so that a later run goes on from them; `total` sums that table, each batch once.
+    """
+
+    def __init__(self) -> None:
+        self.batches: dict[tuple[str, int], int] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        batch = event.progress
+        dropped = sum(state.numRowsDroppedByWatermark for state in batch.stateOperators)
+        self.batches[(str(batch.id), batch.batchId)] = dropped
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(query, batch, n) for (query, batch), n in sorted(self.batches.items())]
+        spark.createDataFrame(rows, LATE_ROWS).write.mode("append").parquet(path)
+        self.batches.clear()
+
+    @staticmethod
+    def total(spark: SparkSession, path: str) -> DataFrame:
+        """One row: partially aggregated rows dropped (rows_dropped), by all runs so far."""
+        each = spark.read.schema(LATE_ROWS).parquet(path).groupBy("query", "batch").agg(F.max("rows_dropped").alias("rows_dropped"))
+        return each.agg(F.coalesce(F.sum("rows_dropped"), F.lit(0)).alias("rows_dropped"))
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Partially aggregated rows dropped behind the watermark, over the recent batches."""
     return sum(

@@ -28,7 +28,7 @@ HEADLINE = (
     "category_filter", "asset_types", "batches", "universe_documents",
     "series_query", "series_profile", "store_stats", "day_coverage", "symbol_extract",
     "landed_bars", "market_day_report", "human_sizes",
-    "store_upsert", "backfill_report", "stream_hourly_bars", "storage_audit",
+    "store_upsert", "backfill_report", "stream_hourly_bars",
 )
 
 

@@ -452,10 +452,10 @@ def statements() -> dict[str, str]:
           FROM user_bars GROUP BY ALL""",
         "weekday_spine": f"WITH {ORDER_SPINE} SELECT * FROM spine",
         "day_coverage": f"""WITH {ORDER_SPINE} SELECT s.date, coalesce(n, 0) AS rows, CASE WHEN n > 0 THEN 'success' ELSE 'no_data' END AS status
-          FROM spine s LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders WHERE o_totalprice > 400000 GROUP BY 1) o
+          FROM spine s LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders GROUP BY 1) o
             ON s.date = o.date""",
         "missing_days": f"""WITH {ORDER_SPINE} SELECT date FROM spine WHERE date NOT IN (
-            SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_totalprice > 400000)""",
+            SELECT CAST(o_orderdate AS DATE) FROM orders)""",
         "available_dates": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE year(o_orderdate) = 1997",
         "symbol_extract": f"""WITH {USER_BARS} SELECT ticker, interval, timestamp, close FROM user_bars
           WHERE timestamp >= TIMESTAMP '2024-01-06' AND timestamp < TIMESTAMP '2024-01-22'
@@ -471,21 +471,27 @@ def statements() -> dict[str, str]:
         "market_day_report": f"WITH {MARKET_REPORT} SELECT * FROM report",
         "market_range_totals": f"""WITH {MARKET_REPORT} SELECT count(*) AS trading_days_processed,
             count(*) FILTER (status = 'success') AS days_with_data FROM report""",
-        "store_upsert": merged("DESC", "'equities' AS asset_type, ticker, interval, timestamp, open, high, low, close, volume"),
+        "store_upsert": merged("DESC", "'equities' AS asset_type, upper(ticker) AS ticker, interval, timestamp, open, high, low, close, volume"),
         "store_delete": f"""WITH {TICKS} SELECT upper(ticker) AS ticker, interval, timestamp, close, strftime(timestamp, '%Y-%m') AS period
           FROM ({' UNION ALL '.join(bars(label) for label in ('1h', '1d', '1w'))})
           WHERE ticker <> 'click' AND NOT (ticker = 'view' AND interval = '1d')""",
+        "series_limit": f"""WITH {TICKS} SELECT upper(ticker) AS ticker, timestamp, open, close, volume FROM ({bars('1m')})
+          WHERE ticker = 'view' ORDER BY timestamp LIMIT 1000""",
+        "one_identity": f"""WITH {TICKS} SELECT 'crypto' AS asset_type, 'X:' || upper(ticker) AS ticker, interval, timestamp, open,
+            CASE interval WHEN '1h' THEN close * 2 ELSE close END AS close, volume
+          FROM ({bars('1h')} UNION ALL {bars('1d')})""",
+        "csv_export": f"""WITH {HOURLY} SELECT upper(ticker) AS ticker, timestamp, open, close, volume, CAST(1 AS BIGINT) AS in_first_file
+          FROM hourly WHERE ticker = 'view' AND timestamp BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25'""",
         "store_csv": f"WITH {USER_BARS} SELECT * FROM user_bars",
         "store_json": f"WITH {USER_BARS} SELECT * FROM user_bars",
         "tick_lake": "SELECT CAST(ts AS DATE) AS date, count(*) AS rows FROM events GROUP BY 1",
-        "day_files": """SELECT d AS date, CASE WHEN isodow(d) <> 3 AND d IN (SELECT CAST(ts AS DATE) FROM events)
-            THEN 'success' ELSE 'no_data' END AS status
+        "day_files": """SELECT d AS date, CASE WHEN d IN (SELECT CAST(ts AS DATE) FROM events)
+            THEN 'success' ELSE 'no_data' END AS status, d IN (SELECT CAST(ts AS DATE) FROM events) AS has_files,
+            d IN (SELECT CAST(ts AS DATE) FROM events) AS has_bytes
           FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS d)
           WHERE isodow(d) < 6""",
-        "build_and_read": f"WITH {TICKS} SELECT 'equities' AS asset_type, ticker, timestamp, open, close, volume FROM ({bars('12h')})",
-        "stream_hourly_bars": f"WITH {TICKS} {bars('1h')}",
-        "storage_rows": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS num_rows FROM {t}" for t in TABLES),
-        "stored_files": " UNION ALL ".join(f"SELECT '{t.upper()}' AS ticker, '{t}' AS interval, count(*) >= 0 AS filled FROM {t}" for t in TABLES),
+        "build_and_read": f"WITH {TICKS} SELECT 'equities' AS asset_type, upper(ticker) AS ticker, timestamp, open, close, volume FROM ({bars('12h')})",
+        "stream_hourly_bars": f"WITH {TICKS} SELECT * REPLACE (upper(ticker) AS ticker) FROM ({bars('1h')})",
         "series_file_sizes": """SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticker, event_type AS interval,
             CAST(1 AS BIGINT) AS n_files, TRUE AS filled FROM events""",
         "human_sizes": f"""WITH sized AS (SELECT CAST(floor(l_extendedprice * CASE l_linenumber WHEN 1 THEN 1.0::DOUBLE

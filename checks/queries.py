@@ -370,10 +370,16 @@ def name_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 def series_query(spark: SparkSession, sf: str) -> DataFrame:
     hourly = bars.bars_from_ticks(inputs.event_ticks(spark, sf), "1h")
-    series = query.select_series(hourly.withColumn("ticker", F.upper("ticker")), "view", "1h", date(2024, 1, 5), date(2024, 1, 25))
+    series = query.select_series(store.shape_bars(hourly).select(*hourly.columns), "view", "1h", date(2024, 1, 5), date(2024, 1, 25))
     return query.first_rows(series)
 
 
+def series_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """The first thousand of more rows."""
+    minutes = store.shape_bars(bars.bars_from_ticks(inputs.event_ticks(spark, sf), "1m"))
+    return query.first_rows(query.select_series(minutes, "View", "1m"), ["ticker", "timestamp", "open", "close", "volume"], query.ROW_LIMIT)
+
+
 def series_columns(spark: SparkSession, sf: str) -> DataFrame:
     daily = bars.bars_from_ticks(inputs.event_ticks(spark, sf), "1d")
     return query.first_rows(query.select_series(daily, start=date(2024, 1, 3)), ["ticker", "timestamp", "close"], 60)
@@ -416,12 +422,12 @@ def weekday_spine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def day_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    rows = inputs.table(spark, sf, "orders").where(F.col("o_totalprice") > 400000).select(F.col("o_orderdate").alias("timestamp"))
+    rows = inputs.table(spark, sf, "orders").select(F.col("o_orderdate").alias("timestamp"))
     return calendar.day_coverage(weekday_spine(spark, sf), calendar.rows_per_day(rows))
 
 
 def missing_days(spark: SparkSession, sf: str) -> DataFrame:
-    rows = inputs.table(spark, sf, "orders").where(F.col("o_totalprice") > 400000)
+    rows = inputs.table(spark, sf, "orders")
     return calendar.missing_days(weekday_spine(spark, sf), rows.select(F.col("o_orderdate").cast("date").alias("date")))
 
 
@@ -518,12 +524,35 @@ def store_delete(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "bars")
     labels = ["1h", "1d", "1w"]
     built = bars.bars_for_intervals(inputs.event_ticks(spark, sf), labels)
-    store.write_bars(store.shape_bars(built.withColumn("ticker", F.upper("ticker"))), path)
+    store.write_bars(store.shape_bars(built), path)
     store.delete_series(spark, path, "click")
     store.delete_series(spark, path, "view", "1d")
     return store.read_bars(spark, path).select("ticker", "interval", "timestamp", "close", "period")
 
 
+def one_identity(spark: SparkSession, sf: str) -> DataFrame:
+    """Crypto series built from ticks, then landed by the provider in capitals, then streamed, in one store."""
+    path = scratch_path(spark, "bars")
+    rows = inputs.event_ticks(spark, sf).withColumn("ticker", F.concat(F.lit("x:"), "ticker"))
+    bar_building.build_bars(spark, rows, ["1h", "1d"], path)
+    landed_rows = bars.bars_from_ticks(rows, "1h").withColumns({"ticker": F.upper("ticker"), "close": F.col("close") * 2})
+    store.merge_bars(spark, landed_rows, path)
+    source = scratch_path(spark, "ticks")
+    rows.write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    incremental.stream_to_store(stream, "1d", path, scratch_path(spark, "checkpoint"), lateness="60 days").awaitTermination()
+    return store.read_bars(spark, path).select("asset_type", "ticker", "interval", "timestamp", "open", "close", "volume")
+
+
+def csv_export(spark: SparkSession, sf: str) -> DataFrame:
+    """A filtered series as one CSV file, read back."""
+    path = scratch_path(spark, "csv")
+    hourly = store.shape_bars(bars.bars_from_ticks(inputs.event_ticks(spark, sf), "1h"))
+    store.write_bar_csv(query.select_series(hourly, "view", "1h", date(2024, 1, 5), date(2024, 1, 25)), path, single=True)
+    found = store.read_bar_csv(spark, path)
+    return found.select("ticker", "timestamp", "open", "close", "volume", F.regexp_count("_metadata.file_name", F.lit("part-00000")).cast("bigint").alias("in_first_file"))
+
+
 def store_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     store.write_bar_csv(store.shape_bars(inputs.user_bars(spark, sf)), path)
@@ -545,9 +574,9 @@ def tick_lake(spark: SparkSession, sf: str) -> DataFrame:
 def day_files(spark: SparkSession, sf: str) -> DataFrame:
     """Events stored by day, then which weekdays have files."""
     path = scratch_path(spark, "ticks")
-    ticks.write_tick_lake(inputs.event_ticks(spark, sf).where("weekday(timestamp) <> 2"), path)
+    ticks.write_tick_lake(inputs.event_ticks(spark, sf), path)
     report = ticks.day_file_report(storage.list_files(spark, path), None, FIRST, LAST)
-    return report.select("date", "status")
+    return report.select("date", "status", (F.col("files_downloaded") > 0).alias("has_files"), (F.col("total_size_mb") > 0).alias("has_bytes"))
 
 
 def backfill_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -582,29 +611,6 @@ def stream_hourly_bars(spark: SparkSession, sf: str) -> DataFrame:
 # Storage
 
 
-def storage_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Row counts out of the footers, one row per table."""
-    report = storage.file_report(storage.column_chunks(storage.list_files(spark, sf)))
-    return report.select(F.regexp_extract("file", r"^(.*)\.parquet$", 1).alias("table_name"), "num_rows")
-
-
-def storage_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return storage.chunk_report(storage.column_chunks(storage.list_files(spark, sf))).drop("path")
-
-
-def storage_audit(spark: SparkSession, sf: str) -> DataFrame:
-    files = storage.list_files(spark, sf)
-    return storage.file_report(storage.column_chunks(files), files).drop("path")
-
-
-def storage_compare(spark: SparkSession, sf: str) -> DataFrame:
-    return storage.compare_intervals(storage.file_report(storage.column_chunks(storage.list_files(spark, sf))))
-
-
-def stored_files(spark: SparkSession, sf: str) -> DataFrame:
-    return storage.ticker_files(storage.list_files(spark, sf)).select("ticker", "interval", (F.col("size_mb") > 0).alias("filled"))
-
-
 def series_file_sizes(spark: SparkSession, sf: str) -> DataFrame:
     events = inputs.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("ticker"), F.col("event_type").alias("interval"), "_metadata")
     sized = profile.file_sizes(events)
@@ -653,7 +659,7 @@ def registry() -> dict[str, Query]:
         landed_bars, landed_rejects, reference_rows, market_rows, market_day_report, market_range_totals,
         store_upsert, store_delete, store_csv, store_json, tick_lake, day_files, backfill_report, build_and_read,
         stream_hourly_bars,
-        storage_rows, storage_chunks, storage_audit, storage_compare, stored_files, series_file_sizes,
+        series_file_sizes, series_limit, one_identity, csv_export,
         human_sizes, ratios,
     )
     out |= {f.__name__: f for f in named}

@@ -300,3 +300,27 @@ def test_compare_and_file_names(spark, tmp_path):
     assert listed == [("AAPL", "1h"), ("AAPL", "1m"), ("MSFT", "1m")]
     compared = storage.compare_intervals(storage.file_report(storage.column_chunks(files)))
     assert rows_of(compared, "ticker", "files", "rows") == [("AAPL", 2, 200), ("MSFT", 1, 100)]
+
+
+def test_tick_files_of_mixed_columns_and_missing_days(spark, tmp_path):
+    day = tmp_path / "trades" / "2024-01-02"
+    day.mkdir(parents=True)
+    times = pd.to_datetime(["2024-01-02 10:00:01", "2024-01-02 10:00:02"])
+    pd.DataFrame({"timestamp": times}).to_parquet(day / "AAA.parquet")
+    pd.DataFrame({"timestamp": times, "price": [1.0, 2.0]}).to_parquet(day / "BBB.parquet")
+    pd.DataFrame({"timestamp": times, "price": [1.0, 2.0], "size": [3, 4]}).to_parquet(day / "CCC.parquet")
+    built = bars_from_ticks(ticks.read_tick_days(spark, str(tmp_path), date(2024, 1, 1), date(2024, 1, 7)), "1m")
+    assert rows_of(built, "ticker", "volume") == [("BBB", 0), ("CCC", 7)]
+    nothing = ticks.read_tick_days(spark, str(tmp_path), date(2023, 1, 1), date(2023, 1, 7))
+    assert bars_from_ticks(nothing, "1m").count() == 0
+
+
+def test_all_rows_without_a_limit(spark):
+    df = spark.range(2500).select(F.lit("A").alias("ticker"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id, 0)").alias("timestamp"))
+    assert query.first_rows(df).count() == 2500
+    assert query.first_rows(df, limit=query.ROW_LIMIT).count() == 1000
+
+
+def test_writers_agree_on_identity(spark):
+    df = spark.createDataFrame([("x:btcusd",), ("spy",), ("aapl",)], "ticker string").withColumns({"interval": F.lit("1d"), "timestamp": F.expr("timestamp_ntz'2024-01-01'")})
+    assert rows_of(store.shape_bars(df), "asset_type", "ticker") == [("crypto", "X:BTCUSD"), ("equities", "AAPL"), ("etf", "SPY")]

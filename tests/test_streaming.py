@@ -1,11 +1,12 @@
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
 
 from barloom.operators.bars import bars_from_ticks
 from barloom.sources import store
-from barloom.streaming.incremental import late_rows, stream_to_store, streaming_bars
+from barloom.streaming.incremental import LateRows, late_rows, stream_to_store, streaming_bars
 
 SCHEMA = "ticker string, timestamp timestamp_ntz, price double, size bigint, seq bigint"
 COLUMNS = ("ticker", "timestamp", "open", "high", "low", "close", "volume")
@@ -48,9 +49,20 @@ def test_stream_equals_batch(spark, shuffled, tmp_path):
 def test_late_rows_are_dropped_and_counted(spark, shuffled, tmp_path):
     path, ticks = shuffled
     out = str(tmp_path / "bars")
+    counter = LateRows()
+    spark.streams.addListener(counter)
     query = stream_to_store(read(spark, path), "4h", out, str(tmp_path / "progress"), "1 hour")
     query.awaitTermination()
     assert late_rows(query) > 0
+    for _ in range(100):  # the listener hears of a batch a little later
+        if sum(counter.batches.values()) == late_rows(query):
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(counter)
+    counts = str(tmp_path / "late")
+    counter.save(spark, counts)
+    counter.save(spark, counts)
+    assert LateRows.total(spark, counts).first().rows_dropped == late_rows(query)
     assert 0 < store.read_bars(spark, out).count() < bars_from_ticks(ticks, "4h").count()
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] < 50
 

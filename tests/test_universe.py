@@ -126,3 +126,26 @@ def test_latest_snapshot_and_samples(spark):
     tickers = spark.createDataFrame([(f"T{i:02d}",) for i in range(30)] * 2, "ticker string")
     assert u.sample_names(tickers).collect()[0]["sample"] == [f"T{i:02d}" for i in range(10)]
     assert [r["ticker"] for r in u.sorted_tickers(tickers).collect()][:2] == ["T00", "T01"]
+
+
+def test_duplicate_details_keep_one_row_each(spark):
+    bars = spark.createDataFrame([("ABC", 1.0)], "ticker string, close double")
+    details = spark.createDataFrame([("ABC", "CS", None), ("ABC", "ETF", None)], "ticker string, type string, market string")
+    assert rows_of(u.with_asset_type(bars, details), "ticker", "close", "asset_type") == [("ABC", 1.0, "etf")]
+
+
+def test_filters_above_a_lookup_reach_the_scan(spark, tmp_path, final_plan):
+    path = str(tmp_path / "bars")
+    spark.createDataFrame([("ABC", 1.0), ("DEF", 2.0)], "ticker string, close double").write.parquet(path)
+    details = spark.createDataFrame([("ABC", "ETF", None)], "ticker string, type string, market string")
+    found = u.with_asset_type(spark.read.parquet(path), details).where("ticker = 'ABC'")
+    assert "EqualTo(ticker,ABC)" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(found, "ticker", "asset_type") == [("ABC", "etf")]
+
+
+def test_a_category_without_totals_is_written(spark, instruments):
+    found = u.discover(instruments)
+    totals = spark.createDataFrame([("crypto", 2, 0)], "category string, count long, new_tickers_added long")
+    docs = universes.documents(found, totals, datetime(2024, 1, 1))
+    got = {r.category: (r["count"], r.new_tickers_added) for r in docs.collect()}
+    assert got == {"crypto": (2, 0), "etf": (1, 1), "fx": (1, 1), "otc": (1, 1), "us_equities": (1, 1)}
