@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.intervals import interval_of
+from barloom.functions.classify import normal_ticker
+from barloom.functions.intervals import Interval, interval_of
 from barloom.operators.bars import bars_for_intervals
 from barloom.operators.spread import packed_order
 from barloom.schemas import BAR_KEY, SERIES_KEY
@@ -18,7 +19,6 @@ from barloom.schemas import BAR_KEY, SERIES_KEY
 FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 # Age in days at which history gives way to recent data.
 HISTORY_DAYS = 30
-INTRADAY_DAYS = 1
 
 
 def _lowest(kind: T.DataType) -> Column | None:
@@ -127,6 +127,24 @@ def _within_days(ts: Column, first: date, last: date) -> Column:
     return (ts >= F.lit(first).cast("timestamp_ntz")) & (ts < after)
 
 
+def first_bin_day(day: date, interval: Interval) -> date:
+    """First day of the bin of a day; the day itself for intervals up to a day."""
+    if interval.seconds is not None:
+        return day
+    if interval.trunc_unit == "week":
+        return day - timedelta(days=day.weekday())
+    months = {"month": 1, "quarter": 3, "year": 12}[interval.trunc_unit]
+    return date(day.year, (day.month - 1) // months * months + 1, 1)
+
+
+def last_bin_day(day: date, interval: Interval) -> date:
+    """Last day of the bin of a day."""
+    if interval.seconds is not None:
+        return day
+    longest = {"week": 7, "month": 31, "quarter": 92, "year": 366}[interval.trunc_unit]
+    return first_bin_day(first_bin_day(day, interval) + timedelta(days=longest), interval) - timedelta(days=1)
+
+
 def hybrid_series(
     ticks: DataFrame,
     recent_bars: DataFrame,
@@ -138,15 +156,31 @@ def hybrid_series(
 ) -> DataFrame:
     """History built from ticks, recent bars from the provider, recent winning.
 
-    The cutoff day is in both parts.
+    The bin of the cutoff day is in both parts. Both sides hold whole bins: where weeks or longer reach over the
+    start, the cutoff or the end, ticks of the whole bin are read and the provider's bar of that bin counts as
+    recent. A bar's identity is (ticker, interval, timestamp), tickers upper-cased, so stored bars with an asset type fit too.
     """
-    old_ticks = ticks.where(history_part(F.col("timestamp"), start, end, cutoff))
-    labels = [interval_of(label).label for label in labels]
-    history = bars_for_intervals(old_ticks, labels, tie_break)
-    recent = recent_bars.where(
-        F.col("interval").isin(*labels) & recent_part(F.col("timestamp"), start, end, cutoff)
-    )
-    return upsert_bars(history, recent)
+    wanted = [interval_of(label) for label in labels]
+    stop = min(end, cutoff)
+    history = None
+    if start < cutoff:
+        first, last = min(first_bin_day(start, i) for i in wanted), max(last_bin_day(stop, i) for i in wanted)
+        history = bars_for_intervals(ticks.where(_within_days(F.col("timestamp"), first, last)), [i.label for i in wanted], tie_break)
+        history = history.where(_by_interval(wanted, lambda i: _within_days(F.col("timestamp"), first_bin_day(start, i), stop)))
+    if end < cutoff:
+        recent = recent_bars.where(F.lit(False))
+    else:
+        begin = max(start, cutoff)
+        recent = recent_bars.where(_by_interval(wanted, lambda i: _within_days(F.col("timestamp"), first_bin_day(begin, i), end)))
+    sides = [side.withColumn("ticker", normal_ticker(F.col("ticker"))) for side in (history, recent) if side is not None]
+    return upsert_bars(*sides, keys=(*SERIES_KEY, "timestamp")) if len(sides) == 2 else sides[0]
+
+
+def _by_interval(wanted: Sequence[Interval], rule: Callable[[Interval], Column]) -> Column:
+    kept = F.lit(False)
+    for interval in wanted:
+        kept = kept | ((F.col("interval") == interval.label) & rule(interval))
+    return kept
 
 
 def head_tail(bars: DataFrame, n: int = 5, keys: Sequence[str] = SERIES_KEY) -> DataFrame:

@@ -185,18 +185,13 @@ def merged(direction: str, columns: str = "ticker, interval, timestamp, open, hi
 
 
 def hybrid() -> str:
+    """Bars of whole bins from 4 January on; from the bin of 20 January on the provider's."""
     parts = []
-    for label in ("1h", "1d"):
-        history = bars(label, where="timestamp >= TIMESTAMP '2024-01-01' AND timestamp < TIMESTAMP '2024-01-21'")
-        parts.append(f"SELECT *, 0 AS side FROM ({history})")
-        parts.append(
-            f"SELECT ticker, interval, timestamp, open + 1000, high + 1000, low + 1000, close + 1000, volume, 1 "
-            f"FROM ({bars(label)}) WHERE timestamp >= TIMESTAMP '2024-01-20' AND timestamp < TIMESTAMP '2024-02-01'"
-        )
+    for label, first, cut in (("1h", "04", "20"), ("1d", "04", "20"), ("1w", "01", "15"), ("1M", "01", "01")):
+        parts.append(f"SELECT *, timestamp >= TIMESTAMP '2024-01-{cut}' AS recent FROM ({bars(label)}) WHERE timestamp >= TIMESTAMP '2024-01-{first}' AND timestamp < TIMESTAMP '2024-02-01'")
+    raised = ", ".join(f"CASE WHEN recent THEN {c} + 1000 ELSE {c} END AS {c}" for c in ("open", "high", "low", "close"))
     return f"""WITH {TICKS}, sides AS ({' UNION ALL '.join(parts)})
-      SELECT * EXCLUDE (side, r) FROM (
-        SELECT *, row_number() OVER (PARTITION BY ticker, interval, timestamp ORDER BY side DESC) AS r FROM sides)
-      WHERE r = 1"""
+      SELECT CASE WHEN recent THEN 'equities' END AS asset_type, upper(ticker) AS ticker, interval, timestamp, {raised}, volume FROM sides"""
 
 
 STEPS = """CASE WHEN interval IN ('1s', '5s', '10s', '30s') THEN last_timestamp + INTERVAL 1 SECOND

@@ -26,6 +26,7 @@ CALENDAR_LABELS = {"1w": "1w", "1M": "1mo", "3M": "3mo", "1Q": "1q", "1Y": "1y"}
 MANY_LABELS = ("1m", "5m", "15m", "45m", "1h", "4h", "12h", "1d", "1w", "1M", "1Y")
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
 CUTOFF = date.fromisoformat(inputs.CUTOFF)
+HYBRID_FIRST = date(2024, 1, 4)
 PART_KEYWORDS = ("RING", "BOLT")
 CREATED = datetime(2024, 1, 31, 12, 0)
 
@@ -162,9 +163,11 @@ def universe_append_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def hybrid_series(spark: SparkSession, sf: str) -> DataFrame:
     rows = inputs.event_ticks(spark, sf)
-    provider = bars.bars_from_ticks(rows, "1h").unionByName(bars.bars_from_ticks(rows, "1d"))
+    labels = ["1h", "1d", "1w", "1M"]
+    provider = store.shape_bars(bars.bars_for_intervals(rows, labels))
     provider = provider.withColumns({c: F.col(c) + 1000 for c in ("open", "high", "low", "close")})
-    return upsert.hybrid_series(rows, provider, ["1h", "1d"], FIRST, LAST, CUTOFF)
+    out = upsert.hybrid_series(rows, provider, labels, HYBRID_FIRST, LAST, CUTOFF)
+    return out.select("asset_type", "ticker", "interval", "timestamp", "open", "high", "low", "close", "volume")
 
 
 def series_head_tail(spark: SparkSession, sf: str) -> DataFrame:

@@ -324,3 +324,18 @@ def test_all_rows_without_a_limit(spark):
 def test_writers_agree_on_identity(spark):
     df = spark.createDataFrame([("x:btcusd",), ("spy",), ("aapl",)], "ticker string").withColumns({"interval": F.lit("1d"), "timestamp": F.expr("timestamp_ntz'2024-01-01'")})
     assert rows_of(store.shape_bars(df), "asset_type", "ticker") == [("crypto", "X:BTCUSD"), ("equities", "AAPL"), ("etf", "SPY")]
+
+
+def test_backfill_does_not_hang_on_partitioning(spark, tmp_path):
+    when = datetime(2024, 1, 3)
+    ranges = spark.createDataFrame([("A", "1d", date(2024, 1, 1), date(2024, 1, 5))], "ticker string, interval string, start_date date, end_date date")
+    landed_rows = spark.createDataFrame([("A", "1d", when, float(n)) for n in range(6)], "ticker string, interval string, timestamp timestamp_ntz, close double")
+    found = set()
+    for parts in (1, 3, 6):
+        path = str(tmp_path / str(parts))
+        backfill(spark, ranges, landed_rows.repartition(parts), path)
+        found.add(store.read_bars(spark, path).first().close)
+    assert len(found) == 1
+    last = landed_rows.withColumn("ingest_seq", F.col("close").cast("long")).repartition(3)
+    backfill(spark, ranges, last, str(tmp_path / "last"))
+    assert store.read_bars(spark, str(tmp_path / "last")).first().close == 5.0
