@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from barloom.llm.common import mixed, staged, text_slices, two_columns, word_hashes
 
 GRAM = 3
-SEED_SHARE = 0.5
+# A seed's expected place in a million words is the only one, or it is in the rarer half of its item's grams.
+RARE, SEED_SHARE = 1e-6, 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 # Words of benchmark items held in a task at once; a larger benchmark is searched in blocks of items.
@@ -53,45 +54,47 @@ class Items:
         return np.flatnonzero(known), first[known]
 
 
-def gram_counts(docs: DataFrame, held: np.ndarray) -> np.ndarray:
-    """Number of documents, of all, that hold each of the grams: as many rows on the driver as the block has grams."""
+def word_shares(docs: DataFrame, held: np.ndarray) -> np.ndarray:
+    """Share of each of the words `held` (sorted hashes) in all words of all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(held), np.int64)
+        total = np.zeros(len(held) + 1, np.int64)
         for batch in batches:
             for part in text_slices(batch):
-                words, starts = word_hashes(part.column("text"))
-                where = np.searchsorted(held, value := grams(words))
+                words, _ = word_hashes(part.column("text"))
+                where = np.searchsorted(held, words)
                 known = where < len(held)
-                known[known] = held[where[known]] == value[known]
-                at = np.flatnonzero(known)
-                doc = np.searchsorted(starts, at, side="right") - 1
-                whole = at + GRAM <= starts[doc + 1]
-                pairs = np.unique(doc[whole] * len(held) + where[at][whole])
-                total += np.bincount(pairs % len(held), minlength=len(held))
+                known[known] = held[where[known]] == words[known]
+                total[:-1] += np.bincount(where[known], minlength=len(held))
+                total[-1] += len(words)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["g", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["w", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(held), np.int64)
+    # As many rows come to the driver as the block of items has different words.
+    rows = docs.select("text").mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(len(held) + 1)
     for r in rows:
-        out[r.g] = r.n
-    return out
+        out[r.w] = r.n
+    return out[:-1] / max(1, out[-1])
 
 
-def rare_seeds(items: Items, docs_with: np.ndarray, share: float) -> np.ndarray:
-    """Marks for each item its rarest grams by document count: that share of them, and all that tie with the last.
+def rare_seeds(items: Items, share_of: dict[int, float], rare: float, least: float) -> np.ndarray:
+    """Marks the grams that are rare by the corpus shares of their words, and for each item its rarest ones at least.
 
-    Being relative to the item, this leaves seeds to an item that is copied into much of the corpus.
+    A gram is rare if the product of its words' shares is at most `rare`. That does not grow with the number of copies of an
+    item, as a count of the gram itself would, so the seeds of a much copied item stay.
     """
-    keep = np.zeros(len(items.gram), bool)
-    order = np.lexsort((docs_with, items.item))
+    expected: dict[tuple[int, int], float] = {}
+    for k, words in enumerate(items.words):
+        shares = np.array([share_of[int(w)] for w in words])
+        value = np.prod([shares[j : len(words) - GRAM + 1 + j] for j in range(GRAM)], axis=0)
+        expected |= {(k, int(g)): float(v) for g, v in zip(grams(words), value, strict=True)}
+    value = np.array([expected[(int(i), int(g))] for i, g in zip(items.item, items.gram, strict=True)])
+    keep = value <= rare
+    order = np.lexsort((value, items.item))
     starts = np.searchsorted(items.item[order], np.arange(len(items.ids) + 1))
     for a, b in zip(starts[:-1], starts[1:], strict=True):
-        if b > a:
-            own = order[a:b]
-            last = docs_with[own[int(np.ceil((b - a) * share)) - 1]]
-            keep[own[docs_with[own] <= last]] = True
+        keep[order[a : a + int(np.ceil((b - a) * least))]] = True
     return keep
 
 
@@ -199,8 +202,8 @@ def contaminations(
 ) -> DataFrame:
     """Rows (doc_id, item_id, score, end_word): documents that hold a benchmark item, copied or edited.
 
-    Words are letters, digits and underscores, lower-cased. An item's rarest 3-grams by document count over the whole
-    corpus are its seeds; where some stand in a document, the passage around them, wider than the item on both sides, is
+    Words are letters, digits and underscores, lower-cased. An item's 3-grams that are rare by the word counts of the whole
+    corpus, and always its rarer half, are its seeds; where some stand in a document, the passage around them, wider than the item on both sides, is
     aligned (match 2, mismatch and gap -1). The score is the best alignment's over that of the item with itself, 1 for an
     exact copy; end_word is the place after its last word (ties: the first place). The benchmark goes to tasks in blocks
     of some two million words; every block meets every document. Null and short texts have no seeds; items of fewer than
@@ -213,8 +216,9 @@ def contaminations(
     result = None
     for block in item_blocks(benchmark, item_id_col, item_text_col):
         if len(block.ids):
-            held, pair = np.unique(block.gram, return_inverse=True)
-            block = block.only(rare_seeds(block, gram_counts(plain, held)[pair], seed_share))
+            held = np.unique(np.concatenate(block.words))
+            shares = word_shares(plain, held)
+            block = block.only(rare_seeds(block, dict(zip(held.tolist(), shares.tolist(), strict=True)), RARE, seed_share))
         found = plain.mapInArrow(_searcher(block, threshold), schema)
         result = found if result is None else result.union(found)
     return result

@@ -109,7 +109,10 @@ class PieceModel:
         from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
         if self.model_type == UNIGRAM:
-            made = Tokenizer(models.Unigram([(p, s) for p, s, _ in self.pieces], unk_id=self.unknown, byte_fallback=self.byte_fallback))
+            # Control pieces get names that no word has; byte pieces a score that no word prefers.
+            low = min(s for _, s, kind in self.pieces if kind in (NORMAL, UNUSED))
+            held = [(p + " " * (kind in (CONTROL, UNKNOWN)), low if kind == BYTE else s) for p, s, kind in self.pieces]
+            made = Tokenizer(models.Unigram(held, unk_id=self.unknown, byte_fallback=self.byte_fallback))
         else:
             made = Tokenizer(
                 models.BPE(
@@ -203,6 +206,19 @@ class Encoder:
         lead = 1 if self.model.dummy_prefix else 0
         if not self.whole_words or not lead:
             most = 1
+        blank = [k for k, w in enumerate(words) if not w.strip(MARK)] if self.whole_words else []
+        if blank:  # marks alone would join the next word, so they are checked behind a word
+            right = np.ones(len(words), bool)
+            head = self.judge.encode("a")
+            for k, got in zip(blank, self.judge.encode(["a" + words[k].replace(MARK, " ") for k in blank]), strict=True):
+                right[k] = got == head + ids[starts[k] : ends[k]].tolist()
+            rest = np.setdiff1d(np.arange(len(words)), blank)
+            if len(rest):
+                sizes = (ends - starts)[rest]
+                new_ends = np.cumsum(sizes)
+                some = ids[np.repeat(starts[rest] - new_ends + sizes, sizes) + np.arange(new_ends[-1])]
+                right[rest] = self.compared([words[k] for k in rest], some, new_ends - sizes, new_ends, most)
+            return right
         groups = range(0, len(words), most)
         texts = ["".join(words[k : k + most])[lead:].replace(MARK, " ") for k in groups]
         right = np.ones(len(words), bool)
