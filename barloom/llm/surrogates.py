@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,16 +34,34 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]
 PHONE = r"(?<!\w)\+\d{1,3}[ (.-]+\d[\d() .-]{4,}\d(?!\d)"
 ADDRESS = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
-_TITLE = "|".join(sorted(TITLES_M + TITLES_F, key=len, reverse=True))
-_GIVEN = "|".join(n for names in GIVEN.values() for n in names)
-PERSON = rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’-]*\p{{L}}(?: \p{{Lu}}[\p{{L}}'’-]*\p{{L}})?|(?:{_GIVEN}) \p{{Lu}}[\p{{L}}'’-]*\p{{L}})(?!\p{{L}})"
+
+
+def _any_of(words: Iterable[str]) -> str:
+    """Pattern of any of the words, grouped by first letter, longer ones first."""
+    groups: dict[str, list[str]] = {}
+    for word in sorted(words, key=lambda w: (w[0], -len(w), w)):
+        groups.setdefault(word[0], []).append(word[1:])
+    return "(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in groups.items()) + ")"
+
+
+NAMES = tuple(n for names in GIVEN.values() for n in names)
+NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
+# A capital that may begin one is looked for first, since few letters of a text are.
+PERSON = (
+    f"(?=[{''.join(sorted({w[0] for w in TITLES_M + TITLES_F + NAMES}))}])(?<!\\p{{L}})"
+    rf"(?:{_any_of(TITLES_M + TITLES_F)}\.? {NAME}(?: {NAME})?|{_any_of(NAMES)} {NAME})(?!\p{{L}})"
+)
 ENTITY = "|".join((EMAIL, PHONE, ADDRESS, CARD, PERSON))
 KINDS = ("email", "phone", "ip", "card", "person")
 
 
 def entities(text: Column) -> Column:
-    """All entities of a text in order, without overlap."""
-    return F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1))
+    """All entities of a text in order, without overlap. Texts without digit and @ can hold persons only."""
+    return (
+        F.when(text.rlike("[@0-9]"), F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1)))
+        .when(text.rlike(PERSON), F.regexp_extract_all(text, F.lit(f"({PERSON})"), F.lit(1)))
+        .otherwise(F.array().cast("array<string>"))
+    )
 
 
 def kind_of(entity: Column) -> Column:
