@@ -108,7 +108,9 @@ def near_links(values: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
     is split: each fingerprint belongs to a block by its hash, and every pair of blocks is compared in a group of its own.
     """
     masks = covering_masks(radius)
-    rows = values.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks]))).select(
+    # Each print becomes a row for every mask, so prints are spread before, not the files as they are.
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = values.repartition(parts, "fp").select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks]))).select(
         "fp", F.xxhash64("pos", "col").alias("bucket")
     )
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
