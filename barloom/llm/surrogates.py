@@ -159,6 +159,11 @@ def surrogate(kind: Column, token: Column, attempt: Column, key: str) -> Column:
     joined, from the tenth three. Family names are made of three syllables, from the fifth attempt on of four.
     """
     digest = F.sha2(F.concat_ws("\0", F.lit(key), kind, token, attempt.cast("string")), 512)
+    # Bound to a name by `transform`, so that it is made once and not for every letter.
+    return F.get(F.transform(F.array(digest), lambda d: _drawn(kind, token, attempt, d)), F.lit(0))
+
+
+def _drawn(kind: Column, token: Column, attempt: Column, digest: Column) -> Column:
     label = F.regexp_extract(token, r"\.[^.]+$", 0)
     domain = F.concat(_scrambled(F.substring(token, F.lit(1), F.length(token) - F.length(label)), digest), label)
     octets = F.concat_ws(".", *[(_draw(digest, F.lit(k)) % 254 + 1).cast("string") for k in range(4)])
