@@ -170,7 +170,7 @@ class PieceModel:
 class Encoder:
     """Encodes batches inside a task; remembers the ids of the words it has met."""
 
-    def __init__(self, data: bytes, check: bool = False, most: int = 300_000) -> None:
+    def __init__(self, data: bytes, check: bool = False, most: int = 100_000) -> None:
         self.model = PieceModel.parse(data)
         self.words = self.model.tokenizer()
         self.whole_words = self.words.pre_tokenizer is not None
