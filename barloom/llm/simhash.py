@@ -21,21 +21,26 @@ UPPER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
-def fingerprint(text: str, width: int) -> int:
-    """Signed 64-bit SimHash of the word shingles, repeats counted; 0 for a text without words."""
+def shingles(text: str, width: int) -> np.ndarray:
+    """Hashes of the word shingles in order; a text of fewer words is one shingle, one without words has none."""
     words = WORD.findall(text.encode().translate(UPPER))
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate([[0], ends[: len(words) - width] + 1]).tolist()
-        hash_of = xxhash.xxh64_intdigest
-        hashes = [hash_of(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)]
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[: len(words) - width] + 1]).tolist()
+    hash_of = xxhash.xxh64_intdigest
+    return np.array([hash_of(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def fingerprint(text: str, width: int) -> int:
+    """Signed 64-bit SimHash of the word shingles, repeats counted; 0 for a text without words."""
+    values = shingles(text, width)
+    if not len(values):
+        return 0
     total = np.zeros(BITS, np.int64)
-    values = np.array(hashes, np.uint64)
     for k in range(0, len(values), 1 << 14):
         part = values[k : k + (1 << 14)]
         total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -167,6 +172,13 @@ def near_duplicates(
     links, but is no component's name while it has another; repeated rows and ids are answered each.
     """
     prints = staged(fingerprints(docs, id_col, text_col, width), "fingerprints")
+    return grouped_prints(prints, radius).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def grouped_prints(prints: DataFrame, radius: int) -> DataFrame:
+    """Rows (doc_id, fp, component_id), one for each of the staged rows (doc_id, fp)."""
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     joined = components(near_links(nodes.select("fp"), radius))
     rooted = nodes.join(joined, nodes["fp"] == joined["node"], "left").select(
@@ -175,18 +187,94 @@ def near_duplicates(
     rooted = staged(rooted, "rooted")
     names = staged(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "names")
     of_print = staged(rooted.join(names, "root").select("fp", "component_id"), "classes")
-    return prints.join(of_print, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+
+
+def likeness(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two sets of shingle hashes; 1 if both are empty."""
+    one, other = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    shared = len(np.intersect1d(one, other, assume_unique=True))
+    return shared / (len(one) + len(other) - shared) if len(one) + len(other) else 1.0
+
+
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """Distinct rows (doc_id, fp, same, grams): the set of a text's shingle hashes, and its MD5, of (doc_id, text)."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch):
+                texts = [t.as_py() or "" for t in part.column(1)]
+                prints = pa.array([fingerprint(t, width) for t in texts], pa.int64())
+                grams = pa.array([np.unique(shingles(t, width)).tobytes() for t in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), prints, grams], ["doc_id", "fp", "grams"])
+
+    made = docs.mapInArrow(sets, f"doc_id {id_type}, fp long, grams binary")
+    return made.select("doc_id", "fp", F.md5("grams").alias("same"), "grams").dropDuplicates(["doc_id", "fp", "same"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, radius: int, similar: float, least: float) -> DataFrame:
+    """Ids of `pairs` (doc_id, head) all of whose texts are like a text of `head`, by their shingle sets.
+
+    Texts with the same print and set are compared with their head once.
+    """
+    own = staged(pairs.join(sets, "doc_id").select("doc_id", "head", "fp", "same"), "own-sets")
+    some = own.groupBy("head", "fp", "same").agg(F.min("doc_id").alias("doc_id"))
+    left = some.join(sets, ["doc_id", "fp", "same"]).select("head", "fp", "same", "grams")
+    right = sets.select(F.col("doc_id").alias("head"), F.col("fp").alias("head_fp"), F.col("grams").alias("head_grams"))
+    # A merge join: AQE splits the members of a head that has very many.
+    joined = left.join(right.hint("merge"), "head")
+    id_type = pairs.schema["head"].dataType.simpleString()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            head, fp, same, grams, head_fp, head_grams = batch.columns
+            like = np.array([likeness(a, b) for a, b in zip(grams.to_pylist(), head_grams.to_pylist(), strict=True)])
+            near = differing(fp.to_numpy(), head_fp.to_numpy()) <= radius
+            near = (like >= similar) | (near & (like >= least))
+            yield pa.RecordBatch.from_arrays([head, fp, same, pa.array(near)], ["head", "fp", "same", "near"])
+
+    compared = joined.select("head", "fp", "same", "grams", "head_fp", "head_grams").mapInArrow(
+        compare, f"head {id_type}, fp long, same string, near boolean"
     )
+    near = staged(compared, "compared").groupBy("head", "fp", "same").agg(F.max("near").alias("near"))
+    judged = own.join(near.hint("merge"), ["head", "fp", "same"]).groupBy("doc_id").agg(F.min("near").alias("near"))
+    return judged.where("near").select("doc_id")
 
 
 def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, radius: int = 6
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 5,
+    radius: int = 6,
+    similar: float = 0.8,
+    least: float = 0.5,
 ) -> DataFrame:
-    """The rows of `docs` with one document of each group of near copies: the one with the smallest id.
+    """The rows of `docs` without those that are a near copy of one that stays.
 
-    Rows that share an id are one document and stay or go together. Rows without id stay.
+    Links of fingerprints only propose groups, since they are transitive and unrelated texts may meet. The smallest id
+    of a group stays, and those go whose shingle set is like its own: a Jaccard similarity of `similar`, or of `least`
+    for prints within `radius` bits. The others of the group are grouped anew, until no group is left. Rows that share an
+    id are one document and stay or go together. Rows without id stay.
     """
-    found = near_duplicates(docs, id_col, text_col, width, radius)
-    gone = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")
+    plain = two_columns(docs, id_col, text_col).where("doc_id IS NOT NULL")
+    prints = staged(fingerprints(plain, width=width), "fingerprints")
+    sets, gone = None, None
+    while True:
+        found = grouped_prints(prints, radius)
+        # An id with several prints may stand in several groups; it is compared in the first.
+        pairs = found.groupBy("doc_id").agg(F.min("component_id").alias("head")).where("doc_id <> head")
+        pairs = staged(pairs, "pairs")
+        if not pairs.take(1):
+            break
+        if sets is None:
+            ids = staged(pairs.select("doc_id").union(pairs.select("head")).distinct(), "grouped-ids")
+            sets = staged(shingle_sets(plain.join(ids, "doc_id", "left_semi"), width), "shingle-sets")
+        near = staged(verified(pairs, sets, radius, similar, least), "verified")
+        gone = near if gone is None else gone.union(near)
+        rest = pairs.select("doc_id").join(near, "doc_id", "left_anti")
+        prints = staged(prints.join(rest, "doc_id", "left_semi"), "rest")
+    if gone is None:
+        return docs
+    return docs.join(gone.withColumnRenamed("doc_id", "gone"), docs[id_col] == F.col("gone"), "left_anti")
