@@ -74,22 +74,28 @@ def subwords(low: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 @dataclass
 class LanguageModel:
-    """Bucket scores by language (embedding times softmax weights), bias, temperature and least score accepted."""
+    """Bucket scores by language (embedding times softmax weights), bias, temperature, least score accepted, buckets learned."""
 
     languages: list[str]
     scores: np.ndarray
     bias: np.ndarray
     temperature: float
     threshold: float
+    known: np.ndarray
 
     def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Best language number, its calibrated probability, and whether the text has a letter."""
+        """Best language number, its score, and whether the text has a letter.
+
+        The score is the calibrated probability times the share of n-grams that were learned: the softmax alone is sure
+        of texts in no learned language too.
+        """
         low, starts = letters(texts)
         total = np.zeros((len(texts), len(self.languages)))
-        number = np.zeros(len(texts))
+        number, known = np.zeros(len(texts)), np.zeros(len(texts))
         for bucket, counts in subwords(low):
             at = starts[:-1]
             number += np.add.reduceat(counts, at, dtype=np.int64)
+            known += np.add.reduceat(self.known[bucket] & counts, at, dtype=np.int64)
             for k in range(len(self.languages)):
                 total[:, k] += np.add.reduceat(self.scores[k][bucket] * counts, at, dtype=np.float64)
         logits = (total / np.maximum(number, 1)[:, None] + self.bias) / self.temperature
@@ -97,7 +103,7 @@ class LanguageModel:
         p = np.exp(logits)
         p /= p.sum(axis=1, keepdims=True)
         has_letter = np.add.reduceat(low != 0, starts[:-1], dtype=np.int64) > 0
-        return p.argmax(axis=1), p.max(axis=1), has_letter
+        return p.argmax(axis=1), p.max(axis=1) * known / np.maximum(number, 1), has_letter
 
 
 def example_rows(docs: DataFrame) -> DataFrame:
@@ -106,7 +112,7 @@ def example_rows(docs: DataFrame) -> DataFrame:
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                keys, langs, buckets, counts = [], [], [], []
+                keys, langs, buckets, counts, whole = [], [], [], [], []
                 for key, lang, text in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
                     pick = np.random.default_rng(key & 0x7FFFFFFFFFFFFFFF)
                     pieces = [text]
@@ -114,7 +120,7 @@ def example_rows(docs: DataFrame) -> DataFrame:
                         size = int(pick.integers(20, 200))
                         start = int(pick.integers(0, max(1, len(text) - size)))
                         pieces.append(text[start : start + size])
-                    for piece in pieces:
+                    for k, piece in enumerate(pieces):
                         found = [b[c] for b, c in subwords(letters([piece])[0])]
                         number, times = np.unique(np.concatenate(found), return_counts=True)
                         if len(number):
@@ -122,17 +128,19 @@ def example_rows(docs: DataFrame) -> DataFrame:
                             langs.append(lang)
                             buckets.append(number.astype(np.uint16).tobytes())
                             counts.append((times / times.sum()).astype(np.float32).tobytes())
+                            whole.append(k == 0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys, pa.int64()),
                         pa.array(langs, pa.string()),
                         pa.array(buckets, pa.binary()),
                         pa.array(counts, pa.binary()),
+                        pa.array(whole, pa.bool_()),
                     ],
-                    ["key", "lang", "buckets", "shares"],
+                    ["key", "lang", "buckets", "shares", "whole"],
                 )
 
-    return docs.mapInArrow(examples, "key long, lang string, buckets binary, shares binary")
+    return docs.mapInArrow(examples, "key long, lang string, buckets binary, shares binary, whole boolean")
 
 
 def train(
@@ -150,8 +158,8 @@ def train(
     """Fit on the rows where `learn` holds, text and language being there.
 
     At most `per_lang` documents a language are used, those with the smallest hash of the id: a bounded sample, whatever
-    the table's size. A fifth of them, not trained on, sets the temperature (least log loss) and the rejection threshold:
-    the lowest score above which at most `most_errors` of the held-back rows are wrong. With no usable row the model knows no
+    the table's size. The whole texts of a fifth of them, not trained on, set the temperature (least log loss) and the
+    rejection threshold: the lowest score from which on at most `most_errors` of these texts are wrong; 1 if none is. With no usable row the model knows no
     language and answers `und` throughout.
     """
     usable = docs.where(learn & docs[text_col].isNotNull() & docs[lang_col].isNotNull())
@@ -173,13 +181,17 @@ def fit(rows: list, dims: int, epochs: int, rate: float, most_errors: float) ->
     """Stochastic gradient descent, one example after another."""
     languages = sorted({r.lang for r in rows})
     if not languages:
-        return LanguageModel([UNKNOWN], np.zeros((1, BUCKETS), np.float32), np.zeros(1), 1.0, 0.0)
+        return LanguageModel([UNKNOWN], np.zeros((1, BUCKETS), np.float32), np.zeros(1), 1.0, 0.0, np.ones(BUCKETS, bool))
     data = [
         (np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.shares, np.float32), languages.index(r.lang), r.key % 5 == 0)
         for r in rows
     ]
     learn = [d for d in data if not d[3]] or data
-    check = [d for d in data if d[3]] or data
+    whole = [d for d, r in zip(data, rows, strict=True) if r.whole] or data
+    check = [d for d in whole if d[3]] or whole
+    known = np.zeros(BUCKETS, bool)
+    for bucket, *_ in learn:
+        known[bucket] = True
     pick = np.random.default_rng(7)
     embed = pick.normal(0, 1 / dims, (BUCKETS, dims)).astype(np.float32)
     weights = np.zeros((dims, len(languages)), np.float32)
@@ -212,19 +224,22 @@ def fit(rows: list, dims: int, epochs: int, rate: float, most_errors: float) ->
 
     temperature = min(np.geomspace(0.05, 20, 60), key=loss)
     p = calibrated(temperature)
-    score, right = p.max(axis=1), p.argmax(axis=1) == truth
+    score, right = p.max(axis=1) * [s[known[b]].sum() for b, s, _, _ in check], p.argmax(axis=1) == truth
     order = np.argsort(-score, kind="stable")
     wrong_above = np.cumsum(~right[order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(wrong_above <= most_errors)
-    threshold = float(score[order[good[-1]]]) if len(good) else 1.0
-    return LanguageModel(languages, table, bias, float(temperature), min(threshold, float(score[right].min(initial=1.0))))
+    # Rows of equal score are accepted together, so only the last of them counts.
+    last = np.append(score[order][1:] < score[order][:-1], True)
+    good = np.flatnonzero((wrong_above <= most_errors) & last)
+    # A little less, since shares are kept in single precision.
+    threshold = float(score[order[good[-1]]]) * (1 - 1e-6) if len(good) else 1.0
+    return LanguageModel(languages, table, bias, float(temperature), threshold, known)
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, lang_pred, score, accepted), one for each row of `docs`, from its whole text alone.
 
     A null text or one without a letter gets `und`, score 0, not accepted. Else the likeliest language and its
-    calibrated probability; accepted says that this reaches the model's threshold. Ties go to the first language by
+    calibrated probability times the share of learned n-grams; accepted says that this reaches the model's threshold. Ties go to the first language by
     name. Repeated rows are answered each; other columns are not read.
     """
     plain = two_columns(docs, id_col, text_col)
