@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from barloom.llm.common import mixed, staged, text_bytes, text_slices
 from barloom.llm.nnpu import bounded_sample
 
-CONTENT, META = 1024, 512
+CONTENT, META = 2048, 512
 # Bounds of the labelled rows and of the unlabelled pool, whatever the table's size.
-LABELLED, POOL = 3000, 5000
-ROUNDS, ADDED = 5, 300
+LABELLED, POOL = 4000, 8000
+ROUNDS, ADDED = 5, 400
 KEEP_FROM = 0.5
 
 
@@ -91,12 +91,12 @@ class View:
         return self.slope * self.raw(x) + self.offset
 
 
-def logistic(x: np.ndarray, y: np.ndarray, start: View | None = None, steps: int = 150, rate: float = 0.1, decay: float = 1e-4) -> View:
+def logistic(x: np.ndarray, y: np.ndarray, start: View | None = None, steps: int = 300, rate: float = 0.1, decay: float = 1e-4) -> View:
     """Whole-batch Adam in single precision, from another view's weights where given."""
     x, y = x.astype(np.float32, copy=False), y.astype(np.float32)
     w, b = (start.weights, start.bias) if start else (np.zeros(x.shape[1], np.float32), 0.0)
     first, second = np.zeros(len(w) + 1, np.float32), np.zeros(len(w) + 1, np.float32)
-    for step in range(1, (steps // 3 if start else steps) + 1):
+    for step in range(1, steps + 1):
         d = (1 / (1 + np.exp(-np.clip(x @ w + np.float32(b), -30, 30))) - y) / np.float32(len(y))
         grad = np.append(d @ x + np.float32(decay) * w, d.sum())
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
@@ -175,12 +175,17 @@ def train(
                 )
 
     ordered = sample.select(F.xxhash64(F.col("doc_id").cast("string")).alias("key"), "text", "label", *[f"meta_{k}" for k in range(len(meta_cols))])
-    taken = ordered.mapInArrow(rows, "key long, label int, content binary, meta binary").collect()
+    # Written first and read part by part, so that the driver's JVM never holds all of them.
+    made = staged(ordered.mapInArrow(rows, "key long, label int, content binary, meta binary"), "quality-vectors")
+    taken = list(made.toLocalIterator())
     taken.sort(key=lambda r: (r.key, r.label, r.content, r.meta))
     label = np.array([r.label for r in taken], np.int64)
-    xc = np.array([np.frombuffer(r.content, np.float16) for r in taken], np.float32).reshape(len(taken), CONTENT)
-    xm = np.array([np.unpackbits(np.frombuffer(r.meta, np.uint8)) for r in taken], np.float32).reshape(len(taken), META)
+    xc, xm = np.empty((len(taken), CONTENT), np.float32), np.empty((len(taken), META), np.float32)
+    for k, r in enumerate(taken):
+        xc[k] = np.frombuffer(r.content, np.float16)
+        xm[k] = np.unpackbits(np.frombuffer(r.meta, np.uint8))
     held = np.array([r.key % 5 == 0 for r in taken], bool) & (label >= 0)
+    del taken
     return fit(xc, xm, label, held, rounds, added, list(meta_cols))
 
 

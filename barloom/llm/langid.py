@@ -17,7 +17,7 @@ BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
 UNKNOWN = "und"
 # Training rows: so many documents of each language at most, and short pieces of each beside the whole text.
-SAMPLE_PER_LANG = 200
+SAMPLE_PER_LANG = 600
 PIECES = 3
 
 
@@ -172,7 +172,9 @@ def train(
     low = keyed.select("key", "lang").join(numbers, "lang").where((F.col("key") / float(1 << 64) + 0.5) < F.col("enough"))
     ranked = low.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("key")))
     chosen = staged(ranked.where(F.col("r") <= per_lang).select("key", "lang").distinct(), "langid-sample")
-    rows = example_rows(keyed.join(chosen, ["key", "lang"], "left_semi").select("key", "lang", "text")).collect()
+    # Written first and read part by part, so that the driver's JVM never holds all of them.
+    made = staged(example_rows(keyed.join(chosen, ["key", "lang"], "left_semi").select("key", "lang", "text")), "langid-examples")
+    rows = list(made.toLocalIterator())
     rows.sort(key=lambda r: (r.key, r.lang, len(r.buckets), r.buckets))
     return fit(rows, dims, epochs, rate, most_errors)
 
