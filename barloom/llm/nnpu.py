@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from barloom.llm.common import mixed, staged, text_bytes, text_slices, two_columns, word_hashes
 
-# Bounds of the training sample, whatever the table's size, and of the features kept.
-POSITIVES, UNLABELLED, FEATURES = 4000, 12000, 4096
+# Bounds of the sample that the weights are fitted on, whatever the table's size, and of the features kept.
+POSITIVES, UNLABELLED, FEATURES = 4000, 12000, 1 << 16
+LEAST_POSITIVES = 3
 GRAM = 5
 SIEVE = 1 << 20
 THRESHOLD = 0.7
@@ -96,9 +97,10 @@ def train(
 ) -> ToxicityModel:
     """Fit on texts labelled 1 and on texts taken as unlabelled, both among the rows where `learn` holds.
 
-    `learn` is an expression over the id column. The samples are bounded by the parameters. The share of ones among the
-    labelled learning rows is the class prior. Features are the strings with the largest log odds of standing in a
-    positive text against an unlabelled one. Without a positive or an unlabelled text every score is the prior (0 if
+    `learn` is an expression over the id column. The share of ones among the labelled learning rows is the class prior.
+    Features are the strings with the largest log odds of standing in a positive text against any text, counted over all
+    these rows. Weights are fitted on samples bounded by the parameters; a feature that none of them has keeps its log
+    odds less two standard errors. Without a positive or an unlabelled text every score is the prior (0 if
     there is no label).
     """
     plain = two_columns(docs.where(learn), id_col, text_col)
@@ -106,7 +108,8 @@ def train(
     marks = marks.groupBy("doc_id").agg(F.max("label").alias("label"))
     counted = marks.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("label") == 1).cast("int")), F.lit(0)).alias("ones")).first()
     prior = counted.ones / counted.n if counted.n else 0.0
-    pos = bounded_sample(marks.where("label = 1").select("doc_id"), positives, "positives")
+    ones = staged(marks.where("label = 1 AND doc_id IS NOT NULL").select("doc_id"), "all-positive-ids")
+    pos = bounded_sample(ones, positives, "positives")
     sample = staged(
         plain.join(staged(pos.distinct(), "positive-ids"), "doc_id", "left_semi").select("doc_id", "text", F.lit(True).alias("positive"))
         .union(bounded_sample(plain, unlabelled, "unlabelled").select("doc_id", "text", F.lit(False))),
@@ -121,27 +124,26 @@ def train(
                 found, text = found[order], text[order]
                 new = np.ones(len(found), bool)
                 new[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])
-                flag = part.column("positive").to_numpy(zero_copy_only=False)[text[new]].astype(np.int64)
                 value, first = np.unique(found[new], return_index=True)
-                ones = np.add.reduceat(flag, first) if len(first) else flag
-                number = np.diff(np.append(first, len(flag)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64)), pa.array(ones), pa.array(number - ones)], ["f", "p", "u"]
-                )
+                number = np.diff(np.append(first, int(new.sum())))
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(number, pa.int64())], ["f", "n"])
 
-    sizes = {r.positive: r.n for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
-    n_pos, n_un = sizes.get(True, 0), sizes.get(False, 0)
+    every = plain.where("doc_id IS NOT NULL")
+    marked = every.join(ones, "doc_id", "left_semi")
+    n_pos, n_un = marked.count(), every.count()
     if not n_pos or not n_un:
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(max(prior, 1e-12) / max(1 - prior, 1e-12))))
     odds = F.log((F.col("p") + 0.5) / (n_pos + 1)) - F.log((F.col("u") + 0.5) / (n_un + 1))
     odds = odds - 2 * F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("u") + 0.5))
     best = (
-        sample.select("text", "positive").mapInArrow(counts, "f long, p long, u long")
+        marked.select("text").mapInArrow(counts, "f long, n long").select("f", F.col("n").alias("p"), F.lit(0).alias("u"))
+        .union(every.select("text").mapInArrow(counts, "f long, n long").select("f", F.lit(0), "n"))
         .groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-        .where((F.col("p") >= max(3, n_pos // 500)) & (odds > LEAST_ODDS))
-        .orderBy((odds * F.col("p")).desc(), "f").limit(n_features).select("f").collect()
+        .where((F.col("p") >= LEAST_POSITIVES) & (odds > LEAST_ODDS))
+        .orderBy((odds * F.col("p")).desc(), "f").limit(n_features).select("f", odds.alias("odds")).collect()
     )
-    held = np.sort(np.array([r.f for r in best], np.int64).view(np.uint64))
+    best.sort(key=lambda r: np.int64(r.f).view(np.uint64))
+    held = np.array([r.f for r in best], np.int64).view(np.uint64)
     sieve = sieve_of(held)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,6 +157,9 @@ def train(
     taken = sample.select("text", "positive").mapInArrow(rows, "positive boolean, numbers array<int>").collect()
     taken.sort(key=lambda r: (r.positive, r.numbers))
     weights, bias = fit([r.numbers for r in taken if r.positive], [r.numbers for r in taken if not r.positive], len(held), prior)
+    absent = np.ones(len(held), bool)
+    absent[[k for r in taken for k in r.numbers]] = False
+    weights[absent] = np.array([r.odds for r in best])[absent]
     return ToxicityModel(held, weights, bias)
 
 
