@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import cotrain, decontam, iblt, langid, line_chunks, nnpu, simhash, spiece, suffixes, surrogates
+from barloom.llm import (
+    cotrain,
+    decontam,
+    iblt,
+    langid,
+    line_chunks,
+    nnpu,
+    simhash,
+    spiece,
+    suffixes,
+    surrogates,
+    templates,
+    variants,
+    whitening,
+)
 from barloom.llm.common import read_table
 
 SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "change me")
@@ -83,6 +97,19 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf, "documents"))
 
 
+def op11_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    found = templates.extract(read_table(spark, sf, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf, "embeddings"))
+
+
+def op13_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.spelling_variants(read_table(spark, sf, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -95,6 +122,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
+        "op11_extraction": op11_extraction,
+        "op12_whitening": op12_whitening,
+        "op13_variants": op13_variants,
     }
 
 

@@ -1,7 +1,9 @@
 """Plain versions of the operators, for small inputs."""
 
 import hashlib
+import html
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -87,3 +89,50 @@ def paragraphs(text):
 def likeness(a, b):
     a, b = paragraphs(a), paragraphs(b)
     return 1 - len(a ^ b) / (len(a) + len(b)) if a or b else 1.0
+
+
+def page_text(source):
+    """Text of the one article element of a page of the test tables."""
+    inner = re.search(r"<article>(.*?)(</article>|$)", source, re.S)[1]
+    inner = re.sub(r"</?(p|h1|br)\b[^>]*>", " ", inner)
+    return " ".join(html.unescape(re.sub(r"<[^>]+>", "", inner)).split())
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling(texts):
+    """{word: (n, n_near, form, form_n, root)} of (id, text) rows."""
+    count = Counter()
+    for doc_id, text in texts:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    count = {w: n for w, n in count.items() if len(w) >= 6 and n >= 5}
+    halves = {}
+    for w in count:  # any two near words share a word that lacks one letter of each, or one is that word
+        for part in {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}:
+            halves.setdefault(part, []).append(w)
+    near = {w: set() for w in count}
+    for group in halves.values():
+        for a in group:
+            near[a].update(b for b in group if one_edit(a, b))
+    form = {}
+    for w in count:
+        best = min(near[w], key=lambda b: (-count[b], b), default=None)
+        if best and count[best] >= 5 * count[w]:
+            form[w] = best
+    out = {}
+    for w in count:
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (count[w], len(near[w]), form.get(w), count.get(form.get(w)), root)
+    return out
