@@ -51,17 +51,19 @@ LABELS = frozenset(
     "widgets alert aside".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar status".split())
+# Text, end tag, start tag and its attributes, comment or declaration, start tag with an open quote, a lone sign.
 MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|([^<]+|<)",
+    r"([^<]+)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<!--.*?(?:--!?>|\Z)|<[!?/][^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|(<)",
     re.S,
 )
+TELLING = re.compile(r"class|id|role|hidden|style|itemprop", re.I)
 ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORDS = re.compile(r"[a-z]+")
 HOST = r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     name: str
     path: int  # hash of the names and labels from the root to here
@@ -72,9 +74,9 @@ class Element:
     opened: tuple[tuple[int, int], ...]  # (path, number) of the block elements that stand open, from the root
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
-    """A run of text between block elements; `keys` are the tokens of its words, `within` the elements about it."""
+    """The text between two block elements; `keys` are the tokens of its parts, `within` the elements about it."""
 
     text: str
     keys: list[int]
@@ -84,6 +86,10 @@ class Block:
     main: int
     within: tuple[tuple[int, int], ...]
 
+    @property
+    def free_chars(self) -> int:
+        return 0 if self.dropped else len(self.text) - min(self.link_chars, len(self.text))
+
 
 @dataclass
 class Page:
@@ -91,13 +97,19 @@ class Page:
     blocks: list[Block] = field(default_factory=list)
 
 
+# What tags of one spelling mean, and paths of elements; emptied when they have grown.
+TAGS: dict[tuple[str, str], tuple[str, bool, bool, bool]] = {}
+PATHS: dict[tuple[int, str, str], int] = {}
+CACHED = 50_000
+
+
 def hashed(token: str, path: int) -> int:
-    """A token within its path: the same word or tag elsewhere in the tree is another token."""
+    """A token within its path: the same text or tag elsewhere in the tree is another token."""
     return xxhash.xxh64_intdigest(token, path) & 0x7FFFFFFFFFFFFFFF
 
 
 def attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)} if text else {}
+    return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)}
 
 
 def labelled(found: dict[str, str]) -> bool:
@@ -109,9 +121,41 @@ def labelled(found: dict[str, str]) -> bool:
     return any(w in LABELS for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()))
 
 
+def meaning(name: str, text: str) -> tuple[str, bool, bool, bool]:
+    """(label, whether labelled, whether an article, whether a main element) of a start tag."""
+    if not TELLING.search(text):
+        return "", False, name == "article", name == "main"
+    known = TAGS.get((name, text))
+    if known is None:
+        if len(TAGS) > CACHED:
+            TAGS.clear()
+        found = attributes(text)
+        label = " ".join(sorted(re.sub(r"\d+", "", f"{found.get('class', '')} {found.get('id', '')}").split()))
+        article = name == "article" or "articlebody" in found.get("itemprop", "").lower()
+        known = TAGS[name, text] = label, labelled(found), article, name == "main" or found.get("role", "").lower() == "main"
+    return known
+
+
+def path_of(up: int, name: str, label: str) -> int:
+    known = PATHS.get((up, name, label))
+    if known is None:
+        if len(PATHS) > CACHED:
+            PATHS.clear()
+        known = PATHS[up, name, label] = hashed(f"<{name} {label}", up)
+    return known
+
+
+BOUNDS_OF_P = frozenset({"td", "th", "table", "button", "object", "article", "section", "div"})
+ENDS_OF_P = frozenset({"p"})
+
+
 def read_page(source: str) -> Page:
-    """Tokens and text blocks of a page, whatever of its tags are missing, unclosed or crossed."""
-    page, at, number = Page(), 0, 0
+    """Tokens and text blocks of a page, whatever of its tags are missing, unclosed or crossed.
+
+    Tokens are the tags and the runs of text between them, each with its path from the root.
+    """
+    page, number = Page(), 0
+    tokens = page.tokens
     stack = [Element("", 0, False, 0, 0, False, ())]
     text: list[str] = []
     keys: list[int] = []
@@ -119,7 +163,7 @@ def read_page(source: str) -> Page:
 
     def flush() -> None:
         nonlocal text, keys, links
-        joined = " ".join("".join(text).split())
+        joined = " ".join("".join(text).split()) if text else ""
         if joined:
             e = stack[-1]
             page.blocks.append(Block(joined, keys, links, e.dropped, e.article, e.main, e.opened))
@@ -130,35 +174,39 @@ def read_page(source: str) -> Page:
             flush()
         del stack[k:]
 
-    while at < len(source):
-        m = MARKUP.match(source, at)
-        at = m.end()
-        if m[7]:
-            e = stack[-1]
-            if e.dropped:
+    scan = MARKUP.scanner(source)
+    while (m := scan.match()) is not None:
+        kind = m.lastindex
+        if kind == 1 or kind == 7:
+            up = stack[-1]
+            if up.dropped:
                 continue
-            plain = html.unescape(m[7])
-            text.append(plain)
-            for word in plain.split():
-                key = hashed(word, e.path)
+            run = m[kind]
+            if "&" in run:
+                run = html.unescape(run)
+            text.append(run)
+            if not run.isspace():
+                key = hashed(run.strip(), up.path)
                 keys.append(key)
-                page.tokens.append((key, False))
-            links += len(plain) * e.link
-            continue
-        name = (m[2] or m[5] or "").lower()
-        if not name:
+                tokens.append((key, False))
+                if up.link:
+                    links += len(run)
             continue
-        if m[1] or m[4]:
+        if kind == 2:
+            name = m[2].lower()
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
-                    page.tokens.append((hashed(f"/{name}", stack[k].path), True))
+                    tokens.append((path_of(stack[k].path, "/", name), True))
                     close(k)
                     break
             continue
-        found = attributes(m[3] or m[6] or "")
-        if name not in INLINE:
+        if kind is None:
+            continue
+        name, given = m[kind - 1].lower(), m[kind]
+        inline = name in INLINE
+        if not inline:
+            ends, bounds = CLOSES.get(name, (ENDS_OF_P, BOUNDS_OF_P))
             for k in range(len(stack) - 1, 0, -1):
-                ends, bounds = CLOSES.get(name, ({"p"}, {"td", "th", "table", "button", "object", "article", "section", "div"}))
                 if stack[k].name in ends:
                     close(k)
                     break
@@ -166,20 +214,15 @@ def read_page(source: str) -> Page:
                     break
             if name not in VOID or name in ("br", "hr"):
                 flush()
+        label, marked, article, main = meaning(name, given)
         up = stack[-1]
-        label = " ".join(sorted(re.sub(r"\d+", "", f"{found.get('class', '')} {found.get('id', '')}").split()))
-        path = hashed(f"<{name} {label}", up.path)
-        page.tokens.append((path, True))
+        path = path_of(up.path, name, label)
+        tokens.append((path, True))
         if name in VOID:
-            if name in ("br", "wbr"):
-                text.append(" " * (name == "br"))
             continue
         number += 1
-        article = name == "article" or "articlebody" in found.get("itemprop", "").lower()
-        main = name == "main" or found.get("role", "").lower() == "main"
-        inside = bool(up.article or up.main)
-        dropped = up.dropped or labelled(found) or (name in UNSEEN and not (name == "header" and inside))
-        if (article or main) and up.dropped and not labelled(found):
+        dropped = up.dropped or marked or (name in UNSEEN and not (name == "header" and (up.article or up.main)))
+        if (article or main) and up.dropped and not marked:
             # An article does not stand in a menu, header or footer: such an element was not closed.
             dropped = any(e.dropped and e.name not in ("nav", "header", "footer", "ul", "ol", "li", "a") for e in stack)
         stack.append(
@@ -190,18 +233,45 @@ def read_page(source: str) -> Page:
                 up.article or number * article,
                 up.main or number * main,
                 up.link or name == "a",
-                up.opened if name in INLINE else (*up.opened, (path, number)),
+                up.opened if inline else (*up.opened, (path, number)),
             )
         )
         if name in RAW:
-            end = re.compile(rf"</{name}\b", re.I).search(source, at)
-            at = end.start() if end else len(source)
+            end = re.compile(rf"</{name}\b", re.I).search(source, m.end())
+            scan = MARKUP.scanner(source, end.start() if end else len(source))
     flush()
     return page
 
 
+def page_tokens(pages: DataFrame) -> DataFrame:
+    """Rows (host, name, keys, tags, within, chars, depths, total): a page's tokens in order, the free text within each of
+    its block elements and in all, and a hash that stands for the page."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "html"):
+                rows = []
+                for source in part.column(2).to_pylist():
+                    page = read_page(source or "")
+                    held: dict[int, list[int]] = {}
+                    for block in page.blocks:
+                        if chars := block.free_chars:
+                            for depth, (key, _) in enumerate(block.within):
+                                row = held.setdefault(key, [0, 0])
+                                row[0], row[1] = row[0] + chars, max(row[1], depth)
+                    rows.append((*(map(list, zip(*page.tokens, strict=True)) if page.tokens else ([], [])), list(held), [c for c, _ in held.values()], [d for _, d in held.values()], sum(b.free_chars for b in page.blocks)))
+                longs = pa.list_(pa.int64())
+                types = [longs, pa.list_(pa.bool_()), longs, longs, longs, pa.int64()]
+                columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["host", "name", "keys", "tags", "within", "chars", "depths", "total"])
+
+    rows = pages.where("host <> ''").select("host", F.xxhash64("url", "html").alias("name"), "html")
+    schema = "host string, name long, keys array<long>, tags array<boolean>, within array<long>, chars array<long>, depths array<long>, total long"
+    return rows.mapInArrow(read, schema)
+
+
 def occurrences(pages: DataFrame) -> DataFrame:
-    """Rows (host, key, tag, a, b, pages, total) of every token of every host.
+    """Rows (host, key, tag, a, b, pages, total) of every token of every host, from `page_tokens`.
 
     (a, b) stands for the occurrence vector: the sum over pages of hashes of the page and the token's count there, so equal
     vectors have equal sums, which add up in any order and in parts. Key 0 counts the pages.
@@ -210,21 +280,23 @@ def occurrences(pages: DataFrame) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int, bool], list[int]] = {}
         for batch in batches:
-            for part in text_slices(batch, "html"):
-                for host, name, source in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    counts = Counter(read_page(source or "").tokens)
-                    counts[0, False] = 1
-                    for (key, tag), n in counts.items():
+            for host, name, keys, tags in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts = Counter(zip(keys, tags, strict=True))
+                counts[0, False] = 1
+                hashes: dict[int, int] = {}
+                for (key, tag), n in counts.items():
+                    h = hashes.get(n)
+                    if h is None:
                         h = (name ^ n * 0x9E3779B97F4A7C15) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
-                        h = (h ^ h >> 29) * 0x94D049BB133111EB & 0xFFFFFFFFFFFFFFFF
-                        row = held.setdefault((host, key, tag), [0, 0, 0, 0])
-                        row[0] += h >> 33
-                        row[1] += h & 0x7FFFFFFF
-                        row[2] += 1
-                        row[3] += n
-                    if len(held) > HELD:
-                        yield sent(held)
-                        held = {}
+                        h = hashes[n] = (h ^ h >> 29) * 0x94D049BB133111EB & 0xFFFFFFFFFFFFFFFF
+                    row = held.setdefault((host, key, tag), [0, 0, 0, 0])
+                    row[0] += h >> 33
+                    row[1] += h & 0x7FFFFFFF
+                    row[2] += 1
+                    row[3] += n
+                if len(held) > HELD:
+                    yield sent(held)
+                    held = {}
         yield sent(held)
 
     def sent(held: dict[tuple[str, int, bool], list[int]]) -> pa.RecordBatch:
@@ -233,13 +305,13 @@ def occurrences(pages: DataFrame) -> DataFrame:
         columns = [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(tags, pa.bool_())]
         return pa.RecordBatch.from_arrays([*columns, *(pa.array(s, pa.int64()) for s in sums)], ["host", "key", "tag", "a", "b", "pages", "total"])
 
-    rows = pages.where("host <> ''").select("host", F.xxhash64("url", "html").alias("name"), "html")
+    rows = pages.select("host", "name", "keys", "tags")
     rows = rows.mapInArrow(counted, "host string, key long, tag boolean, a long, b long, pages long, total long")
     return rows.groupBy("host", "key", "tag").agg(*[F.sum(c).alias(c) for c in ("a", "b", "pages", "total")])
 
 
 def classes(pages: DataFrame) -> DataFrame:
-    """Rows (host, classes): the large and frequent equivalence classes of each host, tokens of one occurrence vector.
+    """Rows (host, classes): the large and frequent equivalence classes of each host's `page_tokens`, by occurrence vector.
 
     Only tokens on half of a host's pages are in them, so a host has at most twice the tokens of its mean page.
     """
@@ -263,9 +335,9 @@ def places(pages: DataFrame, known: DataFrame, tokens: int) -> DataFrame:
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int], list[int]] = {}
         for batch in batches:
-            for part in text_slices(batch, "html"):
-                for host, source, classes_ in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    add_places(held, host, read_page(source or ""), classes_)
+            names_ = ("host", "keys", "tags", "within", "chars", "depths", "total", "classes")
+            for row in zip(*(batch.column(c).to_pylist() for c in names_), strict=True):
+                add_places(held, *row)
                 if len(held) > HELD:
                     yield sent(held)
                     held = {}
@@ -279,37 +351,44 @@ def places(pages: DataFrame, known: DataFrame, tokens: int) -> DataFrame:
         columns = [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), *(pa.array(v, pa.int64()) for v in values)]
         return pa.RecordBatch.from_arrays(columns, ["host", "key", *names])
 
-    rows = lookup_join(pages.select("host", "html"), known, ["host"], "inner", tokens)
+    rows = lookup_join(pages.drop("name"), known, ["host"], "inner", tokens)
     rows = rows.mapInArrow(placed, "host string, key long, " + ", ".join(f"{n} long" for n in names))
     least, most = [F.min(c).alias(c) for c in ("low", "own_low")], [F.max(c).alias(c) for c in ("high", "own_high", "root", "depth")]
     return rows.groupBy("host", "key").agg(*least, *most, F.sum("chars").alias("chars"))
 
 
-def add_places(held: dict[tuple[str, int], list[int]], host: str, page: Page, found: list[dict]) -> None:
+def add_places(
+    held: dict[tuple[str, int], list[int]],
+    host: str,
+    keys: list[int],
+    tags: list[bool],
+    within: list[int],
+    chars: list[int],
+    depths: list[int],
+    total: int,
+    found: list[dict],
+) -> None:
+    """Add one page's places to those held."""
     once = [k for k, c in enumerate(found) if c["pages"] == c["total"]]
     root = max(once, key=lambda k: (found[k]["pages"], len(found[k]["members"]), min(m["key"] for m in found[k]["members"])), default=-1)
     of = {m["key"]: k for k, c in enumerate(found) for m in c["members"]}
-    tags = [sum(m["tag"] for m in c["members"]) for c in found]
+    sizes = [sum(m["tag"] for m in c["members"]) for c in found]
     seen = [0] * len(found)
     rank = 0
-    for key, tag in page.tokens:
+    for key, tag in zip(keys, tags, strict=True):
         k = of.get(key)
         if k is None:
             continue
-        own = seen[k] % tags[k]
+        own = seen[k] % sizes[k]
         row = held.setdefault((host, key), [rank, rank, own, own, int(k == root and tag), 0, 0])
         row[:4] = min(row[0], rank), max(row[1], rank), min(row[2], own), max(row[3], own)
         seen[k] += tag
         rank += tag and k == root
-    total = held.setdefault((host, 0), [0, 0, 0, 0, 0, 0, 0])
-    for block in page.blocks:
-        if not block.dropped:
-            chars = len(block.text) - min(block.link_chars, len(block.text))
-            total[6] += chars
-            for depth, (key, _) in enumerate(block.within):
-                if (host, key) in held:
-                    row = held[host, key]
-                    row[5], row[6] = max(row[5], depth), row[6] + chars
+    held.setdefault((host, 0), [0] * 7)[6] += total
+    for key, size, depth in zip(within, chars, depths, strict=True):
+        if (host, key) in held:
+            row = held[host, key]
+            row[5], row[6] = max(row[5], depth), row[6] + size
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
@@ -318,6 +397,7 @@ def host_templates(pages: DataFrame) -> DataFrame:
     Valid are tokens that stand in one slot of the root class on all pages and in one place of their own class: those
     classes are ordered and nest in one another. The container is the deepest root-class element with most of the free text.
     """
+    pages = staged(page_tokens(pages), "page-tokens")
     known = staged(classes(pages), "classes")
     count = F.aggregate("classes", F.lit(0), lambda n, c: n + F.size(c["members"]))
     tokens = known.agg(F.sum(count)).first()[0] or 0
@@ -335,7 +415,7 @@ def main_text(page: Page, template: set[int], container: int | None) -> str:
     """Text of the blocks of the article that are no template, one space apart.
 
     The article is the longest article element, without one the longest main element, else the container of the host,
-    else the deepest element with most of the page's free text. A block is template if all its words are. Where that would
+    else the deepest element with most of the page's free text. A block is template if all its runs of text are. Where that would
     be over half of the article, as on hosts whose pages are copies of one, nothing is taken for template.
     """
     free = [b for b in page.blocks if not b.dropped]
@@ -363,9 +443,9 @@ def in_container(free: list[Block], container: int | None) -> list[Block]:
     depth: dict[int, int] = {}
     for b in free:
         for d, (_, number) in enumerate(b.within):
-            sizes[number] += len(b.text) - min(b.link_chars, len(b.text))
+            sizes[number] += b.free_chars
             depth[number] = d
-    least = MAIN_SHARE * sum(len(b.text) - min(b.link_chars, len(b.text)) for b in free)
+    least = MAIN_SHARE * sum(b.free_chars for b in free)
     held = [n for n in sizes if sizes[n] >= least and sizes[n]]
     if not held:
         return free

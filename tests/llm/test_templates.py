@@ -77,7 +77,7 @@ def test_classes_equal_a_plain_count_of_vectors(spark):
         vectors.setdefault(tuple(p.count(key) for p in pages), set()).add(key)
     plain = {frozenset(v) for k, v in vectors.items() if sum(map(bool, k)) >= 3.5 and len(v) >= 3 and any(t for _, t in v)}
     rows = spark.createDataFrame([("h", str(k), s) for k, s in enumerate(sources)], "host string, url string, html string")
-    found = templates.classes(rows).first().classes
+    found = templates.classes(templates.page_tokens(rows)).first().classes
     assert {frozenset((m.key, m.tag) for m in c.members) for c in found} == plain
 
 
