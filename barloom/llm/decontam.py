@@ -246,7 +246,10 @@ def _searcher(items: Items, threshold: float):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that hold no benchmark item; rows without id stay."""
-    found = staged(contaminations(docs, benchmark, id_col, text_col).select("doc_id").distinct(), "contaminated")
-    bad = found.select(F.col("doc_id").alias("contaminated"))
-    return docs.join(bad, docs[id_col] == bad["contaminated"], "left_anti")
+    """The rows of `docs` that hold no benchmark item, as they are; each row is judged by its own text.
+
+    Rows that share an id do not share their fate; rows without id are judged too. Null and empty texts stay.
+    """
+    keyed = docs.select(F.coalesce(F.md5(docs[text_col]), F.lit("")).alias("same"), docs[text_col].alias("text"))
+    bad = staged(contaminations(keyed, benchmark, "same", "text").select("doc_id").distinct(), "contaminated")
+    return docs.join(bad, F.coalesce(F.md5(docs[text_col]), F.lit("")) == bad["doc_id"], "left_anti")

@@ -26,11 +26,11 @@ MADE: dict[str, np.ndarray] = {}
 
 
 def letter_table() -> np.ndarray:
-    """Lower-case code point of each letter of the basic plane, 0 for all else."""
+    """Lower-case code point of each letter of Unicode, 0 for all else."""
     if "letters" in MADE:
         return MADE["letters"]
-    table = np.zeros(1 << 16, np.uint32)
-    for point in range(1 << 16):
+    table = np.zeros(0x110000, np.uint32)
+    for point in range(0x110000):
         char = chr(point)
         if char.isalpha():
             lower = char.lower()
@@ -43,10 +43,7 @@ def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Lower-case letters of all texts, zero elsewhere and between texts, and where each text begins (n + 1)."""
     points = np.frombuffer("".join(f"\0{t}\0\0\0" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.fromiter((len(t) + 4 for t in texts), np.int64, len(texts))
-    low = letter_table()[np.minimum(points, 0xFFFF)]
-    far = points > 0xFFFF
-    low[far] = points[far]
-    return low, np.concatenate([[0], np.cumsum(sizes)])
+    return letter_table()[points], np.concatenate([[0], np.cumsum(sizes)])
 
 
 def subwords(low: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -237,6 +234,24 @@ def fit(rows: list, dims: int, epochs: int, rate: float, most_errors: float) ->
     return LanguageModel(languages, table, bias, float(temperature), threshold, known)
 
 
+def accepted_rows(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose text reaches the model's threshold, as they are.
+
+    Each row is judged by its own text, so that no join is needed and rows that share an id do not share their fate. Null
+    texts and texts without a letter are not accepted.
+    """
+    place = docs.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = batch.rename_columns([f"_{k}" for k in range(batch.num_columns)])
+            for part in text_slices(named, f"_{place}"):
+                _, p, has_letter = model.predict([t or "" for t in part.column(place).to_pylist()])
+                yield part.filter(pa.array(has_letter & (p >= model.threshold))).rename_columns(batch.schema.names)
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, lang_pred, score, accepted), one for each row of `docs`, from its whole text alone.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
@@ -62,9 +62,14 @@ def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contaminations(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
 
+def remainder(parts: int) -> Column:
+    """crc32 of the id as text, modulo `parts`; null for a null id, which is thus never held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
 def op5_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    held_out = remainder(4).eqNullSafe(2)
     model = langid.train(docs, ~held_out)
     found = langid.identify(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
@@ -81,14 +86,14 @@ def op7_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held_out = remainder(3).eqNullSafe(1)
     model = nnpu.train(docs, read_table(spark, sf, "labels"), ~held_out)
     return nnpu.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 3
+    held_out = remainder(5).eqNullSafe(3)
     model = cotrain.train(docs, read_table(spark, sf, "labels"), ~held_out)
     return cotrain.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
@@ -137,20 +142,43 @@ WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
     FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
 ), hashed AS (
-    SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS v FROM lines
+    SELECT *, ('0x' || substr(md5(line), 1, 8))::HUGEINT AS v FROM lines
 ), marked AS (
-    SELECT *, (v + 31 * coalesce(lag(v) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4 = 0 AS ends FROM hashed
+    SELECT *, ((v + 31 * coalesce(lag(v) OVER (PARTITION BY doc_id ORDER BY i), 0)) * 2654435761) % 4294967296 < 4026531840 AS ends
+    FROM hashed
 ), numbered AS (
     SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
     FROM marked
 ), chunks AS (
-    SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY doc_id, chunk
-), judged AS (
-    SELECT *, n >= 2 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS gone FROM chunks
+    SELECT doc_id, chunk, min(i) AS start, max(i) AS stop, list(line ORDER BY i) AS body FROM numbered GROUP BY doc_id, chunk
+), copies AS (
+    SELECT *, count(*) OVER (PARTITION BY body) > 1 AS repeated, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) AS copy FROM chunks
+), sides AS (
+    SELECT *, CASE WHEN lag(repeated) OVER w THEN [] ELSE coalesce(list_reverse(lag(body) OVER w), []) END AS before,
+        CASE WHEN lead(repeated) OVER w THEN [] ELSE coalesce(lead(body) OVER w, []) END AS after
+    FROM copies WINDOW w AS (PARTITION BY doc_id ORDER BY chunk)
+), pairs AS (
+    SELECT c.*, f.before AS first_before, f.after AS first_after FROM sides c JOIN sides f ON c.body = f.body AND f.copy = 1 WHERE c.copy > 1
+), widened AS (
+    SELECT doc_id,
+        start - coalesce(list_position([before[k] = first_before[k] FOR k IN range(1, least(len(before), len(first_before)) + 1)], false) - 1,
+            least(len(before), len(first_before))) AS low,
+        stop + coalesce(list_position([after[k] = first_after[k] FOR k IN range(1, least(len(after), len(first_after)) + 1)], false) - 1,
+            least(len(after), len(first_after))) AS high
+    FROM pairs
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(low, high + 1)) AS i FROM widened
+), runs AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM covered
+), gone AS (
+    SELECT doc_id, i, run FROM (
+        SELECT r.*, count(*) FILTER (trim(line, ' ' || chr(9) || chr(13)) <> '') OVER (PARTITION BY r.doc_id, run) AS filled
+        FROM runs r JOIN lines l ON l.doc_id = r.doc_id AND l.i = r.i)
+    WHERE filled >= 2
 ), kept AS (
-    SELECT doc_id, count(*) FILTER (gone) AS removed_chunks, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS removed_lines,
-        coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS body
-    FROM judged GROUP BY doc_id
+    SELECT l.doc_id, count(g.i) AS removed_lines, count(DISTINCT run) AS removed_chunks,
+        coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS body
+    FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id
 )
 SELECT d.doc_id, coalesce(removed_chunks, 0) AS removed_chunks, coalesce(removed_lines, 0) AS removed_lines,
     md5(coalesce(body, d.text)) AS kept_md5

@@ -190,91 +190,27 @@ def grouped_prints(prints: DataFrame, radius: int) -> DataFrame:
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def likeness(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two sets of shingle hashes; 1 if both are empty."""
-    one, other = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    shared = len(np.intersect1d(one, other, assume_unique=True))
-    return shared / (len(one) + len(other) - shared) if len(one) + len(other) else 1.0
-
-
-def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """Distinct rows (doc_id, fp, same, grams): the set of a text's shingle hashes, and its MD5, of (doc_id, text)."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch):
-                texts = [t.as_py() or "" for t in part.column(1)]
-                prints = pa.array([fingerprint(t, width) for t in texts], pa.int64())
-                grams = pa.array([np.unique(shingles(t, width)).tobytes() for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), prints, grams], ["doc_id", "fp", "grams"])
-
-    made = docs.mapInArrow(sets, f"doc_id {id_type}, fp long, grams binary")
-    return made.select("doc_id", "fp", F.md5("grams").alias("same"), "grams").dropDuplicates(["doc_id", "fp", "same"])
-
-
-def verified(pairs: DataFrame, sets: DataFrame, radius: int, similar: float, least: float) -> DataFrame:
-    """Ids of `pairs` (doc_id, head) all of whose texts are like a text of `head`, by their shingle sets.
-
-    Texts with the same print and set are compared with their head once.
-    """
-    own = staged(pairs.join(sets, "doc_id").select("doc_id", "head", "fp", "same"), "own-sets")
-    some = own.groupBy("head", "fp", "same").agg(F.min("doc_id").alias("doc_id"))
-    left = some.join(sets, ["doc_id", "fp", "same"]).select("head", "fp", "same", "grams")
-    right = sets.select(F.col("doc_id").alias("head"), F.col("fp").alias("head_fp"), F.col("grams").alias("head_grams"))
-    # A merge join: AQE splits the members of a head that has very many.
-    joined = left.join(right.hint("merge"), "head")
-    id_type = pairs.schema["head"].dataType.simpleString()
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            head, fp, same, grams, head_fp, head_grams = batch.columns
-            like = np.array([likeness(a, b) for a, b in zip(grams.to_pylist(), head_grams.to_pylist(), strict=True)])
-            near = differing(fp.to_numpy(), head_fp.to_numpy()) <= radius
-            near = (like >= similar) | (near & (like >= least))
-            yield pa.RecordBatch.from_arrays([head, fp, same, pa.array(near)], ["head", "fp", "same", "near"])
-
-    compared = joined.select("head", "fp", "same", "grams", "head_fp", "head_grams").mapInArrow(
-        compare, f"head {id_type}, fp long, same string, near boolean"
-    )
-    near = staged(compared, "compared").groupBy("head", "fp", "same").agg(F.max("near").alias("near"))
-    judged = own.join(near.hint("merge"), ["head", "fp", "same"]).groupBy("doc_id").agg(F.min("near").alias("near"))
-    return judged.where("near").select("doc_id")
-
-
 def keep_one(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    width: int = 5,
-    radius: int = 6,
-    similar: float = 0.8,
-    least: float = 0.5,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, radius: int = 4
 ) -> DataFrame:
-    """The rows of `docs` without those that are a near copy of one that stays.
+    """One row of each group of near copies: of each component that `near_duplicates` finds.
 
-    Links of fingerprints only propose groups, since they are transitive and unrelated texts may meet. The smallest id
-    of a group stays, and those go whose shingle set is like its own: a Jaccard similarity of `similar`, or of `least`
-    for prints within `radius` bits. The others of the group are grouped anew, until no group is left. Rows that share an
-    id are one document and stay or go together. Rows without id stay.
+    The smallest id stays, of rows that share it the one whose text has the smaller MD5, of equal rows any one; rows
+    without id come after all others, so that one of them stays only where the whole group has no id. Every row is
+    judged by its own text, also where several share an id. Null and empty texts are copies of one another. An empty
+    table stays empty; other columns, whatever their names, are kept as they are.
     """
-    plain = two_columns(docs, id_col, text_col).where("doc_id IS NOT NULL")
-    prints = staged(fingerprints(plain, width=width), "fingerprints")
-    sets, gone = None, None
-    while True:
-        found = grouped_prints(prints, radius)
-        # An id with several prints may stand in several groups; it is compared in the first.
-        pairs = found.groupBy("doc_id").agg(F.min("component_id").alias("head")).where("doc_id <> head")
-        pairs = staged(pairs, "pairs")
-        if not pairs.take(1):
-            break
-        if sets is None:
-            ids = staged(pairs.select("doc_id").union(pairs.select("head")).distinct(), "grouped-ids")
-            sets = staged(shingle_sets(plain.join(ids, "doc_id", "left_semi"), width), "shingle-sets")
-        near = staged(verified(pairs, sets, radius, similar, least), "verified")
-        gone = near if gone is None else gone.union(near)
-        rest = pairs.select("doc_id").join(near, "doc_id", "left_anti")
-        prints = staged(prints.join(rest, "doc_id", "left_semi"), "rest")
-    if gone is None:
-        return docs
-    return docs.join(gone.withColumnRenamed("doc_id", "gone"), docs[id_col] == F.col("gone"), "left_anti")
+    same = F.coalesce(F.md5(docs[text_col]), F.lit(""))
+    key = F.struct(docs[id_col].isNull().alias("none"), docs[id_col].alias("id"), same.alias("same"))
+    prints = staged(fingerprints(docs.select(key.alias("doc_id"), docs[text_col].alias("text")), width=width), "fingerprints")
+    found = grouped_prints(prints, radius)
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    gone = staged(found.where(~stays).select("doc_id.id", "doc_id.same").distinct(), "gone")
+    rest = docs.join(gone, docs[id_col].eqNullSafe(gone["id"]) & (same == gone["same"]), "left_anti")
+    again = found.where(stays).groupBy("doc_id").count().where("count > 1").select("doc_id.id", "doc_id.same")
+    again = staged(again, "repeated")
+    if again.isEmpty():
+        return rest
+    repeated = rest[id_col].eqNullSafe(again["id"]) & (F.coalesce(F.md5(rest[text_col]), F.lit("")) == again["same"])
+    once = rest.join(again, repeated, "left_semi").dropDuplicates([id_col, text_col])
+    return rest.join(again, repeated, "left_anti").unionByName(once)

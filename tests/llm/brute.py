@@ -11,26 +11,67 @@ import xxhash
 
 
 def kept_lines(texts):
-    """{id: text without chunks seen before, in order of (id, chunk)}; None stays."""
-    seen, out = set(), {}
-    for doc_id, text in sorted(texts.items()):
-        if text is None:
-            out[doc_id] = None
-            continue
-        chunks, last = [[]], 0
-        for line in text.split("\n"):
+    """{id: text without repeated runs of lines}, one place after another in order of (id, chunk); None stays."""
+    cut, count = {}, Counter()
+    for doc_id, text in texts.items():
+        chunks, open_chunk, last = [], [], 0
+        for line in text.split("\n") if text is not None else []:
             value = int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
-            chunks[-1].append(line)
-            if (value + 31 * last) % 4 == 0:
-                chunks.append([])
+            open_chunk.append(line)
+            if (value + 31 * last) * 2654435761 % 2**32 < 15 * 2**28:
+                chunks.append(open_chunk)
+                open_chunk = []
             last = value
-        kept = []
-        for chunk in filter(None, chunks):
-            if len(chunk) < 2 or tuple(chunk) not in seen:
-                kept += chunk
-            if len(chunk) >= 2:
-                seen.add(tuple(chunk))
-        out[doc_id] = "\n".join(kept)
+        cut[doc_id] = chunks + [open_chunk] * bool(open_chunk)
+        count.update(map(tuple, cut[doc_id]))
+    first, out = {}, {}
+    for doc_id in sorted(texts):
+        chunks = cut[doc_id]
+        if texts[doc_id] is None:
+            out[doc_id] = None
+            continue
+        lines = [(k, j) for k, chunk in enumerate(chunks) for j in range(len(chunk))]
+        gone = set()
+        for k, chunk in enumerate(chunks):
+            sides = [[] if not 0 <= n < len(chunks) or count[tuple(chunks[n])] > 1 else chunks[n] for n in (k - 1, k + 1)]
+            if count[tuple(chunk)] < 2:
+                continue
+            if tuple(chunk) not in first:
+                first[tuple(chunk)] = sides
+                continue
+            gone |= {(k, j) for j in range(len(chunk))}
+            for side, other, step in zip(sides, first[tuple(chunk)], (-1, 1), strict=True):
+                j = 0
+                while j < min(len(side), len(other)) and side[::step][j] == other[::step][j]:
+                    gone.add((k - 1, len(side) - 1 - j) if step < 0 else (k + 1, j))
+                    j += 1
+        kept, run = [], []
+        for at in [*lines, None]:
+            if at in gone:
+                run.append(at)
+                continue
+            if sum(bool(chunks[k][j].strip(" \t\r")) for k, j in run) < 2:
+                kept += run
+            run = []
+            kept += [at] if at else []
+        out[doc_id] = "\n".join(chunks[k][j] for k, j in kept)
+    return out
+
+
+def repeated_passage_lines(texts, words=50):
+    """{id: {places of lines}} of runs of two lines and more, with so many words, that stand in an earlier document too."""
+    pairs, out = {}, {}
+    for doc_id in sorted(texts):
+        lines = (texts[doc_id] or "").split("\n")
+        seen = {k for k in range(len(lines) - 1) if pairs.setdefault((lines[k], lines[k + 1]), doc_id) != doc_id}
+        covered = sorted(seen | {k + 1 for k in seen})
+        runs = []
+        for k in covered:
+            if runs and runs[-1][-1] == k - 1 and k - 1 in seen:
+                runs[-1].append(k)
+            else:
+                runs.append([k])
+        out[doc_id] = {k for run in runs if sum(len(lines[j].split()) for j in run) >= words for k in run}
     return out
 
 

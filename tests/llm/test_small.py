@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from barloom.llm import cotrain, decontam, iblt, langid, line_chunks, nnpu, simhash, spiece, suffixes, surrogates
 from barloom.llm.queries import PIECE_MODEL
 
@@ -92,7 +93,7 @@ def test_decontamination(docs, spark):
         assert {r.score for r in found} == {1.0}
         kept = decontam.drop_contaminated(docs, items)
         assert kept.columns == docs.columns
-        assert kept.count() == len(ROWS) - 1
+        assert kept.count() == len(ROWS) - 2
     none = decontam.contaminations(docs, items.limit(0))
     assert none.columns == ["doc_id", "item_id", "score", "end_word"] and none.isEmpty()
 
@@ -106,6 +107,51 @@ def test_language(docs):
         assert r.accepted is False or r.doc_id not in (1, 2)
 
 
+def test_accepted_rows(docs):
+    model = langid.train(docs, F.lit(True))
+    kept = langid.accepted_rows(docs, model)
+    assert kept.columns == docs.columns
+    accepted = sorted(str(r.doc_id) for r in langid.identify(docs, model).where("accepted").collect())
+    assert sorted(str(r.doc_id) for r in kept.collect()) == accepted
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES, ids=lambda s: s[0])
+def test_pipeline_stages(stage, docs, spark, tmp_path):
+    """Each stage on odd rows, clashing names and no rows."""
+    items = spark.createDataFrame([(1, "second line third line fourth line")], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    name, run = stage
+    found = run(spark, docs, str(tmp_path))
+    rows = found.collect()
+    if name == "tokens":
+        assert found.columns == ["doc_id", "ids", "n_byte_ids", "parity", "restored"]
+        return same_rows(docs, rows)
+    assert found.columns == docs.columns
+    kept = sorted(str(r.doc_id) for r in rows)
+    if docs.isEmpty():
+        assert not kept
+    elif name == "line_chunks":
+        same_rows(docs, rows)
+    elif name == "language":
+        assert not {"1", "2"} & set(kept)
+    elif name == "near_copies":
+        assert kept == sorted(["1", "None", "3", "4", "6", "7"])
+    else:
+        assert kept == sorted(["1", "2", "3", "3", "4", "5", "7", "None"])
+
+
+def test_rows_that_share_an_id_are_judged_one_by_one(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    good = docs.where("length(text) > 400").orderBy("doc_id").limit(1)
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    for name, bad in (("language", "12345 67"), ("benchmark", f"so {item} then")):
+        both = docs.union(good.withColumn("text", F.lit(bad)))
+        kept = [r.text for r in stages[name](spark, both, str(tmp_path)).where(F.col("doc_id") == good.first().doc_id).collect()]
+        assert kept == [good.first().text]
+
+
 def test_language_without_labels(docs):
     model = langid.train(docs, F.lit(False))
     assert {r.lang_pred for r in langid.identify(docs, model).collect()} <= {langid.UNKNOWN}
@@ -154,4 +200,4 @@ def test_near_duplicates(docs):
         assert rows[5].component_id == 4
         kept = simhash.keep_one(docs)
         assert kept.columns == docs.columns
-        assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "None", "3", "3", "4", "6", "7"])
+        assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "None", "3", "4", "6", "7"])
