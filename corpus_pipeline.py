@@ -13,30 +13,35 @@ from barloom.llm.queries import PIECE_MODEL
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those that language ID rejects go."""
-    model = langid.train(docs, F.lit(True))
-    rejected = langid.identify(docs, model).where("NOT accepted AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(staged(rejected, "rejected"), "doc_id", "left_anti").select(*docs.columns)
+    """Rows whose language is recognised; those that language ID rejects go.
+
+    Null texts, empty ones and texts without a letter are rejected. Rows are judged one by one, also where ids are null or
+    repeat; without any labelled text the model knows no language and nothing that has a letter is rejected.
+    """
+    return langid.accepted_rows(docs, langid.train(docs, F.lit(True)))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the multi-line chunks that stand in an earlier place."""
+    """Texts without the multi-line chunks that stand in an earlier place.
+
+    Null texts stay null, rows without id stay as they are; every row stays. n_chars is counted anew.
+    """
     found = line_chunks.drop_repeated_chunks(docs).withColumn("n_chars", F.char_length("text").cast("long"))
     return found.select(*docs.columns)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.keep_one(docs).select(*docs.columns)
+    """One row of each group of near copies, the smallest id's; null and empty texts are one group, equal rows too."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    """Rows that hold no benchmark item, judged one by one; null, empty and very short texts hold none."""
+    return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
+    """Token ids of each row; a null text has null ids, an empty one none. Repeated rows are answered each."""
     found = spiece.round_trip(docs, spiece.model_bytes(spark, PIECE_MODEL))
     return found.select("doc_id", "ids", "n_byte_ids", "parity", "restored")
 
