@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the classification rules.
+ASSET_TYPES = ("equities", "etf", "crypto")
 CRYPTO_PREFIXES = (
     "BTC", "ETH", "BNB", "XRP", "ADA", "DOGE", "SOL", "DOT", "MATIC",
     "SHIB", "AVAX", "LINK", "UNI", "ATOM", "LTC", "ETC", "XLM", "ALGO",

@@ -71,6 +71,11 @@ def interval_of(label: str, allowed: Iterable[str] = LABELS) -> Interval:
     return VOCABULARY[label]
 
 
+def known_label(interval: Column) -> Column:
+    """Whether a label is one of the vocabulary, as written."""
+    return interval.isin(*LABELS)
+
+
 def width_bin(ts: Column | str, seconds: int) -> Column:
     """Start of the epoch-aligned bin of a fixed width.
 

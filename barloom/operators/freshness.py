@@ -209,8 +209,8 @@ def plan_outcome(fresh: DataFrame, universe: DataFrame | None = None) -> DataFra
 def resume_points(ranges: DataFrame, marks: DataFrame, force_refresh: bool = False) -> DataFrame:
     """Per series where to start fetching and whether there is anything to fetch.
 
-    `ranges` holds start_date and end_date per series. `force_refresh` ignores
-    what is stored.
+    `ranges` holds start_date and end_date per series; without an end the provider
+    has nothing (`no_data_available`). `force_refresh` ignores what is stored.
     """
     begin = F.coalesce(F.col("start_date"), F.lit(FIRST_DAY).cast("date")).cast("timestamp_ntz")
     if force_refresh:
@@ -225,7 +225,7 @@ def resume_points(ranges: DataFrame, marks: DataFrame, force_refresh: bool = Fal
         "last_timestamp",
         F.coalesce(resumed, begin).alias("resume_from"),
         "end_date",
-        F.when(done, "up_to_date").otherwise("fetch").alias("action"),
+        F.when(F.col("end_date").isNull(), "no_data_available").when(done, "up_to_date").otherwise("fetch").alias("action"),
     )
 
 
@@ -242,17 +242,24 @@ def rows_to_fetch(landed: DataFrame, resume: DataFrame, resume_rows: int | None
     return joined.where((ts >= F.col("resume_from")) & (ts < F.col("_stop"))).drop("resume_from", "_stop")
 
 
-def fetch_report(resume: DataFrame, fetched: DataFrame, stored: DataFrame) -> DataFrame:
-    """Per series the result of a load: success, no_new_data or up_to_date.
+def fetch_report(resume: DataFrame, fetched: DataFrame, stored: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """Per series the result of a load: success, no_new_data, up_to_date, no_data_available or error.
 
-    `stored` is the store as the counts shall describe it, usually after the merge.
+    `stored` is the store as the counts shall describe it, usually after the merge: its bars, or its series with
+    total_records. A series for which the provider names no range (no end_date) has no data available. `errors` lists
+    series whose load went wrong (ticker, interval, error); that status and text win.
     """
     keys = list(SERIES_KEY)
     new = fetched.groupBy(*keys).agg(F.count(F.lit(1)).alias("new_records"))
-    total = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_records"))
-    out = resume.select(*keys, "action").join(new, keys, "left").join(total, keys, "left")
+    total = stored if "total_records" in stored.columns else stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_records"))
+    out = resume.join(new, keys, "left").join(total.select(*keys, "total_records"), keys, "left")
+    if errors is not None:
+        failed = errors.groupBy(*keys).agg(F.min("error").alias("error"))
+        out = out.join(failed, keys, "left")
     status = (
-        F.when(F.col("action") == "up_to_date", "up_to_date")
+        F.when(F.col("error").isNotNull() if errors is not None else F.lit(False), "error")
+        .when(F.col("action") == "no_data_available", "no_data_available")
+        .when(F.col("action") == "up_to_date", "up_to_date")
         .when(F.coalesce("new_records", F.lit(0)) == 0, "no_new_data")
         .otherwise("success")
     )
@@ -261,11 +268,12 @@ def fetch_report(resume: DataFrame, fetched: DataFrame, stored: DataFrame) -> Da
         status.alias("status"),
         F.coalesce("new_records", F.lit(0)).alias("new_records"),
         F.coalesce("total_records", F.lit(0)).alias("total_records"),
+        *(["error"] if errors is not None else []),
     )
 
 
 def load_summary(report: DataFrame) -> DataFrame:
-    """Per ticker: intervals available, loaded and failed, and the sum of new records."""
+    """Per ticker: intervals available, loaded, failed and without data, and the sum of new records."""
     counted = F.col("status") != "timeframe_detection"
     ok = F.col("status") == "success"
     return report.groupBy("ticker").agg(

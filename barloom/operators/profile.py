@@ -27,9 +27,19 @@ def series_summary(bars: DataFrame, requested: DataFrame | None = None, sizes: D
 
     A series without any timestamp is `empty`.
     """
-    out = bars.groupBy(*SERIES_KEY).agg(
+    counted = bars.groupBy(*SERIES_KEY).agg(
         F.count(F.lit(1)).alias("records"), F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last")
     )
+    return _summary(counted, requested, sizes)
+
+
+def summary_of_states(states: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """`series_summary` from the states that the store keeps of its series; no bar is read."""
+    named = states.select(*SERIES_KEY, "records", F.col("first_timestamp").alias("_first"), F.col("last_timestamp").alias("_last"))
+    return _summary(named, requested, None)
+
+
+def _summary(out: DataFrame, requested: DataFrame | None, sizes: DataFrame | None) -> DataFrame:
     if requested is not None:
         out = requested.select(*SERIES_KEY).distinct().join(out, list(SERIES_KEY), "left")
     if sizes is not None:

@@ -16,16 +16,17 @@ BROADCAST_ROWS = 1_000_000
 # More than twice any 64-bit number. Times of the years 1 to 9999 in micros still
 # fit a decimal(38,0) when multiplied by it.
 SEQ_SPAN = "100000000000000000000"
+LEAST_SEQ = str(-(2**63))
 
 
 def packed_order(major: Column, minor: Column) -> Column:
-    """One number that orders by (major, minor), an unknown minor counting as 0.
+    """One number that orders by (major, minor), an unknown minor lowest, as in `keep_one`.
 
     A decimal is a mutable aggregation buffer and so keeps min_by and max_by hash
     aggregates; ordering by a struct would sort all rows.
     """
     scaled = (major.cast("decimal(18,0)") * F.lit(SEQ_SPAN).cast("decimal(21,0)")).cast("decimal(38,0)")
-    return (scaled + F.coalesce(minor, F.lit(0)).cast("decimal(19,0)")).cast("decimal(38,0)")
+    return (scaled + F.coalesce(minor.cast("decimal(19,0)"), F.lit(LEAST_SEQ).cast("decimal(19,0)"))).cast("decimal(38,0)")
 
 
 def lookup_join(

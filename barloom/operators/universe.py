@@ -26,6 +26,8 @@ CATEGORIES = {
     "otc": ("otc", None, "us"),
 }
 TEST_KEYWORDS = ("TEST", "TEMP", "DEMO")
+# Parts of a key whose first rows are found apart.
+PARTS = 32
 
 
 def category_frame(spark: SparkSession, categories: dict[str, tuple] | None = None) -> DataFrame:
@@ -70,15 +72,27 @@ def discover(
 
 
 def _first_per_category(found: DataFrame, limit: int) -> DataFrame:
-    """First rows of each category by symbol, then by all other columns, also where one category holds most rows.
+    """First rows of each category by symbol, then by all other columns, also where one category holds most rows."""
+    rest = [c for c in found.columns if c not in ("category", "ticker")]
+    return first_of_each(found, ["category"], ["ticker", *rest], limit)
+
+
+def first_of_each(rows: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The first n rows of each key by `order`, of rows equal in it any.
 
-    Rows are numbered in a distributed global order and counted from the first of their category.
+    Lists of n are made of even parts of a key, dealt by a hash of the row, and then of these lists: no order of all rows
+    is needed, and a key that holds most rows reaches its last task as PARTS lists. Up to Spark's threshold for limited
+    ranks each list is cut before its shuffle too.
     """
-    rest = [c for c in found.columns if c not in ("category", "ticker")]
-    placed = number_rows(found, ["category", "ticker", *rest], "_place")
-    starts = placed.groupBy("category").agg(F.min("_place").alias("_start"))
-    kept = placed.join(F.broadcast(starts), "category").where(F.col("_place") - F.col("_start") < limit)
-    return kept.drop("_place", "_start")
+    part = F.pmod(F.xxhash64(*order), F.lit(PARTS)).alias("_part")
+    direction = [F.col(c) for c in order]
+
+    def cut(df: DataFrame, by: Sequence[str]) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy(*by).orderBy(*direction))
+        return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+    lists = cut(rows.select("*", part), [*keys, "_part"])
+    return cut(lists, keys).drop("_part")
 
 
 def discovery_report(existing: DataFrame, found: DataFrame) -> DataFrame:
@@ -97,6 +111,12 @@ def append_universe(existing: DataFrame, found: DataFrame) -> DataFrame:
     return append_first(existing, found, "ticker", rest)
 
 
+def append_by_category(existing: DataFrame, found: DataFrame) -> DataFrame:
+    """`append_universe` for all categories at once: the stored entry wins within its category."""
+    rest = [c for c in found.columns if c not in ("category", "ticker")]
+    return append_first(existing, found, "ticker", rest, within=["category"])
+
+
 def filter_universe(
     universe: DataFrame,
     exchange: str | None = None,

@@ -10,13 +10,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.classify import normal_ticker
+from barloom.functions.classify import ASSET_TYPES, normal_ticker
 from barloom.functions.intervals import Interval, interval_of
 from barloom.operators.bars import bars_for_intervals
 from barloom.operators.spread import packed_order
 from barloom.schemas import BAR_KEY, SERIES_KEY
 
 FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+# An asset type is carried through hash aggregates as a number: short text has room in a decimal.
+MOST_TYPE_BYTES = 15
+HALF = 2 ** (4 * MOST_TYPE_BYTES)
 # Age in days at which history gives way to recent data.
 HISTORY_DAYS = 30
 
@@ -29,24 +32,46 @@ def _lowest(kind: T.DataType) -> Column | None:
     return None if bits is None else F.lit(-(2**bits)).cast(kind)
 
 
+def packed_text(text: Column) -> Column:
+    """Text of at most MOST_TYPE_BYTES bytes as a number; the common asset types, which are most rows, at no cost."""
+    digits = F.lpad(F.hex(text.cast("binary")), 2 * MOST_TYPE_BYTES, "0")
+    high, low = (F.conv(F.substring(digits, k, MOST_TYPE_BYTES), 16, 10).cast("decimal(19,0)") for k in (1, MOST_TYPE_BYTES + 1))
+    out = F.lit(None).cast("decimal(38,0)")
+    for k, known in enumerate(ASSET_TYPES):
+        out = (F.when if k == 0 else out.when)(text == known, F.lit(-1 - k).cast("decimal(38,0)"))
+    return out.when(text.isNotNull(), (high * F.lit(HALF).cast("decimal(19,0)")).cast("decimal(38,0)") + low).cast("decimal(38,0)")
+
+
+def unpacked_text(number: Column) -> Column:
+    half = F.lit(HALF).cast("decimal(19,0)")
+    halves = [F.call_function("div", number, half), (number % half).cast("bigint")]
+    digits = F.concat(*[F.lpad(F.hex(h), MOST_TYPE_BYTES, "0") for h in halves])
+    text = F.decode(F.unhex(F.regexp_replace(digits, "^(00)+", "")), "UTF-8")
+    for k, known in enumerate(ASSET_TYPES):
+        text = F.when(number == -1 - k, known).otherwise(text)
+    return text
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], order: str, keep: str = "last") -> DataFrame:
     """One row per key: the one with the highest (`last`) or lowest (`first`) order value.
 
     `order` should be distinct within a key; an unknown order comes lowest. When
-    all other columns have a fixed width this is a hash aggregate with a partial
+    all other columns have a fixed width, or are asset types, this is a hash aggregate with a partial
     step; otherwise a window whose rank-one filter Spark also applies before the
     shuffle. Either way copies of a key are dropped where they are read.
     """
     if keep not in ("last", "first"):
         raise ValueError(f"keep must be 'last' or 'first', not {keep!r}")
     values = [c for c in df.columns if c not in keys and c != order]
+    text = [c for c in values if c == "asset_type"]
     lowest = _lowest(df.schema[order].dataType)
-    if lowest is not None and all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in values):
+    if lowest is not None and all(isinstance(df.schema[c].dataType, FIXED_WIDTH) or c in text for c in values):
         # max_by and min_by would pass over rows without an order
         known = F.coalesce(F.col(order), lowest)
         pick = F.max_by if keep == "last" else F.min_by
-        picked = df.groupBy(*keys).agg(*[pick(c, known).alias(c) for c in (*values, order)])
-        return picked.select(*df.columns)
+        held = {c: packed_text(F.col(c)) if c in text else F.col(c) for c in (*values, order)}
+        picked = df.groupBy(*keys).agg(*[pick(v, known).alias(c) for c, v in held.items()])
+        return picked.select(*[unpacked_text(F.col(c)).alias(c) if c in text else c for c in df.columns])
     direction = F.col(order).desc() if keep == "last" else F.col(order).asc()
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(direction))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
@@ -83,13 +108,15 @@ def upsert_bars(
     return keep_one(ranked, keys or _keys_in(both), "_order", keep).drop("_order")
 
 
-def append_first(existing: DataFrame, found: DataFrame, key: str = "ticker", order: Sequence[str] = ()) -> DataFrame:
+def append_first(
+    existing: DataFrame, found: DataFrame, key: str = "ticker", order: Sequence[str] = (), within: Sequence[str] = ()
+) -> DataFrame:
     """Universe append: existing entries win, entries without a key are dropped.
 
-    Duplicates within a side are decided by `order`, lowest first.
+    Duplicates within a side are decided by `order`, lowest first. A key counts once in each group of `within`.
     """
     both = combine(existing, found).where(F.col(key).isNotNull() & (F.col(key) != ""))
-    rank = F.row_number().over(W.partitionBy(key).orderBy("_side", *order))
+    rank = F.row_number().over(W.partitionBy(*within, key).orderBy("_side", *order))
     return both.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank", "_side")
 
 

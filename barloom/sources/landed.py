@@ -6,6 +6,8 @@ Every normaliser returns all rows with a `reject_reason`, null for good ones;
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,11 +44,12 @@ def parse_json_rows(lines: DataFrame, schema: str, column: str = "value") -> Dat
     return lines.select(F.inline(F.array(parsed)))
 
 
-def normalise_bars(raw: DataFrame) -> DataFrame:
+def normalise_bars(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Bars from provider rows with text fields t (epoch ms), o, h, l, c, v, vw, n.
 
     Missing or zero volume is 0, fractions are cut. A bar without a usable time
     or price, or with an unreadable volume, is rejected; a missing vwap is kept.
+    Columns of `raw` in `keep` are handed on.
     """
     millis = F.col("t").try_cast("double").try_cast("bigint")
     prices = {"open": "o", "high": "h", "low": "l", "close": "c"}
@@ -59,6 +62,7 @@ def normalise_bars(raw: DataFrame) -> DataFrame:
         volume.alias("volume"),
         _number("vw").alias("vwap"),
         _number("n").try_cast("bigint").alias("transactions"),
+        *keep,
     )
     reason = F.when(F.col("timestamp").isNull(), "time")
     for name in prices:
@@ -80,10 +84,10 @@ def normalise_instruments(raw: DataFrame) -> DataFrame:
     return typed.withColumn("reject_reason", reason)
 
 
-def normalise_market_days(raw: DataFrame, day: Column) -> DataFrame:
+def normalise_market_days(raw: DataFrame, day: Column, keep: Sequence[str] = ()) -> DataFrame:
     """Daily bars of the whole market from rows with T (or ticker), o, h, l, c, v, vw, n.
 
-    The bar time is the day asked for; rows without a ticker are dropped.
+    The bar time is the day asked for; rows without a ticker are dropped. Columns of `raw` in `keep` are handed on.
     """
     by_name = {c.lower(): c for c in raw.columns if c != "T"}
     symbols = [F.col("T")] if "T" in raw.columns else []
@@ -100,6 +104,7 @@ def normalise_market_days(raw: DataFrame, day: Column) -> DataFrame:
         F.col("v").try_cast("bigint").alias("volume"),
         F.col("vw").alias("vwap"),
         F.col("n").try_cast("bigint").alias("transactions"),
+        *keep,
     ).where(F.col("ticker").isNotNull() & (F.col("ticker") != ""))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,9 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from barloom.functions.intervals import interval_of
 from barloom.operators.bars import tick_aggregates, with_known_price
-from barloom.sources.store import merge_bars
+from barloom.operators.dirty import nesting
+from barloom.plans.propagation import propagate
+from barloom.sources.store import add_run, commit_run, run_bars
 
 LATE_ROWS = "query string, batch long, rows_dropped long"
 
@@ -36,11 +38,20 @@ def streaming_bars(ticks: DataFrame, label: str, lateness: str, tie_break: str |
     )
 
 
-def merge_into_store(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer: replace the re-built bars in the store. Replaying a batch changes nothing."""
+def merge_into_store(path: str, label: str, wider: Iterable[str] = ()) -> Callable[[DataFrame, int], None]:
+    """Batch writer: the re-built bars become a run of the store, then the `wider` bars they touch are built again.
+
+    What a batch writes grows with what it changed. Replaying a batch changes nothing.
+    """
+    wider = tuple(wider)
+    nesting(label, wider)  # unknown or foreign labels are an error before the stream starts
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge_bars(batch.sparkSession, batch.withColumn("ingest_seq", F.lit(batch_id).cast("bigint")), path)
+        spark = batch.sparkSession
+        run = add_run(spark, batch.withColumn("ingest_seq", F.lit(batch_id).cast("bigint")), path)
+        commit_run(spark, path, run)
+        if wider:
+            propagate(spark, path, run_bars(spark, path, run), label, wider)
 
     return write
 
@@ -52,13 +63,17 @@ def stream_to_store(
     checkpoint: str,
     lateness: str = "1 day",
     tie_break: str | None = None,
+    wider: Iterable[str] = (),
 ) -> StreamingQuery:
-    """Process what has arrived since the last run, then stop. The caller awaits the query."""
+    """Process what has arrived since the last run, then stop. The caller awaits the query.
+
+    `wider` names intervals, weeks and longer among them, that are kept up to date from the streamed bars.
+    """
     return (
         streaming_bars(ticks, label, lateness, tie_break)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(merge_into_store(path))
+        .foreachBatch(merge_into_store(path, label, wider))
         .trigger(availableNow=True)
         .start()
     )
@@ -98,12 +113,3 @@ class LateRows(StreamingQueryListener):
         """One row: partially aggregated rows dropped (rows_dropped), by all runs so far."""
         each = spark.read.schema(LATE_ROWS).parquet(path).groupBy("query", "batch").agg(F.max("rows_dropped").alias("rows_dropped"))
         return each.agg(F.coalesce(F.sum("rows_dropped"), F.lit(0)).alias("rows_dropped"))
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Partially aggregated rows dropped behind the watermark, over the recent batches."""
-    return sum(
-        state.get("numRowsDroppedByWatermark", 0)
-        for batch in query.recentProgress
-        for state in batch["stateOperators"]
-    )

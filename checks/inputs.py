@@ -41,6 +41,17 @@ def event_ticks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def user_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    """Many light tickers, one per user."""
+    return table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("ticker"),
+        F.col("ts").alias("timestamp"),
+        F.col("value").alias("price"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("size"),
+        F.col("event_id").alias("seq"),
+    )
+
+
 def order_ticks(spark: SparkSession, sf: str) -> DataFrame:
     """Daily prices over years, many orders on one day."""
     return table(spark, sf, "orders").select(

@@ -467,7 +467,7 @@ def statements() -> dict[str, str]:
         "market_range_totals": f"""WITH {MARKET_REPORT} SELECT count(*) AS trading_days_processed,
             count(*) FILTER (status = 'success') AS days_with_data FROM report""",
         "store_upsert": merged("DESC", "'equities' AS asset_type, upper(ticker) AS ticker, interval, timestamp, open, high, low, close, volume"),
-        "store_delete": f"""WITH {TICKS} SELECT upper(ticker) AS ticker, interval, timestamp, close, strftime(timestamp, '%Y-%m') AS period
+        "store_delete": f"""WITH {TICKS} SELECT upper(ticker) AS ticker, interval, timestamp, close, strftime(timestamp, '%Y') AS period
           FROM ({' UNION ALL '.join(bars(label) for label in ('1h', '1d', '1w'))})
           WHERE ticker <> 'click' AND NOT (ticker = 'view' AND interval = '1d')""",
         "series_limit": f"""WITH {TICKS} SELECT upper(ticker) AS ticker, timestamp, open, close, volume FROM ({bars('1m')})
@@ -498,4 +498,6 @@ def statements() -> dict[str, str]:
           FROM (SELECT l_suppkey, l_linenumber, sum(l_extendedprice) AS big,
                        sum(CASE WHEN l_tax > 0 THEN l_quantity ELSE 0 END) AS small FROM lineitem GROUP BY ALL)""",
     }
-    return out
+    from checks import store_oracle  # which takes texts from this module
+
+    return out | store_oracle.statements()

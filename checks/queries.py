@@ -667,4 +667,6 @@ def registry() -> dict[str, Query]:
     )
     out |= {f.__name__: f for f in named}
     out["freshness"] = fresh
-    return out
+    from checks import store_queries  # which reads queries of this module
+
+    return out | store_queries.registry()

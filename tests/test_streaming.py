@@ -6,7 +6,7 @@ import pytest
 
 from barloom.operators.bars import bars_from_ticks
 from barloom.sources import store
-from barloom.streaming.incremental import LateRows, late_rows, stream_to_store, streaming_bars
+from barloom.streaming.incremental import LateRows, stream_to_store, streaming_bars
 
 SCHEMA = "ticker string, timestamp timestamp_ntz, price double, size bigint, seq bigint"
 COLUMNS = ("ticker", "timestamp", "open", "high", "low", "close", "volume")
@@ -30,6 +30,10 @@ def shuffled(spark, tmp_path_factory):
     return str(folder / "in"), spark.createDataFrame(rows, SCHEMA)
 
 
+def late_rows(query):
+    return sum(s.get("numRowsDroppedByWatermark", 0) for b in query.recentProgress for s in b["stateOperators"])
+
+
 def read(spark, path):
     return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
 
