@@ -25,7 +25,8 @@ from barloom.llm import (
 )
 from barloom.llm.common import read_table
 
-SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "change me")
+# The key of the registered query, unless another is given; jobs of one's own name theirs.
+SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "key of the test tables")
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 

@@ -12,6 +12,8 @@ from barloom.llm.common import numbered, staged
 # Forms of address by gender.
 TITLES_M = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Господин", "Κύριος")
 TITLES_F = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Señora", "Госпожа", "Κυρία")
+TITLES_N = ("Dr", "Prof", "Doctor", "Professor", "Rev", "Mx", "Docteur", "Доктор", "Профессор")
+TITLES = TITLES_M + TITLES_F + TITLES_N
 # Common first names, found in texts and given as surrogates, by script and gender.
 GIVEN = {
     ("latin", "m"): ("James", "John", "Robert", "Michael", "William", "David", "Richard", "Joseph", "Thomas", "Charles", "Daniel", "Paul", "Mark", "George", "Peter", "Hans", "Pierre", "Carlos"),
@@ -30,9 +32,19 @@ SYLLABLES = {
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-PHONE = r"(?<!\w)\+\d{1,3}[ (.-]+\d[\d() .-]{4,}\d(?!\d)"
+LOCAL = r"\p{L}\p{N}._%+-"
+EMAIL = rf"(?<![{LOCAL}])[{LOCAL}]++@[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+)+"
+COUNTRY = r"\+\d{1,3}"
+# International with a plus, or national: an area in parentheses or three digits, then three and four.
+PHONE = rf"(?<!\w){COUNTRY}[ (.-]+\d[\d() .-]{{4,}}\d(?!\d)"
+NATIONAL = r"(?<![\w(-])(?:\(\d{2,5}\)[ .-]?\d{3,4}|\d{3}[ .-]\d{3})[ .-]\d{4}(?![\w-])"
 ADDRESS = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
+GROUP = "[0-9A-Fa-f]{1,4}"
+# Eight groups, or fewer about a double colon; a digit among them, so that names of code do not count.
+ADDRESS6 = (
+    rf"(?<![\w:.])(?=[A-Fa-f:]*+[0-9])(?:(?:{GROUP}:){{7}}{GROUP}"
+    rf"|{GROUP}(?::{GROUP}){{0,5}}::(?:{GROUP}(?::{GROUP}){{0,5}})?|::{GROUP}(?::{GROUP}){{0,6}})(?![\w:])"
+)
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
 
 
@@ -48,11 +60,10 @@ NAMES = tuple(n for names in GIVEN.values() for n in names)
 NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
 # A capital that may begin one is looked for first, since few letters of a text are.
 PERSON = (
-    f"(?=[{''.join(sorted({w[0] for w in TITLES_M + TITLES_F + NAMES}))}])(?<!\\p{{L}})"
-    rf"(?:{_any_of(TITLES_M + TITLES_F)}\.? {NAME}(?: {NAME})?|{_any_of(NAMES)} {NAME})(?!\p{{L}})"
+    f"(?=[{''.join(sorted({w[0] for w in TITLES + NAMES}))}])(?<!\\p{{L}})"
+    rf"(?:{_any_of(TITLES)}\.? {NAME}(?: {NAME})?|{_any_of(NAMES)} {NAME})(?!\p{{L}})"
 )
-ENTITY = "|".join((EMAIL, PHONE, ADDRESS, CARD, PERSON))
-KINDS = ("email", "phone", "ip", "card", "person")
+ENTITY = "|".join((EMAIL, PHONE, ADDRESS6, ADDRESS, CARD, NATIONAL, PERSON))
 
 
 def entities(text: Column) -> Column:
@@ -67,8 +78,10 @@ def entities(text: Column) -> Column:
 def kind_of(entity: Column) -> Column:
     return (
         F.when(entity.contains("@"), "email")
-        .when(entity.startswith("+"), "phone")
+        .when(entity.startswith("+") | entity.startswith("("), "phone")
+        .when(entity.contains(":"), "ip6")
         .when(entity.rlike(f"^{ADDRESS}$"), "ip")
+        .when(entity.rlike(f"^{NATIONAL}$"), "phone")
         .when(entity.rlike(r"^\d"), "card")
         .otherwise("person")
     )
@@ -79,13 +92,15 @@ def _words(entity: Column) -> Column:
 
 
 def _is_title(word: Column) -> Column:
-    return F.rtrim(word, F.lit(".")).isin(*TITLES_M, *TITLES_F)
+    return F.rtrim(word, F.lit(".")).isin(*TITLES)
 
 
 def _gender(entity: Column) -> Column:
-    first = F.rtrim(F.get(_words(entity), F.lit(0)), F.lit("."))
-    male = [*TITLES_M, *[n for (_, g), names in GIVEN.items() if g == "m" for n in names]]
-    return F.when(first.isin(*male), "m").otherwise("f")
+    """m, f, or n where neither the form of address nor a known first name tells."""
+    first, second = (F.rtrim(F.get(_words(entity), F.lit(k)), F.lit(".")) for k in (0, 1))
+    known = {g: [n for (_, own), names in GIVEN.items() if own == g for n in names] for g in "mf"}
+    of_name = lambda w: F.when(w.isin(*known["m"]), "m").when(w.isin(*known["f"]), "f").otherwise("n")
+    return F.when(first.isin(*TITLES_M), "m").when(first.isin(*TITLES_F), "f").when(first.isin(*TITLES_N), of_name(F.coalesce(second, F.lit("")))).otherwise(of_name(first))
 
 
 def _script(word: Column) -> Column:
@@ -110,13 +125,14 @@ def parts(entity: Column) -> Column:
         F.when(kind_of(entity) == "email", F.array(one("local", F.lower(F.split_part(entity, F.lit("@"), F.lit(1)))), one("domain", F.lower(F.split_part(entity, F.lit("@"), F.lit(2))))))
         .when(kind_of(entity) == "phone", F.array(one("phone", _national(entity))))
         .when(kind_of(entity) == "ip", F.array(one("ip", entity)))
+        .when(kind_of(entity) == "ip6", F.array(one("ip6", F.lower(entity))))
         .when(kind_of(entity) == "card", F.array(one("card", F.regexp_replace(entity, r"\D", ""))))
         .otherwise(F.transform(names, named))
     )
 
 
 def _national(phone: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(phone, r"^\+\d{1,3}", ""), r"\D", "")
+    return F.regexp_replace(F.regexp_replace(phone, f"^{COUNTRY}", ""), r"\D", "")
 
 
 def _draw(digest: Column, at: Column) -> Column:
@@ -151,14 +167,27 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), size), value), F.lit(0), lambda a, x: a + x)
 
 
-def surrogate(kind: Column, token: Column, attempt: Column, key: str) -> Column:
+def _hexed(token: Column, digest: Column) -> Column:
+    """Every hexadecimal digit changed for another, none that begins a group for 0."""
+
+    def change(i: Column) -> Column:
+        char, pick = F.substring(token, i, F.lit(1)), _draw(digest, i)
+        begins = (i == 1) | (F.substring(token, i - 1, F.lit(1)) == ":")
+        digit = F.lower(F.hex(F.when(begins, pick % 15 + 1).otherwise(pick % 16)))
+        return F.when(char == ":", char).otherwise(digit)
+
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(token)), change), "")
+
+
+def surrogate(kind: Column, token: Column, attempt: Column, key: Column | str) -> Column:
     """The replacement of a token in its normal form; a keyed hash decides, `attempt` gives further ones.
 
     Domains keep their last label, addresses their four numbers, card numbers their first digit and a right or
     wrong check digit. First names come from the list of their gender and script; from the second attempt on two are
     joined, from the tenth three. Family names are made of three syllables, from the fifth attempt on of four.
     """
-    digest = F.sha2(F.concat_ws("\0", F.lit(key), kind, token, attempt.cast("string")), 512)
+    key = F.lit(key) if isinstance(key, str) else key
+    digest = F.sha2(F.concat_ws("\0", key, kind, token, attempt.cast("string")), 512)
     # Bound to a name by `transform`, so that it is made once and not for every letter.
     return F.get(F.transform(F.array(digest), lambda d: _drawn(kind, token, attempt, d)), F.lit(0))
 
@@ -171,8 +200,9 @@ def _drawn(kind: Column, token: Column, attempt: Column, digest: Column) -> Colu
     last = F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10))
     shift = F.when(_luhn(token) % 10 == 0, 0).otherwise(_draw(digest, F.lit(30)) % 9 + 1)
     card = F.concat(body, F.pmod(last + shift, F.lit(10)).cast("string"))
-    out = F.when(kind == "domain", domain).when(kind == "ip", octets).when(kind == "card", card)
-    for (script, gender), names in GIVEN.items():
+    out = F.when(kind == "domain", domain).when(kind == "ip", octets).when(kind == "ip6", _hexed(token, digest)).when(kind == "card", card)
+    given = GIVEN | {(script, "n"): GIVEN[script, "m"] + GIVEN[script, "f"] for script in SYLLABLES}
+    for (script, gender), names in given.items():
         listed = F.lit([n.lower() for n in names])
         pick = [F.get(listed, _draw(digest, F.lit(k)) % len(names)) for k in range(3)]
         many = F.when(attempt == 0, 1).when(attempt < 9, 2).otherwise(3)
@@ -212,11 +242,18 @@ def _rendered(written: Column, digits: Column) -> Column:
     return F.aggregate(F.split(written, ""), start, put)["out"]
 
 
-def replacement(entity: Column, attempt_of, key: str) -> Column:
-    """The whole entity replaced, in its own format; attempt_of(kind, token) tells the attempt of each part."""
-    made = F.transform(parts(entity), lambda p: surrogate(p["kind"], p["token"], attempt_of(p["kind"], p["token"]), key))
+def replacement(entity: Column, attempt_of, key: Column | str, roles: Column | None = None) -> Column:
+    """The whole entity replaced, in its own format; attempt_of(kind, token) tells the attempt of each part.
+
+    `roles` maps names that stand alone to their kind.
+    """
+    held = parts(entity)
+    if roles is not None:
+        alone = F.array(F.struct(roles[entity].alias("kind"), F.lower(entity).alias("token")))
+        held = F.when(F.coalesce(F.map_contains_key(roles, entity), F.lit(False)), alone).otherwise(held)
+    made = F.transform(held, lambda p: surrogate(p["kind"], p["token"], attempt_of(p["kind"], p["token"]), key))
     first = F.get(made, F.lit(0))
-    country = F.regexp_extract(entity, r"^\+\d{1,3}", 0)
+    country = F.regexp_extract(entity, f"^{COUNTRY}", 0)
     titles = F.filter(_words(entity), _is_title)
     names = F.filter(_words(entity), lambda w: ~_is_title(w))
     written = F.zip_with(names, made, lambda w, s: F.regexp_replace(_as_written(w, s), "- ", "-"))
@@ -224,11 +261,35 @@ def replacement(entity: Column, attempt_of, key: str) -> Column:
         F.when(kind_of(entity) == "email", _cased(entity, F.array_join(made, "@")))
         .when(kind_of(entity) == "phone", F.concat(country, _rendered(F.substring(entity, F.length(country) + 1, F.length(entity)), first)))
         .when(kind_of(entity) == "ip", first)
+        .when(kind_of(entity) == "ip6", F.when(F.upper(entity) == entity, F.upper(first)).otherwise(first))
         .when(kind_of(entity) == "card", _rendered(entity, first))
         .otherwise(F.array_join(F.concat(titles, written), " "))
     )
 
 
+def keyed(rows: DataFrame, key: str) -> DataFrame:
+    """The rows with the key in a column __key, by a subquery: no plan, and so no log of plans, shows it."""
+    if not key:
+        raise ValueError("surrogates need a key")
+    return rows.withColumn("__key", rows.sparkSession.createDataFrame([(key,)], "key string").scalar())
+
+
+def names_alone(hits: Column) -> Column:
+    """Map from each word of the persons' names, as written and in capitals, to its kind."""
+    persons = F.filter(hits, lambda e: kind_of(e) == "person")
+
+    def named(entity: Column) -> Column:
+        words = F.filter(_words(entity), lambda w: ~_is_title(w))
+        return F.zip_with(words, parts(entity), lambda w, p: F.struct(w.alias("word"), p["kind"].alias("kind")))
+
+    found = F.flatten(F.transform(persons, named))
+    both = F.concat(found, F.transform(found, lambda f: F.struct(F.upper(f["word"]).alias("word"), f["kind"].alias("kind"))))
+    # A name that is someone's first and another's family name counts as the first by name of its kinds.
+    words = F.array_distinct(F.transform(both, lambda f: f["word"]))
+    kind = lambda w: F.array_min(F.transform(F.filter(both, lambda f: f["word"] == w), lambda f: f["kind"]))
+    return F.map_from_arrays(words, F.transform(words, kind))
+
+
 def later_attempts(tokens: DataFrame, key: str) -> DataFrame | None:
     """Rows (kind, token, attempt) of tokens whose first surrogate would collide; None if there are none.
 
@@ -238,7 +299,7 @@ def later_attempts(tokens: DataFrame, key: str) -> DataFrame | None:
     state = staged(tokens.withColumn("attempt", F.lit(0)), "attempts")
     moved = False
     while True:
-        named = state.withColumn("s", surrogate(F.col("kind"), F.col("token"), F.col("attempt"), key))
+        named = keyed(state, key).withColumn("s", surrogate(F.col("kind"), F.col("token"), F.col("attempt"), F.col("__key"))).drop("__key")
         # Longest standing first: a token that has moved gives way to one that has not.
         claims = named.select("kind", "s", F.col("token").alias("claim"), "attempt")
         real = state.select("kind", F.col("token").alias("s"), F.lit(None).cast("string").alias("claim"), F.lit(-1).alias("attempt"))
@@ -257,8 +318,9 @@ def later_attempts(tokens: DataFrame, key: str) -> DataFrame | None:
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of `docs` with personal data in the text replaced, and `n_entities`.
 
-    Finds e-mail addresses, international phone numbers, IPv4 addresses, card numbers and persons (a form of address or a
-    common first name before a name). Equal entities get equal surrogates in all documents and spellings of their format,
+    Finds e-mail addresses, international and ten-digit national phone numbers, IPv4 and IPv6 addresses, card numbers and
+    persons (a form of address or a common first name before a name); names of a document's persons are replaced where they
+    stand alone in it too. Equal entities get equal surrogates in all documents and spellings of their format,
     different ones different surrogates, none of which is an entity of the corpus; the same key gives the same result for the
     same corpus. Null texts stay null (n_entities null), rows without entities unchanged. A row without id is replaced by
     first attempts. Rows that share an id are each replaced. A column n_entities is replaced. Only DataFrame functions run.
@@ -280,11 +342,17 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     def attempt_of(kind: Column, token: Column) -> Column:
         return F.coalesce(moved[F.concat_ws("\0", kind, token)], F.lit(0))
 
-    text = F.col(own_text)
-    hits = rows.withColumn("_hits", entities(text))
-    pieces = F.split(text, f"(?:{ENTITY})", -1)
-    swapped = F.concat(F.transform("_hits", lambda e: replacement(e, attempt_of, key)), F.array(F.lit("")))
-    rebuilt = F.array_join(F.zip_with(pieces, swapped, lambda p, s: F.concat(p, s)), "")
+    text, secret = F.col(own_text), F.col("__key")
+    found = keyed(rows, key).withColumn("__found", entities(text)).withColumn("__roles", names_alone(F.col("__found")))
+    roles = F.col("__roles")
+    # A row with persons has a pattern of its own, with their names at its end.
+    alone = F.concat(F.lit(r"|(?<!\p{L})(?:"), F.array_join(F.map_keys(roles), "|"), F.lit(r")(?!\p{L})"))
+    has_names = F.size(roles) > 0
+    again = F.regexp_extract_all(text, F.concat(F.lit(f"({ENTITY}"), alone, F.lit(")")), F.lit(1))
+    hits = found.withColumn("_hits", F.when(has_names, again).otherwise(F.col("__found")))
+    pieces = F.when(has_names, F.split(text, F.concat(F.lit(f"(?:{ENTITY}"), alone, F.lit(")")), -1)).otherwise(F.split(text, f"(?:{ENTITY})", -1))
+    swapped = F.transform("_hits", lambda e: replacement(e, attempt_of, secret, roles))
+    rebuilt = F.array_join(F.zip_with(pieces, F.concat(swapped, F.array(F.lit(""))), lambda p, s: F.concat(p, s)), "")
     new_text = F.when(F.size("_hits") > 0, rebuilt).otherwise(text)
     columns = [(new_text if c == text_col else F.col(f"__{k}")).alias(c) for k, c in enumerate(names)]
     return hits.select(*columns, F.when(text.isNotNull(), F.size("_hits")).alias("n_entities"))

@@ -7,6 +7,7 @@ import struct
 import duckdb
 import numpy as np
 import pytest
+import regex
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -96,6 +97,32 @@ def test_surrogates_keep_type_format_and_identity(spark):
     assert found[2].split("Господин ")[1][0] in "ИПСАДНМ"
 
 
+def test_no_personal_data_stays_in_clear(spark):
+    rows = {
+        "(555) 123-4567": r"\(\d{3}\) \d{3}-\d{4}",
+        "555-123-4567": r"\d{3}-\d{3}-\d{4}",
+        "at 2001:db8::8a2e:370:7334 or FE80::1": r"at [1-9a-f][0-9a-f]{3}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4} or [1-9A-F][0-9A-F]{3}::[1-9A-F]",
+        "Dr Angela Merkow": r"Dr \p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+",
+        "rené.x@a.com": r"[a-z]{4}\.[a-z]@[a-z]\.com",
+        "John Smith called. Smith said, SMITH and John, not Smithers": r"(\p{L}+) (\p{L}+) called\. \2 said, (\p{Lu}+) and \1, not Smithers",
+        "std::string a::b 12:30:45 and call 12-34": "std::string a::b 12:30:45 and call 12-34",
+    }
+    found = {r.doc_id: r.text for r in surrogates.replace_entities(frame(spark, list(rows)), "k").collect()}
+    for k, (text, form) in enumerate(rows.items()):
+        assert regex.fullmatch(form, found[k]), found[k]
+        assert (found[k] == text) == (text == form)
+    same = surrogates.replace_entities(frame(spark, ["+1 (555) 123-4567 is (555) 123-4567"]), "k").first().text
+    digits = [regex.sub(r"\D", "", part) for part in same.split(" is ")]
+    assert digits[0] == "1" + digits[1] != "15551234567"
+
+
+def test_the_key_is_in_no_plan(spark):
+    found = surrogates.replace_entities(frame(spark, ["Mr. John Smith"]), "a most secret key")
+    assert "most secret" not in found._jdf.queryExecution().toString()
+    with pytest.raises(ValueError):
+        surrogates.replace_entities(frame(spark, ["x"]), "")
+
+
 def luhn(digits):
     return sum(sum(divmod(2 * int(d), 10)) if k % 2 else int(d) for k, d in enumerate(reversed(digits))) % 10 == 0
 
@@ -182,6 +209,15 @@ def repeating(pick, length):
     return texts
 
 
+def test_repeats_of_400_bytes_equal_the_plain_version(spark, texts):
+    found = {r.doc_id: r for r in queries.op6_repeats(spark, SMALL).collect()}
+    ids = sorted(texts)
+    expected = brute.without_repeats([(texts[i] or "").encode() for i in ids], 400)
+    for i, (removed, spans, kept) in zip(ids, expected, strict=True):
+        assert (found[i].n_removed, found[i].n_spans, found[i].kept_sha256) == (removed, spans, hashlib.sha256(kept).hexdigest())
+    assert sum(e[0] for e in expected) > 0
+
+
 @pytest.mark.parametrize(("bucket", "pairwise"), [(512, 24), (512, 2), (3, 2)])
 def test_repeats_equal_the_plain_version(spark, monkeypatch, bucket, pairwise):
     """By pairs, by sorted ranks, and by counted windows."""
