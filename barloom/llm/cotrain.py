@@ -1,14 +1,17 @@
-"""Quality classifier by co-training two views: text content, and page metadata with layout."""
+"""Quality classifier by co-training two views: text content, and page metadata."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.llm.common import mixed, staged, text_bytes, text_slices
 from barloom.llm.nnpu import bounded_sample
@@ -47,31 +50,29 @@ def content_view(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def meta_view(data: np.ndarray, offsets: np.ndarray, fields: list[list]) -> np.ndarray:
-    """One-hot hashed metadata fields, and layout: length, lines, line length, shares of capitals, digits, signs, blanks."""
-    n = len(offsets) - 1
+def meta_view(fields: list[list]) -> np.ndarray:
+    """One-hot hashed metadata fields, each and every two together; nothing of the text."""
+    n = len(fields[0]) if fields else 0
     out = np.zeros((n, META), np.float32)
-    for k, values in enumerate(fields):
+    named = [[f"{k}:{value}" for value in values] for k, values in enumerate(fields)]
+    named += [[f"{a} {b}" for a, b in zip(x, y, strict=True)] for x, y in combinations(named, 2)]
+    known: dict[str, int] = {}
+    for values in named:
         for row, value in enumerate(values):
-            seed = np.frombuffer(f"{k}:{value}".encode()[:64].ljust(64, b"\0"), np.uint64)
-            h = np.uint64(k + 1)
-            for part in seed:
-                h = mixed(np.array([h ^ part], np.uint64))[0]
-            out[row, int(h % np.uint64(META - 64))] = 1
-    sizes = np.diff(offsets)
-    kinds = (
-        data == 10,
-        (data >= 65) & (data <= 90),
-        (data >= 48) & (data <= 57),
-        ((data >= 33) & (data <= 47)) | ((data >= 58) & (data <= 64)) | ((data >= 91) & (data <= 96)) | ((data >= 123) & (data <= 126)),
-        data <= 32,
-    )
-    for k, kind in enumerate(kinds):
-        total = np.concatenate([[0], np.cumsum(kind)])
-        share = (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(1, sizes)
-        step = np.minimum(np.floor(np.sqrt(share) * 10), 9).astype(np.int64)
-        out[np.arange(n), META - 64 + k * 10 + step] = 1
-    out[np.arange(n), META - 14 + np.minimum(np.log2(sizes + 1), 13).astype(np.int64)] = 1
+            if value not in known:
+                known[value] = xxhash.xxh64_intdigest(value.encode()) % META
+            out[row, known[value]] = 1
+    return out
+
+
+def meta_columns(docs: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Metadata columns as text meta_0, meta_1, ...; of a number its power of two."""
+    out = []
+    for k, name in enumerate(names):
+        column = docs[name]
+        if isinstance(docs.schema[name].dataType, T.NumericType):
+            column = F.floor(F.log2(F.abs(column.cast("double")) + 1))
+        out.append(column.cast("string").alias(f"meta_{k}"))
     return out
 
 
@@ -126,7 +127,7 @@ class QualityModel:
 def views(batch: pa.RecordBatch, text_at: int, meta_at: int) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = text_bytes(batch.column(text_at))
     fields = [batch.column(k).to_pylist() for k in range(meta_at, batch.num_columns)]
-    return content_view(data, offsets), meta_view(data, offsets, fields)
+    return content_view(data, offsets), meta_view(fields)
 
 
 def few_rows(batch: pa.RecordBatch, most: int = 2048) -> Iterator[pa.RecordBatch]:
@@ -143,7 +144,7 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    meta_cols: tuple[str, ...] = ("source", "lang"),
+    meta_cols: tuple[str, ...] = ("source", "lang", "n_chars"),
     labelled: int = LABELLED,
     pool: int = POOL,
     rounds: int = ROUNDS,
@@ -153,10 +154,10 @@ def train(
 
     In each round either view, fitted on its own training rows, labels the pool rows it is surest of, in the classes'
     proportion, and hands them to the other view. Every fifth labelled row is kept back; on those the views are calibrated
-    (Platt) and their say in the sum is fitted. `learn` is an expression over the id column that restricts labels. Labels
+    (Platt) and their say in the sum is fitted. The metadata view sees the metadata columns alone, the content view the text. `learn` is an expression over the id column that restricts labels. Labels
     other than 0 and 1 are not used. With labels of one class only, every score is that class's share.
     """
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *[docs[c].cast("string").alias(f"meta_{k}") for k, c in enumerate(meta_cols)])
+    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *meta_columns(docs, meta_cols))
     marks = labels if learn is None else labels.where(learn)
     marks = marks.where(marks[label_col].isin(0, 1)).select(marks[id_col].alias("doc_id"), marks[label_col].alias("label"))
     marks = marks.groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -198,9 +199,11 @@ def fit(xc: np.ndarray, xm: np.ndarray, label: np.ndarray, held: np.ndarray, rou
     free = label < 0
     guess_c, guess_m = label.astype(float).copy(), label.astype(float).copy()  # the training labels of either view
     content = meta = None
-    for _ in range(rounds + 1):
+    for turn in range(rounds + 1):
         use_c, use_m = (guess_c >= 0) & ~held, (guess_m >= 0) & ~held
         content, meta = logistic(xc[use_c], guess_c[use_c], content), logistic(xm[use_m], guess_m[use_m], meta)
+        if turn == rounds:  # what the last exchange gave is fitted, and nothing is exchanged after that
+            break
         for view, x, other in ((content, xc, guess_m), (meta, xm, guess_c)):
             open_rows = np.flatnonzero(free & (other < 0))
             p = 1 / (1 + np.exp(-np.clip(view.raw(x[open_rows]), -30, 30)))
@@ -226,7 +229,7 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
     score is the probability of good quality, predicted 1 from `keep_from` on. A null text counts as empty, a null
     metadata field as a value of its own. Repeated rows are answered each; other columns are not read.
     """
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *[docs[c].cast("string").alias(f"meta_{k}") for k, c in enumerate(model.meta_cols)])
+    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *meta_columns(docs, model.meta_cols))
     id_type = plain.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -334,6 +334,18 @@ def test_quality_of_held_out_texts(spark):
     assert sum(r.predicted for r in rows if r.quality == 1) / sum(r.quality for r in rows) > 0.97
 
 
+def test_the_metadata_view_sees_no_text(spark):
+    docs = read_table(spark, SMALL, "documents")
+    labels = read_table(spark, SMALL, "labels")
+    model = cotrain.train(docs, labels)
+    other = docs.withColumn("text", F.lit("nothing"))
+    seen = []
+    for table in (docs, other):
+        columns = [r for r in table.orderBy("doc_id").select(*cotrain.meta_columns(table, model.meta_cols)).collect()]
+        seen.append(model.meta.logit(cotrain.meta_view([list(c) for c in zip(*columns, strict=True)])))
+    assert np.array_equal(*seen) and len(set(seen[0].tolist())) > 3
+
+
 def test_views_teach_one_another():
     pick = np.random.default_rng(0)
     y = pick.integers(0, 2, 400)
