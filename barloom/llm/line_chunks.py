@@ -172,7 +172,8 @@ def drop_repeated_chunks(
     bodies = staged(_repeated_bodies(texts, end_share), "bodies")
     # Rows of equal id and text give equal first copies; one is enough.
     first = bodies.where("first").dropDuplicates(["digest"])
-    first = first.select("digest", *[F.col(c).alias(f"first_{c}") for c in ("body", "before", "after")])
+    # Staged, so that the join below is one of plain exchanges, in which AQE splits a digest of very many copies.
+    first = staged(first.select("digest", *[F.col(c).alias(f"first_{c}") for c in ("body", "before", "after")]), "first-copies")
     gone = _widened(bodies.where("NOT first").join(first.hint("merge"), "digest"))
     gone = staged(gone.groupBy("key").agg(F.collect_set(F.struct("chunk", "back", "on")).alias("_drop")), "drop")
     return _rebuilt(docs, gone, id_col, text_col, end_share, min_lines)
