@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.session import scratch_path
+from barloom.sources.folders import remove_path
 
 # Text handled at once inside a task; a longer document is handled alone.
 SLICE_BYTES = 1 << 21
@@ -19,13 +20,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Folders that `staged` has written and nobody has removed.
+STAGED: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written to the shared folder and read from there: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_staged(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Remove the folders staged from the `since`-th on, but for the last `keep`; what was read from them is gone then."""
+    end = max(since, len(STAGED) - keep)
+    for path in STAGED[since:end]:
+        remove_path(spark, path)
+    del STAGED[since:end]
+
+
 def two_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only id and text, under names of our own, so that further columns cannot clash."""
     return df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.common import mixed, staged, text_bytes, text_slices
-from barloom.llm.nnpu import bounded_sample
+from barloom.llm.nnpu import bounded_sample, one_row_each
 
 CONTENT, META = 2048, 512
 # Bounds of the labelled rows and of the unlabelled pool, whatever the table's size.
@@ -164,7 +164,8 @@ def train(
     known = staged(bounded_sample(marks, labelled, "quality-labels"), "quality-known")
     rest = staged(bounded_sample(plain.select("doc_id"), pool, "quality-pool"), "quality-pool").withColumn("label", F.lit(-1))
     chosen = staged(known.select("doc_id", "label").union(rest.join(known, "doc_id", "left_anti").select("doc_id", "label")).distinct(), "quality-ids")
-    sample = plain.join(F.broadcast(chosen), "doc_id")  # at most `labelled` + `pool` rows
+    texts = one_row_each(plain.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi"))
+    sample = texts.join(F.broadcast(chosen), "doc_id")  # at most `labelled` + `pool` rows
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -168,7 +168,7 @@ def edited_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     own = docs.select(
         docs[id_col].alias("doc_id"),
-        F.coalesce(docs[id_col].cast("long"), F.lit(LEAST_KEY)).alias("key"),
+        F.coalesce(docs[id_col].try_cast("long"), F.lit(LEAST_KEY)).alias("key"),
         F.coalesce(docs[text_col], F.lit("")).alias("text"),
     )
     rows = with_next(own)
@@ -186,7 +186,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     is the MD5 of a sketch of fixed size of the text's distinct paragraph digests. Likeness is 1 - d / (a + b): a and b
     are the numbers of digests of the two texts, d the digests that peeling recovers from the difference of their
     sketches, whose size follows a + b; a pair that does not peel to the end is tried again with twice the cells and
-    other hashes. Two texts without paragraphs have likeness 1. A null text counts as empty; null ids come first;
+    other hashes. Two texts without paragraphs have likeness 1. A null text counts as empty; null ids, and those that are no
+    whole number, come first;
     repeated rows follow one another; a lone document is its own next one. Other columns are not read. Only DataFrame
     functions run here.
     """

@@ -78,10 +78,19 @@ class ToxicityModel:
 
 
 def bounded_sample(docs: DataFrame, most: int, name: str) -> DataFrame:
-    """The rows with the `most` smallest hashes of their id (column doc_id); repeated ids may add some rows."""
+    """The rows with the `most` smallest hashes of their id (column doc_id), one for each id: of several the least by its
+    columns, so that an id that very many rows share does not break the bound."""
     key = F.xxhash64(F.col("doc_id").cast("string"))
     ids = staged(docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(key, "doc_id").limit(most), f"{name}-ids")
-    return docs.join(ids, "doc_id", "left_semi")
+    return one_row_each(docs.join(ids, "doc_id", "left_semi"))
+
+
+def one_row_each(rows: DataFrame) -> DataFrame:
+    """One row for each doc_id, the least by the other columns."""
+    rest = [c for c in rows.columns if c != "doc_id"]
+    if not rest:
+        return rows.distinct()
+    return rows.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select("doc_id", *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*rows.columns)
 
 
 def train(
@@ -111,7 +120,7 @@ def train(
     ones = staged(marks.where("label = 1 AND doc_id IS NOT NULL").select("doc_id"), "all-positive-ids")
     pos = bounded_sample(ones, positives, "positives")
     sample = staged(
-        plain.join(staged(pos.distinct(), "positive-ids"), "doc_id", "left_semi").select("doc_id", "text", F.lit(True).alias("positive"))
+        one_row_each(plain.join(staged(pos.distinct(), "positive-ids"), "doc_id", "left_semi")).select("doc_id", "text", F.lit(True).alias("positive"))
         .union(bounded_sample(plain, unlabelled, "unlabelled").select("doc_id", "text", F.lit(False))),
         "toxicity-sample",
     )

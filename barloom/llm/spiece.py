@@ -229,12 +229,17 @@ class Encoder:
         return right
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids one after another, offsets by text (n + 1), and whether all words of a text agree with sentencepiece."""
+        """All ids one after another, offsets by text (n + 1), and whether a text's normal form and all its words agree with
+        sentencepiece."""
         if len(self.number) > self.most:
             self.forget()
         words, counts = [], np.zeros(len(texts) + 1, np.int64)
+        alike = np.ones(len(texts), bool)
         for k, text in enumerate(texts):
-            words += self.split.findall(self.model.normal(text))
+            normal = self.model.normal(text)
+            if self.judge:
+                alike[k] = self.judge.normalize(text) == normal
+            words += self.split.findall(normal)
             counts[k + 1] = len(words)
         known = len(self.number)
         number = self.number
@@ -247,7 +252,7 @@ class Encoder:
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.pool[np.repeat(self.starts[which] - ends[:-1], sizes) + np.arange(ends[-1])]
         wrong = np.concatenate([[0], np.cumsum(~self.agrees[which])])[counts]
-        return ids, ends[counts], wrong[1:] == wrong[:-1]
+        return ids, ends[counts], alike & (wrong[1:] == wrong[:-1])
 
 
 def normal_of_words():

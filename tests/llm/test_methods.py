@@ -1,6 +1,7 @@
 """Each operator against a plain version, an exact round trip or held-out labels."""
 
 import hashlib
+import os
 import random
 import struct
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from barloom.llm import cotrain, decontam, iblt, langid, line_chunks, nnpu, queries, simhash, spiece, suffixes, surrogates
 from barloom.llm.common import components, read_table
+from barloom.session import scratch_path
 from tests.llm import brute
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -361,7 +363,11 @@ def test_views_teach_one_another():
 
 
 def test_pipeline_equals_its_plain_stages(spark):
+    folder = os.path.dirname(scratch_path(spark, "any"))
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     found = {r.doc_id: r for r in corpus_pipeline.run(spark, SMALL).collect()}
+    # What the stages had staged on their way is gone.
+    assert [name.split("-")[0] for name in set(os.listdir(folder)) - before] == ["tokens"]
     docs = read_table(spark, SMALL, "documents")
     texts = {r.doc_id: r.text for r in docs.collect()}
     model = langid.train(docs, F.lit(True))

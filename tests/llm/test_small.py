@@ -152,6 +152,17 @@ def test_rows_that_share_an_id_are_judged_one_by_one(spark, tmp_path):
         assert kept == [good.first().text]
 
 
+def test_string_ids(spark):
+    rows = spark.createDataFrame([("a", "One. Two."), ("b", None), ("7", "One. Two."), (None, "x")], "doc_id string, text string")
+    assert sorted(str(r.doc_id) for r in iblt.fingerprints(rows).collect()) == ["7", "None", "a", "b"]
+
+
+def test_a_hot_id_does_not_break_a_bound(spark):
+    rows = spark.range(500).select((F.col("id") // 400).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    found = nnpu.bounded_sample(rows, 1, "hot").collect()
+    assert len(found) == 1 and found[0].text == min(f"text {k}" for k in range(500) if k // 400 == found[0].doc_id)
+
+
 def test_language_without_labels(docs):
     model = langid.train(docs, F.lit(False))
     assert {r.lang_pred for r in langid.identify(docs, model).collect()} <= {langid.UNKNOWN}
