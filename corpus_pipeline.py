@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import decontam, langid, line_chunks, simhash, spiece
-from barloom.llm.common import read_table, staged
+from barloom.llm.common import STAGED, read_table, remove_staged, staged
 from barloom.llm.queries import PIECE_MODEL
 
 
@@ -58,7 +58,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The rows of the last stage. What stages have staged on their way is removed once their result is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), len(STAGED)
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)
+        remove_staged(spark, before, keep=1)
     return docs
