@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +14,7 @@ from pyspark.sql import types as T
 from barloom.functions.names import file_name, symbol_of
 from barloom.operators.calendar import day_coverage, day_spine
 from barloom.schemas import TICKS
-from barloom.sources.folders import partition_folders, path_exists
+from barloom.sources.folders import names_like, partition_folders, path_exists
 
 REQUIRED = ("timestamp", "price")
 
@@ -58,12 +60,70 @@ def read_tick_files(
     )
 
 
+NANOS = "spark.sql.legacy.parquet.nanosAsLong"
+# What a column is declared as where the files looked at lack it.
+DECLARED = {"timestamp": T.TimestampNTZType(), "price": T.DoubleType(), "size": T.LongType(), "seq": T.LongType()}
+
+
+def file_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of one file. Only where it holds nanosecond times the session flag that lets Spark read them is set."""
+    try:
+        return spark.read.parquet(path).schema
+    except AnalysisException as error:
+        if "NANOS" not in str(error):
+            raise
+    spark.conf.set(NANOS, "true")
+    return spark.read.parquet(path).schema
+
+
+def folder_class(spark: SparkSession, folder: str) -> T.StructType | None:
+    """Our columns with the types that a folder's files have, None for an empty folder.
+
+    The first file tells; others are looked at only while time or price is lacking. A column that none of these has is
+    declared all the same, since other files of the folder may have it.
+    """
+    known: dict[str, T.DataType] = {}
+    names = names_like(spark, f"{folder}/*.parquet")
+    for name in names:
+        found = {f.name: f.dataType for f in file_schema(spark, f"{folder}/{name}").fields if f.name in DECLARED}
+        known = {**found, **known}
+        if set(REQUIRED) <= set(known):
+            break
+    return T.StructType([T.StructField(c, known.get(c, t)) for c, t in DECLARED.items()]) if names else None
+
+
+def read_tick_folders(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """Ticks of day folders whose files are named after their symbol, by classes of folders with the same column types.
+
+    One scan with a declared schema for each class, united by name: footers are read of a file or two of a folder to plan,
+    not of all files. Columns that a file lacks are null there, so a file without time or price gives no bars. Files of one
+    folder may differ in their columns; where they differ in a type too, Spark widens numbers and refuses the rest.
+    """
+    classes: dict[str, tuple[T.StructType, list[str]]] = {}
+    for folder in folders:
+        found = folder_class(spark, folder)
+        if found is not None:
+            classes.setdefault(found.json(), (found, []))[1].append(folder)
+    parts = [_class_ticks(spark, schema, paths) for schema, paths in classes.values()]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], TICKS)
+
+
+def _class_ticks(spark: SparkSession, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
+    raw = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(*folders)
+    ts = F.col("timestamp")
+    if isinstance(schema["timestamp"].dataType, T.LongType):
+        ts = F.expr("timestamp_micros(timestamp div 1000)")
+    symbol = F.regexp_extract("_metadata.file_path", r"/([^/]+)\.parquet(?:/|$)", 1)  # a file, or a folder that Spark wrote
+    rest = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TICKS.fields if f.name not in ("ticker", "timestamp")]
+    return raw.select(symbol.alias("ticker"), ts.cast("timestamp_ntz").alias("timestamp"), *rest)
+
+
 def read_tick_days(
     spark: SparkSession, root: str, start: date, end: date, data_type: str = "trades", weekdays: bool = True
 ) -> DataFrame:
     """Ticks of the day folders of a range, weekdays only unless told otherwise; days without a folder have none."""
     folders = [f"{root}/{data_type}/{d.isoformat()}" for d in date_range(start, end, weekdays)]
-    return read_tick_files(spark, [f for f in folders if path_exists(spark, f)])
+    return read_tick_folders(spark, [f for f in folders if path_exists(spark, f)])
 
 
 def day_file_report(files: DataFrame, symbols: Sequence[str] | None, start: date, end: date) -> DataFrame:

@@ -186,6 +186,11 @@ def statements() -> dict[str, str]:
             count(*) FILTER (user_id % 9 = 0 OR (user_id < 60 AND user_id % 3 = 1)) AS files_downloaded,
             coalesce(sum(bytes) FILTER (user_id % 9 = 0 OR (user_id < 60 AND user_id % 3 = 1)), 0)::DOUBLE / 1048576 AS total_size_mb
           FROM spine s LEFT JOIN files f ON f.date = s.date WHERE isodow(s.date) < 6 GROUP BY 1""",
+        "mixed_tick_files": f"""WITH {TICKS}, chosen AS (
+            SELECT ticker, timestamp, CASE day(timestamp) WHEN 5 THEN round(price * 100) ELSE price END AS price,
+              CASE WHEN day(timestamp) = 3 OR (day(timestamp) = 2 AND ticker = 'click') THEN NULL ELSE size END AS size
+            FROM ticks WHERE day(timestamp) BETWEEN 2 AND 5 AND ticker IN ('click', 'view'))
+          {bars('1h', 'chosen')}""",
         "exact_sizes": """SELECT l_suppkey, b / 1024.0::DOUBLE AS kb, b / 1048576.0::DOUBLE AS mb
           FROM (SELECT l_suppkey, CAST(sum(floor(l_extendedprice)) AS BIGINT) AS b FROM lineitem GROUP BY 1)""",
         "interval_checks": f"""SELECT interval, interval IN ({', '.join(f"'{label}'" for label in labels)}) AS known, count(*) AS rows FROM (

@@ -304,6 +304,26 @@ def day_file_counts(spark: SparkSession, sf: str) -> DataFrame:
     return report.select("date", "status", F.col("files_downloaded").cast("bigint").alias("files_downloaded"), "total_size_mb")
 
 
+def mixed_tick_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Day folders of files by symbol: with and without size, prices as doubles, text and whole cents, times as text."""
+    rows = inputs.event_ticks(spark, sf).withColumn("day", F.dayofmonth("timestamp"))
+    root = scratch_path(spark, "days")
+    forms = {
+        2: {"timestamp": "timestamp", "price": "price", "size": "size", "seq": "seq"},
+        3: {"timestamp": "timestamp", "price": "price"},
+        4: {"timestamp": "cast(timestamp as string)", "price": "cast(price as string)", "size": "cast(size as int)"},
+        5: {"timestamp": "timestamp", "price": "cast(round(price * 100) as int)", "size": "size"},
+    }
+    for day, form in forms.items():
+        for symbol in ("click", "view"):
+            chosen = rows.where((F.col("day") == day) & (F.col("ticker") == symbol))
+            lacking = ("size",) if (day, symbol) == (2, "click") else ()  # what the folder's other file has
+            path = f"{root}/trades/2024-01-{day:02d}/{symbol}.parquet"
+            chosen.select(*[F.expr(e).alias(c) for c, e in form.items() if c not in lacking]).coalesce(1).write.parquet(path)
+    found = ticks.read_tick_days(spark, root, queries.FIRST, queries.LAST)
+    return bars.bars_from_ticks(found, "1h")
+
+
 def exact_sizes(spark: SparkSession, sf: str) -> DataFrame:
     line = inputs.table(spark, sf, "lineitem")
     sized = line.groupBy("l_suppkey").agg(F.sum(F.floor("l_extendedprice")).cast("bigint").alias("bytes"))
@@ -321,6 +341,6 @@ def registry() -> dict[str, Query]:
         store_runs, series_state, state_totals, one_identity_details, unknown_orders, bucket_series,
         stream_batches, rebuilt_bins, late_repair, late_before_repair, streamed_landing, streamed_rejects, market_store,
         coverage_islands, coverage_gaps, load_statuses, universe_history, universe_as_of, universe_update_job,
-        universe_strings, category_first, every_asset_type, day_file_counts, exact_sizes, interval_checks,
+        universe_strings, category_first, every_asset_type, day_file_counts, mixed_tick_files, exact_sizes, interval_checks,
     )
     return {f.__name__: f for f in named}

@@ -343,3 +343,28 @@ def test_backfill_does_not_hang_on_partitioning(spark, tmp_path):
     last = landed_rows.withColumn("ingest_seq", F.col("close").cast("long")).repartition(3)
     backfill(spark, ranges, last, str(tmp_path / "last"))
     assert store.read_bars(spark, str(tmp_path / "last")).first().close == 5.0
+
+
+def test_classes_of_folders_read_few_footers(spark, tmp_path, monkeypatch):
+    """Folders with one kind of columns are one scan; a file of each folder is looked at, more only while a column lacks."""
+    times = pd.to_datetime(["2024-01-02 10:00:01", "2024-01-02 10:00:02"]).astype("datetime64[us]")
+    for day in (2, 3, 4, 5):
+        folder = tmp_path / "trades" / f"2024-01-0{day}"
+        folder.mkdir(parents=True)
+        for k, name in enumerate(("AAA", "BBB", "CCC")):
+            frame = pd.DataFrame({"timestamp": times, "price": [1.5, 2.5], "size": [3, 4]})
+            if day == 4:
+                frame = frame.assign(price=["1.5", "2.5"])
+            if day == 5:
+                frame = frame.drop(columns=["price"] if k == 0 else ["size"])
+            frame.to_parquet(folder / f"{name}.parquet")
+    looked = []
+    monkeypatch.setattr(ticks, "file_schema", lambda s, path, plain=ticks.file_schema: looked.append(path) or plain(s, path))
+    read = ticks.read_tick_days(spark, str(tmp_path), date(2024, 1, 1), date(2024, 1, 7))
+    assert len(looked) == 5
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+    built = bars_from_ticks(read, "1d")
+    # Sizes count where the price is unknown, and are nought where they are.
+    assert rows_of(built, "ticker", "open", "volume") == [("AAA", 1.5, 28), ("BBB", 1.5, 21), ("CCC", 1.5, 21)]
+    assert ticks.read_tick_folders(spark, []).isEmpty()
