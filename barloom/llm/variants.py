@@ -19,8 +19,8 @@ LEAST_CHARS, LEAST_COUNT = 6, 5
 NOISE, FORM_TIMES = 199, 5
 # Words of one index, words drawn for each index to find its borders, words counted in a task before they are sent on.
 BLOCK, DRAWN, HELD = 8192, 8, 300_000
-# States of a search that are held at once.
-FRONT = 1 << 16
+# States of a search that are held at once, and tasks that search.
+FRONT, MOST_TASKS = 1 << 16, 20_000
 # Runs are of A-Z, a-z and U+00C0 to U+00FF: latin-1 bytes, of which only A-Z become small; all others part runs.
 SMALL = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 0xC0 else 32 for b in range(256))
 LETTERS = bytes([0, *range(97, 123), *range(0xC0, 0x100)])  # 0 delimits words
@@ -297,8 +297,9 @@ def half_searches(words: DataFrame, mirrored: bool) -> DataFrame:
                     yield best_near(index, members, np.concatenate(counts), keys, mirrored)
 
     rows = own.mapInArrow(dealt, "block int, asks boolean, key string, n long")
-    # Words before those who ask, so that a task holds the words of one block and passes the others by.
-    ordered = rows.repartition("block").sortWithinPartitions("block", "asks", "key")
+    # Words before those who ask, so that a task holds the words of one block and passes the others by. The searches cost
+    # far more than their bytes say, so the number of tasks follows the blocks and is not left to AQE.
+    ordered = rows.repartition(max(1, min(blocks, MOST_TASKS)), "block").sortWithinPartitions("block", "asks", "key")
     return ordered.mapInArrow(searched, "word string, n_near long, best_n long, best string")
 
 
