@@ -13,7 +13,7 @@ from barloom.session import scratch_path
 from barloom.sources.folders import remove_path
 
 # Text handled at once inside a task; a longer document is handled alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,8 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_B
     cuts = np.flatnonzero(np.diff(part, prepend=-1))
     for start, stop in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
         yield batch.slice(int(start), int(stop - start))
+    # Workers live on for other stages, so they give back what a batch has taken.
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

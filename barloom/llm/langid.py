@@ -19,6 +19,8 @@ UNKNOWN = "und"
 # Training rows: so many documents of each language at most, and short pieces of each beside the whole text.
 SAMPLE_PER_LANG = 600
 PIECES = 3
+# Text scored at once: some sixty bytes of arrays for each of its letters.
+SLICE = 1 << 19
 
 
 # Made once in a process. A plain dict, since a cached function would travel by name.
@@ -245,7 +247,7 @@ def accepted_rows(docs: DataFrame, model: LanguageModel, text_col: str = "text")
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             named = batch.rename_columns([f"_{k}" for k in range(batch.num_columns)])
-            for part in text_slices(named, f"_{place}"):
+            for part in text_slices(named, f"_{place}", SLICE):
                 _, p, has_letter = model.predict([t or "" for t in part.column(place).to_pylist()])
                 yield part.filter(pa.array(has_letter & (p >= model.threshold))).rename_columns(batch.schema.names)
 
@@ -264,7 +266,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, most=SLICE):
                 best, p, has_letter = model.predict([t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [
