@@ -132,8 +132,10 @@ def roll_aggregates(columns: Iterable[str]) -> list[Column]:
     return out
 
 
-def roll_up(bars: DataFrame, source: str, target: str, keys: Sequence[str] = ("ticker",)) -> DataFrame:
-    """Coarser bars from the bars of one finer interval.
+def roll_up(
+    bars: DataFrame, source: str, target: str, keys: Sequence[str] = ("ticker",), extra: Sequence[Column] = ()
+) -> DataFrame:
+    """Coarser bars from the bars of one finer interval, with the `extra` aggregates of them.
 
     From bars kept with `complete=False` the result is that of the ticks. From stored bars, which lack bins without a
     known price, it lacks their volume too.
@@ -142,7 +144,7 @@ def roll_up(bars: DataFrame, source: str, target: str, keys: Sequence[str] = ("t
     if not can_roll_up(src, dst):
         raise ValueError(f"{source} bars do not nest in {target} bars")
     fine = bars.where(F.col("interval") == source).withColumn("_bin", bin_start("timestamp", dst))
-    coarse = fine.groupBy(*keys, "_bin").agg(*roll_aggregates(bars.columns))
+    coarse = fine.groupBy(*keys, "_bin").agg(*roll_aggregates(bars.columns), *extra)
     coarse = drop_incomplete(coarse) if PRICED in coarse.columns else coarse.dropna(subset=["open"])
     rest = [c for c in coarse.columns if c not in (*keys, "_bin")]
     return coarse.select(*keys, F.lit(target).alias("interval"), F.col("_bin").alias("timestamp"), *rest)

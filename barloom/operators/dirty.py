@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.intervals import bin_start, can_roll_up, interval_of
 from barloom.operators.bars import roll_up
-from barloom.operators.spread import lookup_join
+from barloom.operators.upsert import packed_text, unpacked_text
 
 LONGEST_BIN = timedelta(days=367)
 
@@ -52,7 +52,7 @@ def within_bins(rows: DataFrame, bins: DataFrame, label: str, first: datetime, l
 
 
 def rebuilt(fine: DataFrame, bins: DataFrame, finer: str, label: str, first: datetime, last: datetime) -> DataFrame:
-    """The touched bars of an interval from bars of a finer one, with the asset type that the series has now."""
+    """The touched bars of an interval from bars of a finer one, with the asset type of the last of these."""
     own = within_bins(fine.where(F.col("interval") == interval_of(finer).label), bins, label, first, last)
-    types = own.groupBy("ticker").agg(F.max_by("asset_type", "timestamp").alias("asset_type"))
-    return lookup_join(roll_up(own, finer, label), types, ["ticker"])
+    kind = F.max_by(packed_text(F.col("asset_type")), F.col("timestamp")).alias("asset_type")
+    return roll_up(own, finer, label, extra=[kind]).withColumn("asset_type", unpacked_text(F.col("asset_type")))

@@ -54,9 +54,9 @@ def late(lateness: str) -> str:
     """Ticks whose hour has ended a while before the last tick of earlier files."""
     return f"""marks AS (
       SELECT p, max(m) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {lateness} AS mark
-      FROM (SELECT seq % 6 AS p, max(timestamp) AS m FROM ticks GROUP BY 1)
+      FROM (SELECT seq % 5 AS p, max(timestamp) AS m FROM ticks GROUP BY 1)
     ), late AS (
-      SELECT p AS batch, ticker, timestamp, price, size FROM ticks JOIN marks ON seq % 6 = p
+      SELECT p AS batch, ticker, timestamp, price, size FROM ticks JOIN marks ON seq % 5 = p
       WHERE time_bucket(INTERVAL '1 hour', timestamp) + INTERVAL 1 HOUR <= mark)"""
 
 

@@ -19,7 +19,7 @@ from checks import inputs, queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 OHLCV = ("open", "high", "low", "close", "volume")
-PARTS = 6
+PARTS = 5
 WIDER = ("1d", "1w", "1M", "3M", "1Q", "1Y")
 
 
@@ -28,7 +28,7 @@ def part_of(rows: DataFrame, k: int, parts: int = PARTS) -> DataFrame:
 
 
 def arriving(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as a stream of six files, one a batch, each of which spans all the time."""
+    """Events as a stream of five files, one a batch, each of which spans all the time."""
     rows, source = inputs.event_ticks(spark, sf), scratch_path(spark, "arriving")
     for k in range(PARTS):
         part_of(rows, k).coalesce(1).write.mode("append").parquet(source)
@@ -120,7 +120,7 @@ def bucket_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Six micro-batches, late ticks in each, become bars, days, weeks, months, quarters and years."""
+    """Five micro-batches, late ticks in each, become bars, days, weeks, months, quarters and years."""
     path = scratch_path(spark, "bars")
     incremental.stream_to_store(arriving(spark, sf), "1h", path, scratch_path(spark, "stream"), "40 days", "seq", WIDER).awaitTermination()
     return store.read_bars(spark, path).select("ticker", "interval", "timestamp", *OHLCV)
