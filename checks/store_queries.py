@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,12 +27,15 @@ def part_of(rows: DataFrame, k: int, parts: int = PARTS) -> DataFrame:
     return rows.where(F.col("seq") % parts == k)
 
 
-def arriving(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as a stream of five files, one a batch, each of which spans all the time."""
+def arriving(spark: SparkSession, sf: str) -> Iterator[DataFrame]:
+    """Events as a stream that grows by five parts, each of which spans all the time: once for each part that has come.
+
+    A part has as many files as there are tasks to write it, and is one batch of the run that follows on it.
+    """
     rows, source = inputs.event_ticks(spark, sf), scratch_path(spark, "arriving")
     for k in range(PARTS):
-        part_of(rows, k).coalesce(1).write.mode("append").parquet(source)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        part_of(rows, k).write.mode("append").parquet(source)
+        yield spark.readStream.schema(rows.schema).parquet(source)
 
 
 # Runs and states
@@ -121,8 +124,9 @@ def bucket_series(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Five micro-batches, late ticks in each, become bars, days, weeks, months, quarters and years."""
-    path = scratch_path(spark, "bars")
-    incremental.stream_to_store(arriving(spark, sf), "1h", path, scratch_path(spark, "stream"), "40 days", "seq", WIDER).awaitTermination()
+    path, progress = scratch_path(spark, "bars"), scratch_path(spark, "stream")
+    for rows in arriving(spark, sf):
+        incremental.stream_to_store(rows, "1h", path, progress, "40 days", "seq", WIDER).awaitTermination()
     return store.read_bars(spark, path).select("ticker", "interval", "timestamp", *OHLCV)
 
 
@@ -141,9 +145,10 @@ def rebuilt_bins(spark: SparkSession, sf: str) -> DataFrame:
 
 def late_repair(spark: SparkSession, sf: str) -> DataFrame:
     """Ticks later than an hour are kept aside and repaired afterwards, wider bars with them; with their number."""
-    path, lake_path = scratch_path(spark, "bars"), scratch_path(spark, "lake")
+    path, lake_path, progress = (scratch_path(spark, name) for name in ("bars", "lake", "stream"))
     wider = ("1d", "1w")
-    lake.stream_through_lake(arriving(spark, sf), "1h", path, lake_path, scratch_path(spark, "stream"), "'1' HOUR", wider).awaitTermination()
+    for rows in arriving(spark, sf):
+        lake.stream_through_lake(rows, "1h", path, lake_path, progress, "'1' HOUR", wider).awaitTermination()
     repaired = lake.repair_late(spark, "1h", path, lake_path, wider).first()
     again = lake.repair_late(spark, "1h", path, lake_path, wider).first()
     out = store.read_bars(spark, path).select("ticker", "interval", "timestamp", *OHLCV)
@@ -153,8 +158,9 @@ def late_repair(spark: SparkSession, sf: str) -> DataFrame:
 
 def late_before_repair(spark: SparkSession, sf: str) -> DataFrame:
     """The side table: late ticks by the batch they came with."""
-    path, lake_path = scratch_path(spark, "bars"), scratch_path(spark, "lake")
-    lake.stream_through_lake(arriving(spark, sf), "1h", path, lake_path, scratch_path(spark, "stream"), "'1' DAY").awaitTermination()
+    path, lake_path, progress = (scratch_path(spark, name) for name in ("bars", "lake", "stream"))
+    for rows in arriving(spark, sf):
+        lake.stream_through_lake(rows, "1h", path, lake_path, progress, "'1' DAY").awaitTermination()
     return lake.late_ticks(spark, lake_path).select("batch", "ticker", "timestamp", "price", "size")
 
 
