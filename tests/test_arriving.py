@@ -1,11 +1,13 @@
 """Parts of a stream are written by as many tasks as read the table, and each part is one batch."""
 
+import random
 from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from barloom.streaming import landing
 from checks import store_queries
 
 
@@ -33,3 +35,24 @@ def test_each_part_of_arriving_has_many_files_and_is_one_batch(spark, scratch):
         files.append(len(files_in(scratch / "arriving")))
     assert batches == [(k, {k}, 80) for k in range(5)]
     assert all(later - before > 1 for before, later in zip([0, *files], files, strict=False))
+
+
+def test_streamed_lines_are_written_by_many_tasks_in_six_batches(spark, scratch, monkeypatch):
+    rng, day = random.Random(5), datetime(1998, 1, 1)
+    rows = [(i, i % 7, i % 3, i % 8, 5.0, float(rng.randrange(1, 900)), 0.0, 0.1 * (i % 4), "N", "O", day) for i in range(400)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(rows, schema).repartition(4, "l_orderkey").write.parquet(str(scratch / "lineitem.parquet"))
+    batches = []
+
+    def counted(lines, path, rejects, checkpoint):
+        writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, k: batches.append((k, sorted(r.value for r in batch.collect()))))
+        return writer.trigger(availableNow=True).start()
+
+    monkeypatch.setattr(landing, "stream_landing", counted)
+    store_queries.streamed(spark, str(scratch))
+    assert [k for k, _ in batches] == list(range(6))
+    found = [lines for _, lines in batches]
+    assert found[0] == found[2] and found[1] == found[5]
+    single = sorted(r.value for r in store_queries.queries.landed_text(spark, str(scratch)).collect())
+    assert sorted(line for k in (1, 2, 3, 4) for line in found[k]) == single
+    assert len(files_in(scratch / "lines")) > 6
