@@ -168,7 +168,7 @@ class PieceModel:
 
 
 class Encoder:
-    """Encodes batches inside a task; remembers the ids of the words it has met."""
+    """Encodes batches inside a task; remembers the ids of words, above `most` of them only of those met again."""
 
     def __init__(self, data: bytes, check: bool = False, most: int = 100_000) -> None:
         self.model = PieceModel.parse(data)
@@ -178,28 +178,52 @@ class Encoder:
         self.words.pre_tokenizer = None if self.whole_words else self.words.pre_tokenizer
         self.split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+") if self.whole_words else re.compile("(?s).+")
         self.is_byte = np.array([kind == BYTE for _, _, kind in self.model.pieces])
+        # Bytes of a word that an id covers; the unknown one may cover any number.
+        self.covers = np.array([1 if kind == BYTE else 0 if kind == UNKNOWN else len(p.encode()) for p, _, kind in self.model.pieces], np.int64)
         self.most, self.judge = most, None
         if check:
             import sentencepiece
 
             self.judge = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.forget()
+        self.number: dict[str, int] = {}
+        self.pool, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.agrees, self.again = np.zeros(0, bool), np.zeros(0, bool)
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.pool, self.starts, self.sizes, self.agrees = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        """Keep the words met again since the last time, at most the half of `most`: most others come once in all texts."""
+        kept, words = np.flatnonzero(self.again)[-(self.most // 2) :], list(self.number)
+        self.number = {words[k]: n for n, k in enumerate(kept.tolist())}
+        sizes = self.sizes[kept]
+        ends = np.cumsum(sizes)
+        self.pool = self.pool[np.repeat(self.starts[kept] - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
+        self.starts, self.sizes, self.agrees, self.again = ends - sizes, sizes, self.agrees[kept], np.zeros(len(kept), bool)
 
     def learn(self, words: list[str]) -> None:
-        """Encode new words, on all threads of the tokenizers library, and compare with the sentencepiece library."""
-        found = [e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        """Encode new words and compare with the sentencepiece library."""
+        ids, sizes = self.encoded(words)
         ends = np.cumsum(sizes)
         right = self.compared(words, ids, ends - sizes, ends) if self.judge else np.ones(len(words), bool)
         self.starts = np.concatenate([self.starts, len(self.pool) + ends - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.pool = np.concatenate([self.pool, ids])
         self.agrees = np.concatenate([self.agrees, right])
+        self.again = np.concatenate([self.again, np.zeros(len(words), bool)])
+
+    def encoded(self, words: list[str], most: int = 128) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one after another, and how many each has.
+
+        Many words go to a call, each by itself. Where one word's ids end is told by the bytes that ids cover; where that
+        does not fit, as with unknown ones, the words go one to a call.
+        """
+        found = [e.ids for e in self.words.encode_batch_fast([words[k : k + most] for k in range(0, len(words), most)], is_pretokenized=True, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found)))
+        covered, wanted = np.cumsum(self.covers[ids]), np.cumsum([len(w.encode()) for w in words])
+        ends = np.searchsorted(covered, wanted) + 1
+        if self.covers[ids].all() and len(ids) == ends[-1] and np.array_equal(covered[ends - 1], wanted):
+            return ids, np.diff(ends, prepend=0)
+        found = [e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
 
     def compared(self, words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 128) -> np.ndarray:
         """Which words have the ids that the sentencepiece library gives, many words to a call, alone where these differ."""
@@ -224,7 +248,7 @@ class Encoder:
         right = np.ones(len(words), bool)
         for k, expected in zip(groups, self.judge.encode(texts, num_threads=1), strict=True):
             stop = min(k + most, len(words))
-            if not np.array_equal(ids[starts[k] : ends[stop - 1]], expected):
+            if ids[starts[k] : ends[stop - 1]].tolist() != expected:
                 right[k:stop] = False if most == 1 else self.compared(words[k:stop], ids, starts[k:stop], ends[k:stop], 1)
         return right
 
@@ -248,6 +272,7 @@ class Encoder:
             number.update(zip(fresh, range(known, known + len(fresh)), strict=True))
             self.learn(fresh)
         which = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        self.again[which[which < known]] = True
         sizes = self.sizes[which]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.pool[np.repeat(self.starts[which] - ends[:-1], sizes) + np.arange(ends[-1])]
