@@ -1,12 +1,16 @@
-"""The encoder's memory of words and words encoded many to a call."""
+"""The encoder's memory of words, words encoded many to a call, and the size of batches that reach a worker."""
 
 import random
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from barloom.llm import spiece
+from barloom.llm.common import BATCH_BYTES
 from barloom.llm.queries import PIECE_MODEL
 
 pytestmark = pytest.mark.skipif(not Path(PIECE_MODEL).exists(), reason="no model")
@@ -38,3 +42,15 @@ def test_many_words_in_a_call_have_the_ids_of_each_word():
     ids, sizes = encoder.encoded(words)
     each = [encoder.words.encode(w, add_special_tokens=False).ids for w in words]
     assert sizes.tolist() == [len(x) for x in each] and ids.tolist() == [i for x in each for i in x]
+
+
+def test_stages_hand_small_batches_to_workers(spark):
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    corpus_pipeline.token_stage(spark, docs, "")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    rows = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 5000).alias("text"))
+    assert max(r.n for r in rows.mapInArrow(sizes, "n long").collect()) < 2 * BATCH_BYTES
