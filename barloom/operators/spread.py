@@ -18,6 +18,9 @@ BROADCAST_ROWS = 1_000_000
 SEQ_SPAN = "100000000000000000000"
 LEAST_SEQ = str(-(2**63))
 
+# Rows of bars that a task aggregates at once; at some 500 bytes a row in its hash tables, 125 MB.
+TASK_ROWS = 250_000
+
 
 def packed_order(major: Column, minor: Column) -> Column:
     """One number that orders by (major, minor), an unknown minor lowest, as in `keep_one`.
@@ -56,6 +59,17 @@ def lookup_join(
     return joined.select(*first, *[c for c in joined.columns if c not in first])
 
 
+def deal_by_key(rows: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
+    """The rows by key in partitions of some TASK_ROWS, for an aggregate by these keys or more, which needs no further exchange.
+
+    AQE sizes the tasks of an aggregate by compressed bytes, and bars compress to a tenth or less of what they take in a
+    hash table. `count` is the number of rows, or a bound on it. A key's copies all reach one task, so this is for keys
+    with few copies. A key that may be a literal is left out: the aggregate would know it by another name and exchange again.
+    """
+    least = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(least, -(-count // TASK_ROWS)), *keys)
+
+
 def forget_partitioning(df: DataFrame, key: str) -> DataFrame:
     """Same rows; Spark no longer knows that they are partitioned by the string column `key`."""
     return df.withColumn(key, F.concat(F.col(key), F.lit("")))

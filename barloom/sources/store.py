@@ -17,7 +17,7 @@ from barloom.functions import classify
 from barloom.functions.classify import normal_ticker
 from barloom.functions.intervals import interval_of
 from barloom.functions.names import interval_in, symbol_of
-from barloom.operators.spread import lookup_join
+from barloom.operators.spread import deal_by_key, lookup_join
 from barloom.operators.upsert import MOST_TYPE_BYTES, keep_one
 from barloom.schemas import BAR_KEY, BARS, SERIES, SERIES_KEY, STORED_BARS, bucket_name, bucket_of, period_of
 from barloom.session import ensure_checkpoint_dir
@@ -132,13 +132,19 @@ def in_partitions(found: Sequence[tuple]) -> Column:
     return kept
 
 
-def add_run(spark: SparkSession, new: DataFrame, path: str, seq: str | None = None, buckets: int | None = None) -> int:
+def add_run(
+    spark: SparkSession, new: DataFrame, path: str, seq: str | None = None, buckets: int | None = None, rows: int | None = None
+) -> int:
     """Write new bars as a run that is not yet in force, and give its number.
 
     They are built once, their partitions are known from the folder names, and a lost executor re-reads files instead of
     recomputing them. `seq` decides between duplicates among the new bars; without it they must hold each key once.
+    With `rows`, a bound on the number of new bars with few copies of a key, duplicates are looked for in tasks of a bounded
+    number of rows.
     """
     shaped = shape_bars(new)
+    if seq is not None and rows is not None:
+        shaped = deal_by_key(shaped, ["ticker", "timestamp"], rows)
     number = _next_run(spark, path)
     buckets = buckets or pointers.current(spark, path).buckets
     _write_run(path, keep_one(shaped, BAR_KEY, seq) if seq is not None else shaped, number, buckets)

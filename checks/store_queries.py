@@ -198,12 +198,13 @@ def streamed_rejects(spark: SparkSession, sf: str) -> DataFrame:
 def market_store(spark: SparkSession, sf: str) -> DataFrame:
     """The market's days merged, then those of January 1998 again with other prices: the last rows win."""
     line = inputs.table(spark, sf, "lineitem")
-    raw = line.groupBy(F.concat(F.lit("m"), F.col("l_suppkey").cast("string")).alias("T"), F.col("l_shipdate").cast("date").alias("day")).agg(
+    days = line.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("day")).agg(
         F.max("l_extendedprice").alias("c"), F.sum("l_quantity").alias("v")
     )
+    raw = days.select(F.concat(F.lit("m"), F.col("l_suppkey").cast("string")).alias("T"), "day", "c", "v")
     raw = raw.withColumns({"o": F.col("c") - 1, "h": F.col("c") + 1, "l": F.col("c") - 2, "vw": F.col("c"), "n": F.lit(1)})
     path = scratch_path(spark, "bars")
-    market_days.merge_market_days(spark, raw, F.col("day"), path)
+    market_days.merge_market_days(spark, raw, F.col("day"), path, rows=line.count())
     again = raw.where("day >= '1998-01-01' AND day < '1998-02-01'").withColumn("c", F.col("c") * 2)
     for _ in range(2):
         market_days.merge_market_days(spark, again, F.col("day"), path)

@@ -8,7 +8,8 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from barloom.operators import freshness, profile, query
+from barloom.operators import freshness, profile, query, spread
+from barloom.plans.market_days import merge_market_days
 from barloom.plans.propagation import propagate
 from barloom.schemas import BUCKETS, bucket_name, bucket_of
 from barloom.sources import pointer, store
@@ -240,6 +241,28 @@ def test_nothing_changed_builds_nothing(spark, tmp_path):
     assert sorted(r.interval for r in store.read_bars(spark, path).collect()) == ["1Y", "1d", "1w"]
 
 
+@pytest.mark.parametrize("days", [10, 40])
+def test_market_days_are_merged_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch, days):
+    """Four times the days are four times the tasks, with one exchange under the search for copies; the bars stay the same."""
+    monkeypatch.setattr(spread, "TASK_ROWS", 200)
+    raw = spark.range(100 * days).select(
+        F.concat(F.lit("t"), F.col("id") % 100).alias("T"), F.expr("date_add(date'2024-01-01', cast(id div 100 as int))").alias("day"),
+        *[F.col("id").cast("double").alias(c) for c in ("o", "h", "l", "c", "v", "vw")], F.lit(1).alias("n"),
+    )
+    raw = raw.union(raw.where("n = 1 AND c < 500").withColumn("c", F.col("c") + 1))
+    written, write = [], store._write_run
+    monkeypatch.setattr(store, "_write_run", lambda path, bars, *rest: (written.append(bars), write(path, bars, *rest)))
+    found = []
+    for name, rows in (("plain", None), ("dealt", raw.count())):
+        merge_market_days(spark, raw, F.col("day"), str(tmp_path / name), "c", rows=rows)
+        found.append(sorted(map(tuple, store.read_bars(spark, str(tmp_path / name)).select("ticker", "timestamp", "close", "volume").collect())))
+    assert found[0] == found[1] and len(found[0]) == 100 * days
+    plan = written[1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    sizes = [r["count"] for r in written[1].groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == -(-raw.count() // 200) and max(sizes) <= 300
+
+
 def test_an_empty_store(spark, tmp_path):
     path = str(tmp_path / "none")
     assert store.read_bars(spark, path).isEmpty() and store.read_series(spark, path).isEmpty()
