@@ -231,6 +231,44 @@ def test_merge_newest_does_not_hang_on_order(spark, tmp_path):
     assert ends == {tuple((t, "1h", h, 3.0) for t in "AB" for h in range(4))}
 
 
+def test_merging_and_joining_some_buckets_at_a_time_changes_nothing(spark, tmp_path, monkeypatch, final_plan):
+    monkeypatch.setattr(store, "PASS_BYTES", 0)
+    commit, writer, seen, written = store.commit_run, store._run_writer, [], []
+
+    def committed(spark, path, number):
+        seen.append(sorted(f.name for f in (tmp_path / "bars").iterdir()))
+        return commit(spark, path, number)
+
+    monkeypatch.setattr(store, "commit_run", committed)
+    monkeypatch.setattr(store, "_run_writer", lambda rows: (written.append(rows), writer(rows))[1])
+    path, expected = str(tmp_path), {}
+    for batch in range(3):
+        changes = [(f"T{k}", "1h", h, batch * 100 + k + (h * 37 + batch * 53) % 90) for k in range(12) for h in range(batch, batch + 6)]
+        for t, i, h, c in changes:
+            expected[(t, i, h)] = max(float(c), expected.get((t, i, h), 0.0))
+        bars = bars_of(spark, changes).withColumn("ingest_seq", F.col("close").cast("bigint"))
+        written.clear()
+        store.merge_newest(spark, bars, path)
+        assert len(written) > 3  # the new run, then several passes
+    assert seen == [["run=2"], ["run=2", "run=4"], ["run=2", "run=4", "run=6"]]
+    assert held(store.read_bars(spark, path)) == sorted((*key, c) for key, c in expected.items())
+    written.clear()
+    store.compact(spark, path)
+    assert len(written) > 3 and all(final_plan(rows).count("Exchange ") == 1 for rows in written)
+    store.vacuum(spark, path, keep=1)
+    assert held(store.read_bars(spark, path)) == sorted((*key, c) for key, c in expected.items())
+    assert state(spark, path) == scanned(spark, path)
+
+
+def test_passes_share_the_bytes(monkeypatch):
+    sizes = {f"{k:04d}of16": 100 + k for k in range(16)}
+    assert store._passes(sizes) == [sorted(sizes)] and store._passes({}) == []
+    monkeypatch.setattr(store, "PASS_BYTES", 10)
+    found = store._passes(sizes)
+    assert sorted(b for some in found for b in some) == sorted(sizes) and 8 <= len(found) <= 16
+    assert store._passes({"a": 5000, "b": 1, "c": 1}) == [["a"], ["b", "c"]]
+
+
 def test_nothing_changed_builds_nothing(spark, tmp_path):
     path = str(tmp_path)
     rows = bars_of(spark, [("A", "1d", 0, 1)]).withColumns({c: F.col("close") for c in ("open", "high", "low")})
