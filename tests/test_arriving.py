@@ -94,6 +94,15 @@ def test_streamed_landing_is_one_read_and_drops_the_landed_files(spark, scratch)
     assert found.count() == once.select("ticker", "timestamp").distinct().count()
 
 
+def test_streamed_rejects_count_once_and_drop_the_landed_files(spark, scratch):
+    write_lines(spark, scratch)
+    found = {r.reject_reason: r.lines for r in store_queries.streamed_rejects(spark, str(scratch)).collect()}
+    assert not (scratch / "lines").exists()
+    _, bad = landing.split_lines(store_queries.queries.landed_text(spark, str(scratch)))
+    assert found == {r.reject_reason: r["count"] for r in bad.distinct().groupBy("reject_reason").count().collect()}
+    assert all(".zstd." in f.name for f in (scratch / "rejects").rglob("part-*"))
+
+
 def test_shuffles_of_a_batch_go_with_the_step_that_made_them(spark, scratch, monkeypatch):
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before, earlier, left, merge = spark.conf.get(setting, None), shuffle_files(spark), [], landing.merge_newest
